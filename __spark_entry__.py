@@ -96,10 +96,8 @@ def drop_scan(spark, sf_dir):
     """Events dropped as hourly CSV folders and scanned back with their origin, for the
     hours of the batch only."""
     base = scratch_path(spark, "drop_scan")
-    drops = _labelled(spark, sf_dir).withColumn(
-        "file_index", F.pmod(F.col("event_id"), F.lit(3)).cast("int") + 1
-    )
-    tm.write_drops(drops, base)
+    drops = _labelled(spark, sf_dir).withColumn("file_index", F.dayofmonth("ts") % 3 + 1)
+    tm.write_drops(drops.hint("rebalance", F.col("time_stamp"), F.col("file_index")), base)
     start, end = (datetime.fromisoformat(t) for t in (BATCH_START, BATCH_END))
     schema = T.StructType([f for f in drops.schema.fields if f.name in EVENT_COLUMNS])
     rows = tm.read_drops(spark, base, schema, tm.hour_labels(start, end))
@@ -533,7 +531,7 @@ def oracle_sql() -> dict[str, str]:
             FROM events""",
         "drop_scan": f"""
             SELECT {_COLS}, {_LABEL} AS time_stamp,
-                   CAST(event_id % 3 + 1 AS INTEGER) AS file_index
+                   CAST(day(ts) % 3 + 1 AS INTEGER) AS file_index
             FROM events
             WHERE ts >= TIMESTAMP '{BATCH_START}'
               AND ts < TIMESTAMP '{BATCH_END}' + INTERVAL 1 HOUR""",

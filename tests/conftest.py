@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+import csv
+import os
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+COLUMNS = ["id", "name", "age", "department", "salary", "working_hours"]
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    builder = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+    )
+    session = builder.getOrCreate()
+    session.sparkContext.setLogLevel("ERROR")
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def drop(tmp_path):
+    """Write one drop file the way a producer does: header, commas, CRLF."""
+    base = tmp_path / "drops"
+
+    def write(hour, number, rows, header=COLUMNS, name=None):
+        folder = base / f"time_stamp={hour}"
+        folder.mkdir(parents=True, exist_ok=True)
+        with open(folder / (name or f"data_{number}.csv"), "w", newline="") as out:
+            writer = csv.writer(out)
+            writer.writerow(header)
+            writer.writerows(rows)
+        return str(base)
+
+    write.base = str(base)
+    return write
+
+
+def person(key, name="Ann", age=30, department="Sales", salary=1000.5, hours=40.0):
+    return [key, name, age, department, salary, hours]
+
+
+def rows(df, *columns):
+    return sorted(
+        (tuple(r) for r in (df.select(*columns) if columns else df).collect()),
+        key=lambda r: tuple((v is None, str(v)) for v in r),
+    )
+
+
+def plan_of(df):
+    """The physical plan as text, without running it."""
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")

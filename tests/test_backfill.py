@@ -1,0 +1,164 @@
+import csv
+import os
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+
+import tidemark as tm
+from conftest import person, rows
+from tidemark.sources.drops import DROP_VERSION, drop_schema
+
+START = datetime(2026, 5, 1)
+NAMES = tm.EMPLOYEE_SCHEMA.names
+
+
+def make(spark, path, **options):
+    return tm.StateTable(
+        spark, str(path), drop_schema(tm.EMPLOYEE_SCHEMA), ["id"], list(DROP_VERSION), **options
+    )
+
+
+@pytest.fixture
+def month(drop):
+    """Five hours, the third without a folder; later hours hold fewer and fewer keys."""
+    for h in (0, 1, 3, 4):
+        for n in range(1, 3 + h % 2):
+            for_file = [person(i, f"h{h}f{n}", 20 + n) for i in range(1, 14 - 3 * h + n)]
+            drop(f"2026-05-01-0{h}", n, for_file)
+    return drop.base
+
+
+def fold(base, hours):
+    """What the hours amount to, in plain Python."""
+    state = {}
+    for hour in hours:
+        folder = Path(base) / f"time_stamp={hour}"
+        for path in sorted(folder.glob("*.csv"), key=lambda p: int(p.stem.split("_")[1])):
+            with open(path, newline="") as f:
+                for r in csv.DictReader(f):
+                    state[int(r["id"])] = (
+                        int(r["id"]), r["name"], int(r["age"]), r["department"],
+                        float(r["salary"]), float(r["working_hours"]),
+                    )
+    return sorted(state.values())
+
+
+def test_one_pass_equals_hour_by_hour_equals_plain_python(spark, month, tmp_path):
+    end = datetime(2026, 5, 1, 4)
+    want = fold(month, tm.hour_labels(START, end))
+    once = make(spark, tmp_path / "once")
+    report = tm.backfill(once, month, START, end)
+    assert rows(report) == [(h, h.endswith("02")) for h in tm.hour_labels(START, end)]
+    assert once.versions() == [0]
+    hourly = make(spark, tmp_path / "hourly", buckets=3)
+    arrival = make(spark, tmp_path / "arrival", mode="arrival")
+    for state in (hourly, arrival):
+        assert rows(tm.backfill_hourly(state, month, START, end)) == rows(report)
+        assert state.versions() == [0, 1, 2, 3]
+    for state in (once, hourly, arrival):
+        assert sorted(rows(state.read(), *NAMES)) == want
+    labels = [r.label for r in hourly.audit().orderBy("version").collect()]
+    assert labels == [f"2026-05-01-0{h}" for h in (0, 1, 3, 4)]
+
+
+def test_repeating_an_old_hour(spark, month, tmp_path):
+    end = datetime(2026, 5, 1, 4)
+    version, arrival = make(spark, tmp_path / "v"), make(spark, tmp_path / "a", mode="arrival")
+    for state in (version, arrival):
+        tm.backfill_hourly(state, month, START, end)
+        before = rows(state.read())
+        tm.backfill_hourly(state, month, START, START)
+        assert (rows(state.read()) == before) == (state is version)
+
+
+def test_nothing_to_do(spark, drop, tmp_path):
+    state = make(spark, tmp_path / "s")
+    assert rows(tm.backfill(state, drop.base, START, START)) == [("2026-05-01-00", True)]
+    assert not state.exists()
+
+
+def test_one_pass_needs_versions(spark, drop, tmp_path):
+    state = make(spark, tmp_path / "s", mode="arrival")
+    with pytest.raises(ValueError, match="mode='version'"):
+        tm.backfill(state, drop.base, START, START)
+
+
+def test_generated_drops_round_trip(spark, tmp_path):
+    base = str(tmp_path / "drops")
+    end = datetime(2026, 5, 2, 11)
+    generated = tm.generate_rows(tm.hour_calendar(spark, START, end), seed=3)
+    tm.write_drops(generated, base)
+    assert rows(tm.read_drops(spark, base).drop("_corrupt_record")) == rows(generated)
+    state = make(spark, tmp_path / "s")
+    tm.backfill(state, base, START, end)
+    want = tm.latest_per_key(generated, ["id"], list(DROP_VERSION), strategy="window")
+    assert rows(state.read()) == rows(want)
+
+
+def test_generated_rows_are_repeatable_and_in_range(spark):
+    hours = tm.hour_calendar(spark, START, datetime(2026, 5, 6, 23))
+    once = tm.generate_rows(hours, seed=1)
+    assert rows(once) == rows(tm.generate_rows(hours.repartition(7), seed=1))
+    assert rows(once) != rows(tm.generate_rows(hours, seed=2))
+    seen = rows(
+        once.selectExpr(
+            "count(DISTINCT time_stamp)", "min(file_index)", "max(file_index)", "min(id)",
+            "max(id)", "min(age)", "max(age)", "min(salary) >= 30000", "max(salary) <= 120000",
+            "min(working_hours) >= 20", "max(working_hours) <= 60", "count(DISTINCT name)",
+            "count(DISTINCT department)",
+        )
+    )
+    assert seen == [(144, 1, 5, 1, 20, 22, 60, True, True, True, True, 10, 6)]
+    sizes = once.groupBy("time_stamp", "file_index").count().selectExpr("min(count)", "max(count)")
+    assert rows(sizes) == [(5, 20)]
+
+
+# The original drops and the state they led to, when a copy is at hand.
+DROPS, GOLDEN = os.environ.get("DROPS_DIR"), os.environ.get("GOLDEN_STATE_DIR")
+originals = pytest.mark.skipif(not DROPS, reason="DROPS_DIR is not set")
+
+
+@originals
+@pytest.mark.skipif(not GOLDEN, reason="GOLDEN_STATE_DIR is not set")
+def test_original_state(spark, tmp_path):
+    golden = rows(tm.read_all_strings(spark, GOLDEN, tm.EMPLOYEE_SCHEMA))
+    assert len(golden) == 20
+    state = make(spark, tmp_path / "s")
+    tm.backfill(state, DROPS, START, datetime(2026, 5, 1, 4))
+    assert rows(state.read(), *NAMES) == golden
+
+
+@originals
+def test_original_hours_one_by_one(spark, tmp_path):
+    state = make(spark, tmp_path / "s", buckets=4)
+    tm.backfill_hourly(state, DROPS, START, datetime(2026, 5, 1, 4))
+    audit = state.audit().orderBy("version").collect()
+    assert [(r.latest_rows, r.final_rows) for r in audit] == [
+        (19, 19), (16, 19), (9, 19), (19, 19), (20, 20),
+    ]
+    survivors = state.read(2).groupBy("time_stamp").count()
+    assert rows(survivors) == [("2026-05-01-00", 3), ("2026-05-01-01", 7), ("2026-05-01-02", 9)]
+    late = make(spark, tmp_path / "late", mode="arrival")
+    for hour in ("2026-05-01-04", "2026-05-01-03"):
+        late.apply(tm.read_drops(spark, DROPS, hours=[hour]))
+        state.apply(tm.read_drops(spark, DROPS, hours=[hour]))
+    assert rows(late.read().groupBy("time_stamp").count()) == [
+        ("2026-05-01-03", 19), ("2026-05-01-04", 1),
+    ]
+    assert rows(state.read().groupBy("time_stamp").count()) == [("2026-05-01-04", 20)]
+
+
+@originals
+def test_all_original_hours(spark, tmp_path):
+    state = make(spark, tmp_path / "s")
+    tm.backfill(state, DROPS, START, datetime(2026, 5, 6, 23))
+    assert rows(state.read().groupBy("time_stamp", "file_index").count()) == [
+        ("2026-05-06-19", 2, 2), ("2026-05-06-23", 2, 18),
+    ]
+    stream = make(spark, tmp_path / "stream")
+    drops = tm.stream_drops(spark, DROPS, max_files=100)
+    query = tm.upsert_stream(drops, stream, str(tmp_path / "checkpoint"))
+    query.awaitTermination()
+    assert stream.versions() == [0, 1, 2, 3, 4]
+    assert rows(stream.read()) == rows(state.read())

@@ -1,0 +1,77 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+import tidemark as tm
+from conftest import rows
+
+
+def test_label_of_an_hour_and_back(spark):
+    df = spark.sql("SELECT timestamp_ntz'2026-05-01 04:59:59.999999' AS ts").select(
+        tm.partition_label(F.col("ts")).alias("label")
+    )
+    assert rows(df) == [("2026-05-01-04",)]
+    back = df.select(tm.label_time(F.col("label")).alias("t"))
+    assert back.first().t == datetime(2026, 5, 1, 4)
+
+
+def test_label_is_not_moved_by_a_session_zone_that_skips_the_hour(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT timestamp_ntz'2024-03-10 02:30:00' AS ts")
+        label = df.select(tm.partition_label(F.col("ts")).alias("label"))
+        assert label.first().label == "2024-03-10-02"
+        assert label.select(tm.label_time(F.col("label")).alias("t")).first().t == datetime(
+            2024, 3, 10, 2
+        )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize(
+    ("name", "number"),
+    [
+        ("data_3.csv", 3),
+        ("data_12.csv", 12),
+        ("data_12.csv.gz", 12),
+        ("file_3.csv", None),
+        ("part-0.csv", None),
+        ("data_.csv", None),
+        ("data_99999999999.csv", None),
+    ],
+)
+def test_file_index(spark, name, number):
+    df = spark.createDataFrame([(name,)], "name string")
+    assert df.select(tm.file_index(F.col("name"))).first()[0] == number
+
+
+def test_file_index_takes_another_pattern(spark):
+    df = spark.createDataFrame([("file_7.csv",)], "name string")
+    assert df.select(tm.file_index(F.col("name"), r"file_(\d+)\.csv")).first()[0] == 7
+
+
+def test_hour_labels_include_both_ends():
+    labels = tm.hour_labels(datetime(2026, 5, 1, 22), datetime(2026, 5, 2, 1))
+    assert labels == ["2026-05-01-22", "2026-05-01-23", "2026-05-02-00", "2026-05-02-01"]
+
+
+def test_hour_calendar_equals_the_labels(spark):
+    start, end = datetime(2026, 5, 1), datetime(2026, 5, 6, 23)
+    calendar = tm.hour_calendar(spark, start, end)
+    assert [r[0] for r in rows(calendar)] == tm.hour_labels(start, end)
+
+
+def test_draws_stay_in_range_and_reach_both_ends(spark):
+    digest = F.md5(F.col("id").cast("string"))
+    drawn = spark.range(20000).select(
+        tm.draw_integer(digest, 1, 6, 22, 60).alias("age"),
+        tm.draw_decimal(digest, 7, 6, 20, 60, 1).alias("hours"),
+        tm.draw_item(digest, 13, 6, ["a", "b", "c"]).alias("item"),
+    )
+    low, high, short, long, items = drawn.agg(
+        F.min("age"), F.max("age"), F.min("hours"), F.max("hours"), F.sort_array(F.collect_set("item"))
+    ).first()
+    assert (low, high, short, long, items) == (22, 60, 20.0, 60.0, ["a", "b", "c"])
+    assert drawn.filter(F.round("hours", 1) != F.col("hours")).count() == 0

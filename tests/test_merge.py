@@ -1,0 +1,92 @@
+import pytest
+
+import tidemark as tm
+from conftest import plan_of, rows
+
+
+def table(spark, data, schema="id int, n int, v string"):
+    return spark.createDataFrame(data, schema)
+
+
+def test_carry_over_keeps_columns_and_order(spark):
+    old = table(spark, [("x", 1), ("y", 2)], "v string, id int")
+    new = table(spark, [(2, "z")], "id int, v string")
+    out = tm.carry_over(old, new, ["id"])
+    assert out.columns == ["v", "id"]
+    assert rows(out) == [("x", 1)]
+
+
+def test_union_is_by_name_and_keeps_duplicates(spark):
+    one = table(spark, [(1, "a")], "id int, v string")
+    two = table(spark, [("a", 1)], "v string, id int")
+    assert rows(tm.union_merge(one, two)) == [(1, "a"), (1, "a")]
+
+
+def test_arrival_replaces_whatever_its_age(spark):
+    old = table(spark, [(1, 9, "newer"), (2, 1, "kept")])
+    new = table(spark, [(1, 2, "older"), (3, 1, "fresh")])
+    assert rows(tm.upsert(old, new, ["id"])) == [
+        (1, 2, "older"),
+        (2, 1, "kept"),
+        (3, 1, "fresh"),
+    ]
+
+
+def test_version_keeps_the_newer(spark):
+    old = table(spark, [(1, 9, "newer"), (2, 1, "old"), (4, 5, "first")])
+    new = table(spark, [(1, 2, "late"), (2, 3, "new"), (3, 1, "fresh"), (4, 5, "again")])
+    assert rows(tm.upsert(old, new, ["id"], version=["n"])) == [
+        (1, 9, "newer"),
+        (2, 3, "new"),
+        (3, 1, "fresh"),
+        (4, 5, "again"),
+    ]
+
+
+def test_missing_version_loses_to_any(spark):
+    old = table(spark, [(1, None, "none"), (2, 0, "some")])
+    new = table(spark, [(1, 0, "some"), (2, None, "none")])
+    assert rows(tm.upsert(old, new, ["id"], version=["n"])) == [(1, 0, "some"), (2, 0, "some")]
+
+
+@pytest.mark.parametrize("version", [[], ["n"]])
+def test_null_keys(spark, version):
+    old = table(spark, [(None, 1, "old"), (1, 1, "x")])
+    new = table(spark, [(None, 2, "new")])
+    assert rows(tm.upsert(old, new, ["id"], version)) == [(1, 1, "x")]
+    assert rows(tm.upsert(old, new, ["id"], version, null_keys="match")) == [
+        (1, 1, "x"),
+        (None, 2, "new"),
+    ]
+    with pytest.raises(ValueError, match="null_keys"):
+        tm.upsert(old, new, ["id"], null_keys="drop")
+
+
+def test_audit_counts(spark):
+    old = table(spark, [(1, 1, "a"), (2, 1, "b"), (3, 1, "c")])
+    new = table(spark, [(3, 1, "x"), (3, 2, "y"), (4, 1, "z"), (None, 1, "n")])
+    audit = tm.upsert_audit(old, new, ["id"])
+    assert audit.columns == [
+        "incoming_rows", "latest_rows", "existing_rows", "remaining_rows", "final_rows",
+    ]
+    assert rows(audit) == [(4, 2, 3, 2, 4)]
+
+
+def test_audit_of_nothing(spark):
+    none = table(spark, [])
+    assert rows(tm.upsert_audit(none, none, ["id"])) == [(0, 0, 0, 0, 0)]
+
+
+def test_same_frame_on_both_sides(spark):
+    df = table(spark, [(1, 1, "a"), (2, 2, "b")])
+    assert rows(tm.upsert(df, df.filter("id = 1"), ["id"], ["n"])) == rows(df)
+
+
+def test_small_batch_does_not_shuffle_the_state(spark, tmp_path):
+    path = str(tmp_path / "state")
+    spark.range(1000).selectExpr("id", "id AS n").write.parquet(path)
+    state = spark.read.parquet(path)
+    batch = spark.createDataFrame([(5, 5000)], "id long, n long")
+    plan = plan_of(tm.upsert(state, batch.hint("broadcast"), ["id"]))
+    assert "LeftAnti, BuildRight" in plan
+    assert "hashpartitioning" not in plan

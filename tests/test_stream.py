@@ -1,0 +1,55 @@
+import shutil
+
+import pytest
+
+import tidemark as tm
+from conftest import person, rows
+from tidemark.sources.drops import DROP_VERSION, drop_schema
+
+
+def make(spark, path, **options):
+    return tm.StateTable(
+        spark, str(path), drop_schema(tm.EMPLOYEE_SCHEMA), ["id"], list(DROP_VERSION), **options
+    )
+
+
+def run(spark, base, state, checkpoint, name=None):
+    drops = tm.stream_drops(spark, base, max_files=2)
+    tm.upsert_stream(drops, state, str(checkpoint), name).awaitTermination()
+
+
+def test_stream_equals_batch_and_goes_on_where_it_stopped(spark, drop, tmp_path):
+    # Written newest first, so that the order of files is not the order of hours.
+    for h in (3, 1, 0):
+        for n in (2, 1):
+            drop(f"2026-05-01-0{h}", n, [person(i, f"h{h}f{n}") for i in range(h, 6 + n)])
+    state = make(spark, tmp_path / "state", buckets=2)
+    run(spark, drop.base, state, tmp_path / "checkpoint")
+    assert state.versions() == [0, 1, 2]
+    drop("2026-05-01-02", 1, [person(i, "h2f1") for i in range(12)])
+    run(spark, drop.base, state, tmp_path / "checkpoint")
+    assert state.versions() == [0, 1, 2, 3]
+    every = tm.read_drops(spark, drop.base).drop("_corrupt_record")
+    assert rows(state.read()) == rows(tm.latest_per_key(every, ["id"], list(DROP_VERSION)))
+
+
+def test_replayed_batches_are_applied_once(spark, drop, tmp_path):
+    for h in range(4):
+        drop(f"2026-05-01-0{h}", 1, [person(i, f"h{h}") for i in range(4)])
+    state = make(spark, tmp_path / "state")
+    run(spark, drop.base, state, tmp_path / "first", name="drops")
+    assert state.versions() == [0, 1]
+    # Lost the record that the last batch was done: Spark delivers it again.
+    shutil.copytree(tmp_path / "first", tmp_path / "second")
+    for name in ("1", ".1.crc"):
+        (tmp_path / "second" / "commits" / name).unlink(missing_ok=True)
+    run(spark, drop.base, state, tmp_path / "second", name="drops")
+    assert state.versions() == [0, 1]
+    assert rows(state.read(), "id", "name") == [(i, "h3") for i in range(4)]
+
+
+def test_stream_needs_versions(spark, drop, tmp_path):
+    base = drop("2026-05-01-00", 1, [person(1)])
+    state = make(spark, tmp_path / "state", mode="arrival")
+    with pytest.raises(ValueError, match="mode='version'"):
+        run(spark, base, state, tmp_path / "checkpoint")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.draws import draw_decimal, draw_integer, draw_item, row_digest
 from tidemark.sources.drops import FILE_INDEX, PARTITION
+from tidemark.sources.export import CSV_TIMES
 
 # What the drops may contain.
 NAMES = [
@@ -22,15 +23,19 @@ WORKING_HOURS = (20, 60)
 
 def generate_rows(hours: DataFrame, seed: int = 0) -> DataFrame:
     """Drops for every ``time_stamp`` of ``hours``: a few files per hour, each with ids
-    1..n.  The same seed and hour give the same rows, however the hours are partitioned;
-    nothing is shuffled."""
+    1..n.  The same seed and hour give the same rows, however the hours are partitioned.
+    Only the hours themselves are spread over the cores; the rows made from them stay
+    where they are made, so all rows of one file lie in one task."""
+    cores = hours.sparkSession.sparkContext.defaultParallelism
     stamp, number, row = F.col(PARTITION), F.col(FILE_INDEX), F.col("id")
     n_files = draw_integer(row_digest(seed, stamp), 1, 6, *FILES_PER_HOUR).cast("int")
     n_rows = draw_integer(row_digest(seed, stamp, number), 1, 6, *ROWS_PER_FILE).cast("int")
     one = F.lit(1)
     digest = F.col("digest")
     return (
-        hours.select(PARTITION, F.explode(F.sequence(one, n_files)).alias(FILE_INDEX))
+        hours.select(PARTITION)
+        .repartition(cores)
+        .select(PARTITION, F.explode(F.sequence(one, n_files)).alias(FILE_INDEX))
         .select(PARTITION, FILE_INDEX, F.explode(F.sequence(one, n_rows)).alias("id"))
         .select(PARTITION, FILE_INDEX, "id", row_digest(seed, stamp, number, row).alias("digest"))
         .select(
@@ -50,11 +55,12 @@ def write_drops(rows: DataFrame, base: str) -> None:
     """Write drops as CSV that ``read_drops`` reads back.
 
     Spark names its own files, so the file number becomes a folder below the hour.
+    Every task writes its own part of a folder: give it rows that are grouped by hour
+    and file, as ``generate_rows`` makes them, or rebalanced on those columns.
     """
     (
-        rows.hint("rebalance", F.col(PARTITION), F.col(FILE_INDEX))
-        .write.mode("errorifexists")
-        .option("header", True)
+        rows.write.mode("errorifexists")
+        .options(header=True, **CSV_TIMES)
         .partitionBy(PARTITION, FILE_INDEX)
         .csv(base)
     )

@@ -99,11 +99,8 @@ class StateTable:
     def versions(self) -> list[int]:
         """Published versions, ascending."""
         entries = files.listing(self.spark, f"{self.root}/commits")
-        # A commit of size 0 belongs to a writer that died while creating it.
         return sorted(
-            int(e.name.removesuffix(".json"))
-            for e in entries
-            if e.name.endswith(".json") and e.size > 0
+            int(e.name.removesuffix(".json")) for e in entries if e.name.endswith(".json")
         )
 
     def exists(self) -> bool:
@@ -120,7 +117,11 @@ class StateTable:
         """One row of counts per published batch."""
         if not self.exists():
             return self.spark.createDataFrame([], _AUDIT_SCHEMA)
-        return self.spark.read.schema(_AUDIT_SCHEMA).json(f"{self.root}/commits")
+        return (
+            self.spark.read.schema(_AUDIT_SCHEMA)
+            .option("pathGlobFilter", "*.json")
+            .json(f"{self.root}/commits")
+        )
 
     def _columns(self) -> list[Column]:
         return [F.col(f"`{name}`") for name in self.schema.names]

@@ -100,7 +100,8 @@ def read_drops(
 
     Only the folders of the wanted hours are listed, however many hours the base
     holds.  Hours without a folder contribute nothing.  A field that does not parse
-    is NULL and its line is kept in ``_corrupt_record``.
+    is NULL and its line is kept in ``_corrupt_record``; Spark parses only the columns
+    a query uses, so select all of them when looking for bad lines.
     """
     base = base.rstrip("/")
     present = available_hours(spark, base, hours)

@@ -8,6 +8,12 @@ from pyspark.sql import DataFrame
 
 from tidemark.sources import files
 
+# CSV is written with whole microseconds; Spark's default keeps milliseconds.
+CSV_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Replace ``path`` with CSV files that carry a header.
@@ -24,7 +30,7 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     parent, _, name = target.rpartition("/")
     beside = f"{parent}/_{name}-{uuid.uuid4().hex}"
     rows = df.repartition(1) if single_file else df
-    rows.write.mode("errorifexists").option("header", True).csv(f"{beside}-new")
+    rows.write.mode("errorifexists").options(header=True, **CSV_TIMES).csv(f"{beside}-new")
     if files.is_dir(spark, target):
         files.rename(spark, target, f"{beside}-old")
     files.rename(spark, f"{beside}-new", target)

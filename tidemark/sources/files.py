@@ -44,18 +44,30 @@ def total_size(spark: SparkSession, path: str) -> int:
 
 
 def create_text(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a small file; False when the name is already taken."""
+    """Create a small file that shows up complete or not at all; False when the name is
+    already taken.  Written under another name first and renamed without overwriting."""
+    jvm = spark._jvm
     fs, handle = _open(spark, path)
-    try:
-        stream = fs.create(handle, False)
-    except Exception:
-        if fs.exists(handle):
-            return False
-        raise
+    beside = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = fs.create(beside, False)
     try:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
+    # The qualified path names its file system even where ``path`` leaves it out.
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.makeQualified(handle).toUri(), spark._jsc.hadoopConfiguration()
+    )
+    rule = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    rules = spark.sparkContext._gateway.new_array(rule, 1)
+    rules[0] = rule.NONE
+    try:
+        context.rename(beside, handle, rules)
+    except Exception:
+        if not fs.exists(handle):
+            raise
+        fs.delete(beside, False)
+        return False
     return True
 
 
