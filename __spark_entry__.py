@@ -133,15 +133,25 @@ def latest_per_key_window(spark, sf_dir):
     )
 
 
+def _with_hour(spark, sf_dir):
+    return _events(spark, sf_dir).withColumn("hour", tm.hour_start(F.col("ts")))
+
+
+def _hour_as_label(df):
+    return df.select(*EVENT_COLUMNS, tm.partition_label(F.col("hour")).alias("time_stamp"))
+
+
 def latest_per_key_hour(spark, sf_dir):
-    return tm.latest_per_key(
-        _labelled(spark, sf_dir), ["time_stamp", "user_id"], ["ts", "event_id"]
+    newest = tm.latest_per_key(
+        _with_hour(spark, sf_dir), ["hour", "user_id"], ["ts", "event_id"]
     )
+    return _hour_as_label(newest)
 
 
 def upsert_fold(spark, sf_dir):
     """All hours folded in one pass: the newest row per user over the whole table."""
-    return tm.latest_per_key(_labelled(spark, sf_dir), ["user_id"], ["time_stamp", "event_id"])
+    newest = tm.latest_per_key(_with_hour(spark, sf_dir), ["user_id"], ["hour", "event_id"])
+    return _hour_as_label(newest)
 
 
 # -- merging -----------------------------------------------------------------------

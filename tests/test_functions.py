@@ -16,6 +16,20 @@ def test_label_of_an_hour_and_back(spark):
     assert back.first().t == datetime(2026, 5, 1, 4)
 
 
+def test_hours_before_1970_and_without_a_time(spark):
+    df = spark.createDataFrame(
+        [(datetime(1969, 12, 31, 23, 30),), (None,)], "ts timestamp_ntz"
+    ).select(
+        tm.partition_label(F.col("ts")).alias("label"), tm.hour_start(F.col("ts")).alias("hour")
+    )
+    assert rows(df) == [("1969-12-31-23", datetime(1969, 12, 31, 23)), (None, None)]
+
+
+def test_label_of_a_timestamp_is_in_the_session_zone(spark):
+    df = spark.sql("SELECT timestamp'2026-05-01 04:59:59' AS ts")
+    assert df.select(tm.partition_label(F.col("ts"))).first()[0] == "2026-05-01-04"
+
+
 def test_label_is_not_moved_by_a_session_zone_that_skips_the_hour(spark):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")

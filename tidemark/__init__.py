@@ -7,7 +7,7 @@ creates, configures or stops one.
 """
 
 from tidemark.functions.draws import draw_decimal, draw_integer, draw_item
-from tidemark.functions.labels import file_index, label_time, partition_label
+from tidemark.functions.labels import file_index, hour_start, label_time, partition_label
 from tidemark.operators.calendar import hour_calendar, hour_labels, partition_row_counts
 from tidemark.operators.intervals import interval_report
 from tidemark.operators.latest import latest_per_key
@@ -41,6 +41,7 @@ __all__ = [
     "generate_rows",
     "hour_calendar",
     "hour_labels",
+    "hour_start",
     "interval_report",
     "label_time",
     "latest_per_key",

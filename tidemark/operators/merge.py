@@ -29,10 +29,12 @@ def carry_over(
 ) -> DataFrame:
     """Existing rows whose key did not arrive, columns and order unchanged.
 
-    Only the key columns of ``incoming`` are used.  No broadcast is forced: whether
-    the keys are small enough is for Catalyst and adaptive execution to find out.
+    Only the key columns of ``incoming`` are used, each key once: a key that arrived
+    many times would otherwise be shuffled as often, into one task.  No broadcast is
+    forced: whether the keys are small enough is for Catalyst and adaptive execution to
+    find out.
     """
-    arrived = incoming.select(*[F.col(f"`{k}`") for k in keys])
+    arrived = incoming.select(*[F.col(f"`{k}`") for k in keys]).distinct()
     return existing.alias("l").join(arrived.alias("r"), _both(keys, null_safe), "left_anti")
 
 
@@ -92,7 +94,7 @@ def split_upsert(
     newer = same & (_rank("l", version) > _rank("r", version))
     kept = existing.alias("l").join(probe.alias("r"), older, "left_anti")
     ahead = existing.select(*narrow).alias("l").join(probe.alias("r"), newer, "left_semi")
-    accepted = carry_over(incoming, ahead, keys, null_safe)
+    accepted = incoming.alias("l").join(ahead.alias("r"), same, "left_anti")
     return kept, accepted
 
 

@@ -194,7 +194,7 @@ class StateTable:
             staged = f"{self.root}/staged/{attempt}"
             counts = self._write_latest(batch, staged)
             counts["existing_rows"] = _rows(head["layout"])
-            touched = self._bucket_rows(staged)
+            touched = self._bucket_names(staged)
             layout = {
                 old: left
                 for old, rows in head["layout"].items()
@@ -202,7 +202,7 @@ class StateTable:
             }
             accepted = 0
             if touched:
-                accepted = self._write_merged(head, version, staged, set(touched), target)
+                accepted = self._write_merged(head, version, staged, touched, target)
                 layout[attempt] = self._bucket_rows(target)
             counts["remaining_rows"] = _rows(layout) - accepted
             files.delete_tree(self.spark, staged)
@@ -256,7 +256,7 @@ class StateTable:
             "latest_rows": F.count_if(usable),
         }
         (
-            self._rebalanced(newest.withColumn(BUCKET, bucket.cast("int")))
+            self._by_bucket(newest.withColumn(BUCKET, bucket.cast("int")))
             .observe(
                 seen, *[F.coalesce(c, F.lit(0)).cast("bigint").alias(n) for n, c in sums.items()]
             )
@@ -289,11 +289,12 @@ class StateTable:
             kept.withColumn(_ARRIVED, F.lit(0)), accepted.withColumn(_ARRIVED, F.lit(1))
         )
         # A broadcast join leaves the state in the order of its files, a few buckets per
-        # task, which can be written as it is.  After a shuffle join every task holds
-        # every bucket, and from time to time the small files of small batches need
-        # joining up.
-        if not small or version % self.compact_every == 0:
+        # task, which can be written as it is; but from time to time the small files of
+        # small batches need joining up.
+        if version % self.compact_every == 0:
             merged = self._rebalanced(merged)
+        elif not small:
+            merged = self._by_bucket(merged)
         seen = Observation()
         (
             merged.observe(seen, F.coalesce(F.sum(_ARRIVED), F.lit(0)).alias("accepted"))
@@ -303,12 +304,32 @@ class StateTable:
         )
         return seen.get["accepted"]
 
+    def _by_bucket(self, df: DataFrame) -> DataFrame:
+        """Rows that were shuffled on the keys, with few buckets in any one task.
+
+        The bucket is the hash by which Spark shuffles on the keys, so when one of the
+        two numbers divides the other, a shuffle partition is one bucket (or a part of
+        one, or several whole ones) and nothing need be moved.  Otherwise every task
+        holds some of every bucket, and writing that would make a file of each.
+        """
+        partitions = int(
+            self.spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+            or self.spark.conf.get("spark.sql.shuffle.partitions")
+        )
+        aligned = partitions % self.buckets == 0 or self.buckets % partitions == 0
+        return df if aligned else self._rebalanced(df)
+
     def _rebalanced(self, df: DataFrame) -> DataFrame:
         return df.hint("rebalance", F.col(BUCKET)) if self.buckets > 1 else df.hint("rebalance")
 
+    def _bucket_names(self, path: str) -> set[str]:
+        prefix = f"{BUCKET}="
+        names = (e.name for e in files.listing(self.spark, path))
+        return {name.removeprefix(prefix) for name in names if name.startswith(prefix)}
+
     def _bucket_rows(self, path: str) -> dict[str, int]:
         """Rows per bucket of a written folder, from the Parquet footers."""
-        if not any(e.is_dir for e in files.listing(self.spark, path)):
+        if not self._bucket_names(path):
             return {}
         stored = T.StructType(
             list(self.schema.fields) + [T.StructField(BUCKET, T.IntegerType())]
