@@ -72,6 +72,29 @@ def test_repeating_an_old_hour(spark, month, tmp_path):
         assert (rows(state.read()) == before) == (state is version)
 
 
+def test_one_hour_at_a_time(spark, month, tmp_path):
+    state = make(spark, tmp_path / "s")
+    counts = tm.apply_hour(state, month, datetime(2026, 5, 1, 3, 20))
+    assert (counts["incoming_rows"], counts["final_rows"]) == (18, 7)
+    assert tm.apply_hour(state, month, datetime(2026, 5, 1, 2)) is None
+    assert state.versions() == [0]
+
+
+def test_a_csv_destination_can_be_upserted_in_place(spark, month, tmp_path):
+    target = str(tmp_path / "final")
+    hours = [h for h in tm.hour_labels(START, datetime(2026, 5, 1, 4)) if not h.endswith("02")]
+    for number, hour in enumerate(hours):
+        drops = tm.read_drops(spark, month, hours=[hour])
+        newest = tm.latest_per_key(drops, ["id"], ["file_index"]).select(*NAMES)
+        if number:
+            newest = tm.upsert(
+                tm.read_all_strings(spark, target, tm.EMPLOYEE_SCHEMA), newest, ["id"]
+            )
+        tm.export_csv(newest, target)
+    got = rows(tm.read_all_strings(spark, target, tm.EMPLOYEE_SCHEMA))
+    assert sorted(got) == fold(month, hours)
+
+
 def test_nothing_to_do(spark, drop, tmp_path):
     state = make(spark, tmp_path / "s")
     assert rows(tm.backfill(state, drop.base, START, START)) == [("2026-05-01-00", True)]

@@ -101,6 +101,20 @@ def test_every_write_path_gives_the_same_rows(spark, tmp_path, buckets, options,
     assert rows(plain.read()) == rows(other.read())
 
 
+def test_a_bucket_is_what_one_shuffle_partition_holds(spark, tmp_path):
+    # 8 shuffle partitions: 4 and 16 buckets need no second shuffle, 6 do.
+    data = batch(spark, *[(i, "v", "h0", 1) for i in range(500)]).repartition(5)
+    for buckets in (4, 16, 6):
+        state = make(spark, tmp_path / str(buckets), buckets=buckets, broadcast_bytes=0)
+        state.apply(data)
+        state.apply(data.withColumn("hour", F.lit("h1")))
+        for attempt in (tmp_path / str(buckets) / "data").iterdir():
+            files = [len(list(b.glob("*.parquet"))) for b in attempt.glob("bucket=*")]
+            assert len(files) == buckets
+            assert sum(files) <= max(8, buckets)
+        assert state.read().filter("hour = 'h1'").count() == 500
+
+
 def test_null_keys_are_rejected_and_counted(spark, tmp_path):
     state = make(spark, tmp_path / "s")
     state.apply(batch(spark, (1, "a", "h0", 1), (None, "x", "h0", 1)))

@@ -14,7 +14,7 @@ from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import carry_over, union_merge, upsert, upsert_audit
 from tidemark.operators.profile import preview, schema_profile
 from tidemark.operators.tables import partitioned_write, table_load, validate_row_counts
-from tidemark.plans.backfill import backfill, backfill_hourly
+from tidemark.plans.backfill import apply_hour, backfill, backfill_hourly
 from tidemark.plans.flow import TableSpec, run_flow
 from tidemark.plans.generate import generate_rows, write_drops
 from tidemark.plans.state import CommitConflict, StateTable
@@ -28,6 +28,7 @@ __all__ = [
     "EMPLOYEE_SCHEMA",
     "StateTable",
     "TableSpec",
+    "apply_hour",
     "available_hours",
     "backfill",
     "backfill_hourly",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -22,6 +22,21 @@ def _report(state: StateTable, wanted: list[str], present: list[str]) -> DataFra
     return state.spark.createDataFrame([(h, h not in have) for h in wanted], _REPORT)
 
 
+def apply_hour(
+    state: StateTable,
+    base: str,
+    hour: datetime,
+    schema: T.StructType = EMPLOYEE_SCHEMA,
+    pattern: str = DROP_FILE_PATTERN,
+) -> dict | None:
+    """Merge the drops of one hour; returns its audit counts, or None when the hour has
+    no folder and is skipped."""
+    label = hour_labels(hour, hour)[0]
+    if not available_hours(state.spark, base, [label]):
+        return None
+    return state.apply(read_drops(state.spark, base, schema, [label], pattern), label=label)
+
+
 def backfill(
     state: StateTable,
     base: str,
@@ -59,7 +74,9 @@ def backfill_hourly(
     mode.  Returns the same report as ``backfill``.
     """
     wanted = hour_labels(start, end)
-    present = available_hours(state.spark, base, wanted)
-    for hour in present:
-        state.apply(read_drops(state.spark, base, schema, [hour], pattern), label=hour)
+    present = []
+    for number, label in enumerate(wanted):
+        hour = start + timedelta(hours=number)
+        if apply_hour(state, base, hour, schema, pattern) is not None:
+            present.append(label)
     return _report(state, wanted, present)

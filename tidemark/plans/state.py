@@ -151,12 +151,14 @@ class StateTable:
             + [T.StructField(ATTEMPT, T.StringType()), T.StructField(BUCKET, T.IntegerType())]
         )
         data = f"{self.root}/data"
-        paths = [
-            f"{data}/{ATTEMPT}={attempt}/{BUCKET}={b}"
-            for attempt, rows in layout.items()
-            for b in rows
-            if only is None or int(b) in only
-        ]
+        paths = []
+        for attempt, rows in layout.items():
+            folder = f"{data}/{ATTEMPT}={attempt}"
+            wanted = [b for b in rows if only is None or int(b) in only]
+            if len(wanted) == self.buckets:
+                paths.append(folder)
+            else:
+                paths += [f"{folder}/{BUCKET}={b}" for b in wanted]
         if not paths:
             return self.spark.createDataFrame([], stored).drop(ATTEMPT)
         return (
