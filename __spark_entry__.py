@@ -19,7 +19,6 @@ from pyspark.sql import types as T
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import tidemark as tm  # noqa: E402
-from tidemark.operators.calendar import partition_calendar  # noqa: E402
 from tidemark.sources.files import scratch_path  # noqa: E402
 
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -108,12 +107,12 @@ def drop_scan(spark, sf_dir):
 
 
 def partition_row_counts(spark, sf_dir):
-    return tm.partition_row_counts(_events(spark, sf_dir), _label())
+    return tm.hourly_row_counts(_events(spark, sf_dir), "ts")
 
 
-def partition_calendar_query(spark, sf_dir):
+def partition_calendar(spark, sf_dir):
     hours = tm.hour_calendar(spark, datetime(2024, 1, 1), datetime(2024, 1, 31, 23))
-    return partition_calendar(hours, partition_row_counts(spark, sf_dir))
+    return tm.partition_calendar(hours, partition_row_counts(spark, sf_dir))
 
 
 def interval_report(spark, sf_dir):
@@ -414,7 +413,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "typed_state_scan": typed_state_scan,
         "drop_scan": drop_scan,
         "partition_row_counts": partition_row_counts,
-        "partition_calendar": partition_calendar_query,
+        "partition_calendar": partition_calendar,
         "interval_report": interval_report,
         "latest_per_key": latest_per_key,
         "latest_per_key_window": latest_per_key_window,

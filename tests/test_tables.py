@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 
 import tidemark as tm
 from conftest import rows
-from tidemark.operators.calendar import partition_calendar
 
 
 def test_row_count_validation(spark):
@@ -102,6 +101,18 @@ def test_interval_report(spark):
 def test_calendar_flags_missing_hours(spark):
     hours = spark.createDataFrame([("a",), ("b",)], "time_stamp string")
     df = spark.createDataFrame([("a",), ("a",)], "h string")
-    counts = tm.partition_row_counts(df, F.col("h"))
+    counts = tm.partition_row_counts(df, "h")
     assert rows(counts) == [("a", 2)]
-    assert rows(partition_calendar(hours, counts)) == [("a", 2, False), ("b", 0, True)]
+    assert rows(tm.partition_calendar(hours, counts)) == [("a", 2, False), ("b", 0, True)]
+
+
+def test_rows_per_hour(spark):
+    df = spark.sql(
+        "SELECT explode(array(timestamp_ntz'2026-05-01 15:00:00',"
+        " timestamp_ntz'2026-05-01 15:59:59', timestamp_ntz'2026-05-02 00:00:00', NULL)) AS ts"
+    )
+    assert rows(tm.hourly_row_counts(df, "ts")) == [
+        ("2026-05-01-15", 2),
+        ("2026-05-02-00", 1),
+        (None, 1),
+    ]

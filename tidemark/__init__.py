@@ -8,7 +8,13 @@ creates, configures or stops one.
 
 from tidemark.functions.draws import draw_decimal, draw_integer, draw_item
 from tidemark.functions.labels import file_index, hour_start, label_time, partition_label
-from tidemark.operators.calendar import hour_calendar, hour_labels, partition_row_counts
+from tidemark.operators.calendar import (
+    hour_calendar,
+    hour_labels,
+    hourly_row_counts,
+    partition_calendar,
+    partition_row_counts,
+)
 from tidemark.operators.intervals import interval_report
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import carry_over, union_merge, upsert, upsert_audit
@@ -43,9 +49,11 @@ __all__ = [
     "hour_calendar",
     "hour_labels",
     "hour_start",
+    "hourly_row_counts",
     "interval_report",
     "label_time",
     "latest_per_key",
+    "partition_calendar",
     "partition_label",
     "partition_row_counts",
     "partitioned_write",

@@ -17,7 +17,7 @@ def hour_start(ts: Column) -> Column:
     first move a ``timestamp_ntz`` into the session zone, and so shift the hours which
     that zone skips.
     """
-    return F.to_date(ts).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.hour(ts))
+    return F.to_date(ts).cast("timestamp_ntz") + F.expr("INTERVAL '1' HOUR") * F.hour(ts)
 
 
 def partition_label(ts: Column) -> Column:
@@ -26,8 +26,13 @@ def partition_label(ts: Column) -> Column:
     Where rows are grouped or compared by hour, ``hour_start`` is the cheaper value to
     do it on; the label can be added to the result.
     """
+    return day_hour_label(F.to_date(ts), F.hour(ts))
+
+
+def day_hour_label(day: Column, hour: Column) -> Column:
+    """The label of hour 0..23 of a date."""
     hours = F.array(*[F.lit(f"-{h:02d}") for h in range(24)])
-    return F.concat(F.to_date(ts).cast("string"), F.element_at(hours, F.hour(ts) + 1))
+    return F.concat(day.cast("string"), F.element_at(hours, hour + 1))
 
 
 def label_time(label: Column) -> Column:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.labels import partition_label
+from tidemark.functions.labels import day_hour_label, partition_label
 
 _LABEL = "%Y-%m-%d-%H"
 
@@ -29,9 +29,18 @@ def hour_calendar(spark: SparkSession, start: datetime, end: datetime) -> DataFr
     )
 
 
-def partition_row_counts(df: DataFrame, label: Column) -> DataFrame:
-    """``time_stamp, n_rows`` for the hours that have rows."""
-    return df.groupBy(label.alias("time_stamp")).agg(F.count(F.lit(1)).alias("n_rows"))
+def partition_row_counts(df: DataFrame, label: str) -> DataFrame:
+    """``time_stamp, n_rows`` for the hours that have rows, by a label column."""
+    return df.groupBy(F.col(label).alias("time_stamp")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def hourly_row_counts(df: DataFrame, ts: str) -> DataFrame:
+    """The same for rows that have a time.  They are grouped on two small numbers, and
+    only the groups are given labels."""
+    groups = df.groupBy(F.to_date(ts).alias("day"), F.hour(ts).alias("hour"))
+    return groups.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        day_hour_label(F.col("day"), F.col("hour")).alias("time_stamp"), "n_rows"
+    )
 
 
 def partition_calendar(calendar: DataFrame, counts: DataFrame) -> DataFrame:
