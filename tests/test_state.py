@@ -87,7 +87,7 @@ def test_untouched_buckets_are_not_rewritten(spark, tmp_path):
     assert not list((tmp_path / "s" / "staged").iterdir())
 
 
-@pytest.mark.parametrize("options", [{"broadcast_bytes": 0}, {"compact_every": 1}])
+@pytest.mark.parametrize("options", [{"broadcast_bytes": 0}, {"broadcast_rows": 0, "compact_every": 1}])
 @pytest.mark.parametrize("mode", ["version", "arrival"])
 def test_every_write_path_gives_the_same_rows(spark, tmp_path, buckets, options, mode):
     batches = [
@@ -213,7 +213,10 @@ def test_expire_keeps_what_is_needed(spark, tmp_path):
     for h in range(5):
         state.apply(batch(spark, *[(i, f"v{h}", f"h{h}", 1) for i in range(h, 12, h + 1)]))
     newest, previous = rows(state.read()), rows(state.read(3))
+    (tmp_path / "s" / "staged" / "0000000002-dead").mkdir()
+    (tmp_path / "s" / "staged" / "0000000005-busy").mkdir()
     state.expire(keep=2)
+    assert [p.name for p in (tmp_path / "s" / "staged").iterdir()] == ["0000000005-busy"]
     assert rows(state.read()) == newest
     assert rows(state.read(3)) == previous
     state.expire(keep=1)

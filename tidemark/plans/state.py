@@ -60,6 +60,11 @@ class StateTable:
     row whatever the order of batches; ``mode='arrival'`` lets every batch replace what
     is there.  ``buckets`` fixes into how many parts the keys are hashed: 1 rewrites the
     whole table per batch, more lets small batches touch a part of it.
+
+    The keys of a batch are broadcast when the batch, reduced to one row per key and
+    written out, stays within both ``broadcast_bytes`` and ``broadcast_rows``; a larger
+    one is joined by shuffling.  Every ``compact_every`` versions the files of the
+    touched buckets are joined up.
     """
 
     def __init__(
@@ -74,6 +79,7 @@ class StateTable:
         null_keys: str = "reject",
         buckets: int = 1,
         broadcast_bytes: int = 32 << 20,
+        broadcast_rows: int = 1_000_000,
         compact_every: int = 16,
     ):
         if mode not in ("version", "arrival"):
@@ -92,6 +98,7 @@ class StateTable:
         self.null_keys = null_keys
         self.buckets = buckets
         self.broadcast_bytes = broadcast_bytes
+        self.broadcast_rows = broadcast_rows
         self.compact_every = compact_every
 
     # -- reading -------------------------------------------------------------------
@@ -204,7 +211,12 @@ class StateTable:
             }
             accepted = 0
             if touched:
-                accepted = self._write_merged(head, version, staged, touched, target)
+                # The batch was just written, so its size is known and not estimated.
+                small = (
+                    counts["latest_rows"] <= self.broadcast_rows
+                    and files.total_size(self.spark, staged) <= self.broadcast_bytes
+                )
+                accepted = self._write_merged(head, version, staged, touched, target, small)
                 layout[attempt] = self._bucket_rows(target)
             counts["remaining_rows"] = _rows(layout) - accepted
             files.delete_tree(self.spark, staged)
@@ -270,15 +282,19 @@ class StateTable:
         return dict(seen.get)
 
     def _write_merged(
-        self, head: dict, version: int, staged: str, touched: set[str], target: str
+        self,
+        head: dict,
+        version: int,
+        staged: str,
+        touched: set[str],
+        target: str,
+        small: bool,
     ) -> int:
         """Rewrite the touched buckets; returns how many arriving rows were accepted."""
         stored = T.StructType(
             list(self.schema.fields) + [T.StructField(BUCKET, T.IntegerType())]
         )
         incoming = self.spark.read.schema(stored).parquet(staged)
-        # The batch was just written, so its size is known and not estimated.
-        small = files.total_size(self.spark, staged) <= self.broadcast_bytes
         kept, accepted = split_upsert(
             self._scan(head["layout"], {int(b) for b in touched}),
             incoming,
@@ -347,8 +363,8 @@ class StateTable:
     def expire(self, keep: int = 2) -> None:
         """Drop the data that none of the ``keep`` newest versions needs.
 
-        The reference point is the oldest version kept: attempts made after it may
-        belong to a writer still at work and are left alone.
+        Attempts numbered after the oldest version kept may belong to a writer still at
+        work and are left alone.
         """
         if keep < 1:
             raise ValueError("keep must be at least 1")
@@ -362,6 +378,9 @@ class StateTable:
             for b in rows
         }
         in_use = {attempt for attempt, _ in needed}
+        for entry in files.listing(self.spark, f"{self.root}/staged"):
+            if int(entry.name.partition("-")[0]) <= kept[0]:
+                files.delete_tree(self.spark, f"{self.root}/staged/{entry.name}")
         data = f"{self.root}/data"
         for entry in files.listing(self.spark, data):
             attempt = entry.name.removeprefix(f"{ATTEMPT}=")
