@@ -22,7 +22,8 @@ import tidemark as tm  # noqa: E402
 from tidemark.sources.files import scratch_path  # noqa: E402
 
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
-BATCH_START, BATCH_END = "2024-01-15 00:00:00", "2024-01-15 06:00:00"
+BATCH_START = "2024-01-30 18:00:00"  # what came before is state, the rest is the batch
+MONTH = datetime(2024, 1, 1), datetime(2024, 1, 31, 23)
 BASE_TABLES = ["nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 SEED = 7
 
@@ -56,8 +57,7 @@ def _before(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ts = F.col("ts")
-    return _events(spark, sf_dir).filter((ts >= _time(BATCH_START)) & (ts < _time(BATCH_END)))
+    return _events(spark, sf_dir).filter(F.col("ts") >= _time(BATCH_START))
 
 
 # -- scans and projections ---------------------------------------------------------
@@ -92,14 +92,13 @@ def typed_state_scan(spark, sf_dir):
 
 
 def drop_scan(spark, sf_dir):
-    """Events dropped as hourly CSV folders and scanned back with their origin, for the
-    hours of the batch only."""
+    """Events dropped as hourly CSV folders and scanned back with their origin, for all
+    hours of the month that have a folder."""
     base = scratch_path(spark, "drop_scan")
     drops = _labelled(spark, sf_dir).withColumn("file_index", F.dayofmonth("ts") % 3 + 1)
     tm.write_drops(drops.hint("rebalance", F.col("time_stamp"), F.col("file_index")), base)
-    start, end = (datetime.fromisoformat(t) for t in (BATCH_START, BATCH_END))
     schema = T.StructType([f for f in drops.schema.fields if f.name in EVENT_COLUMNS])
-    rows = tm.read_drops(spark, base, schema, tm.hour_labels(start, end))
+    rows = tm.read_drops(spark, base, schema, tm.hour_labels(*MONTH))
     return rows.drop("_corrupt_record")
 
 
@@ -111,7 +110,7 @@ def partition_row_counts(spark, sf_dir):
 
 
 def partition_calendar(spark, sf_dir):
-    hours = tm.hour_calendar(spark, datetime(2024, 1, 1), datetime(2024, 1, 31, 23))
+    hours = tm.hour_calendar(spark, *MONTH)
     return tm.partition_calendar(hours, partition_row_counts(spark, sf_dir))
 
 
@@ -157,10 +156,10 @@ def upsert_fold(spark, sf_dir):
 
 
 def bootstrap_load(spark, sf_dir):
-    """The first hour becomes the state."""
-    first = _events(spark, sf_dir).filter(F.col("ts") < _time("2024-01-01 01:00:00"))
+    """The first batch, here the whole table, becomes the state."""
+    first = _events(spark, sf_dir)
     state = _event_state(spark, "bootstrap_load", first.schema)
-    state.apply(first, label="2024-01-01-00")
+    state.apply(first, label="first")
     return state.read()
 
 
@@ -276,7 +275,7 @@ def drop_backfill(spark, sf_dir):
         keys=["id"],
         version=["time_stamp", "file_index"],
     )
-    tm.backfill(state, base, datetime(2024, 1, 1), datetime(2024, 1, 31, 23))
+    tm.backfill(state, base, *MONTH)
     target = scratch_path(spark, "backfill_export")
     tm.export_csv(state.read().select(*tm.EMPLOYEE_SCHEMA.names), target)
     return tm.read_all_strings(spark, target, tm.EMPLOYEE_SCHEMA)
@@ -444,7 +443,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _COLS = ", ".join(EVENT_COLUMNS)
 _LABEL = "strftime(ts, '%Y-%m-%d-%H')"
 _NEWEST = "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"
-_IN_BATCH = f"ts >= TIMESTAMP '{BATCH_START}' AND ts < TIMESTAMP '{BATCH_END}'"
+_IN_BATCH = f"ts >= TIMESTAMP '{BATCH_START}'"
 _E_AND_I = f"""
     WITH e AS (SELECT {_COLS} FROM events WHERE ts < TIMESTAMP '{BATCH_START}' {_NEWEST}),
          i AS (SELECT {_COLS} FROM events WHERE {_IN_BATCH} {_NEWEST})
@@ -541,9 +540,7 @@ def oracle_sql() -> dict[str, str]:
         "drop_scan": f"""
             SELECT {_COLS}, {_LABEL} AS time_stamp,
                    CAST(day(ts) % 3 + 1 AS INTEGER) AS file_index
-            FROM events
-            WHERE ts >= TIMESTAMP '{BATCH_START}'
-              AND ts < TIMESTAMP '{BATCH_END}' + INTERVAL 1 HOUR""",
+            FROM events""",
         "partition_row_counts": _COUNTS,
         "partition_calendar": f"""
             WITH hours AS (
@@ -567,8 +564,7 @@ def oracle_sql() -> dict[str, str]:
             QUALIFY row_number() OVER (
                 PARTITION BY {_LABEL}, user_id ORDER BY ts DESC, event_id DESC) = 1""",
         "upsert_fold": _FOLD,
-        "bootstrap_load": f"""
-            SELECT {_COLS} FROM events WHERE ts < TIMESTAMP '2024-01-01 01:00:00' {_NEWEST}""",
+        "bootstrap_load": f"SELECT {_COLS} FROM events {_NEWEST}",
         "carry_over": f"""
             {_E_AND_I} SELECT * FROM e
             WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.user_id = e.user_id)""",
@@ -576,8 +572,7 @@ def oracle_sql() -> dict[str, str]:
         "upsert_batch": f"""
             {_E_AND_I} SELECT * FROM e WHERE user_id NOT IN (SELECT user_id FROM i)
             UNION ALL SELECT * FROM i""",
-        "upsert_stale_batch": f"""
-            SELECT {_COLS} FROM events WHERE ts < TIMESTAMP '{BATCH_END}' {_NEWEST}""",
+        "upsert_stale_batch": f"SELECT {_COLS} FROM events {_NEWEST}",
         "upsert_audit": f"""
             {_E_AND_I}
             SELECT (SELECT count(*) FROM events WHERE {_IN_BATCH}) AS incoming_rows,
@@ -587,8 +582,7 @@ def oracle_sql() -> dict[str, str]:
                        AS remaining_rows,
                    (SELECT count(*) FROM (SELECT user_id FROM e UNION SELECT user_id FROM i))
                        AS final_rows""",
-        "state_upsert": f"""
-            SELECT {_COLS} FROM events WHERE ts < TIMESTAMP '{BATCH_END}' {_NEWEST}""",
+        "state_upsert": f"SELECT {_COLS} FROM events {_NEWEST}",
         "state_audit": f"""
             {_E_AND_I}
             SELECT CAST(0 AS BIGINT) AS version, 'before' AS label,

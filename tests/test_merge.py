@@ -1,7 +1,10 @@
 import pytest
 
+from pyspark.sql import functions as F
+
 import tidemark as tm
 from conftest import plan_of, rows
+from tidemark.operators.merge import split_upsert
 
 
 def table(spark, data, schema="id int, n int, v string"):
@@ -90,3 +93,19 @@ def test_small_batch_does_not_shuffle_the_state(spark, tmp_path):
     plan = plan_of(tm.upsert(state, batch.hint("broadcast"), ["id"]))
     assert "LeftAnti, BuildRight" in plan
     assert "hashpartitioning" not in plan
+
+
+def test_version_check_scans_only_keys_and_versions_a_second_time(spark, tmp_path):
+    state_path, batch_path = str(tmp_path / "state"), str(tmp_path / "batch")
+    spark.range(1000).selectExpr("id", "id AS n", "cast(id AS string) AS v").write.parquet(
+        state_path
+    )
+    spark.range(5, 9).selectExpr("id", "id * 2 AS n", "'x' AS v").write.parquet(batch_path)
+    state, batch = spark.read.parquet(state_path), spark.read.parquet(batch_path)
+    kept, accepted = split_upsert(state, batch, F.broadcast(batch), ["id"], ["n"], False)
+    plan = plan_of(kept.unionByName(accepted))
+    assert plan.count("ReadSchema: struct<id:bigint,n:bigint,v:string>") == 2
+    assert "ReadSchema: struct<id:bigint,n:bigint>" in plan
+    wide = plan_of(kept)
+    assert "LeftAnti, BuildRight" in wide and "hashpartitioning" not in wide
+    assert kept.count() + accepted.count() == 1000

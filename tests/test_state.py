@@ -251,14 +251,30 @@ def test_any_order_of_batches_gives_one_state(spark, tmp_path):
     assert len(results) == 1
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
-@given(
-    st.lists(
-        st.lists(st.tuples(st.integers(0, 6), st.integers(1, 3)), max_size=8),
-        min_size=1,
-        max_size=4,
-    )
+BATCHES = st.lists(
+    st.lists(st.tuples(st.integers(0, 6), st.integers(1, 3)), max_size=8), min_size=1, max_size=4
 )
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(BATCHES, st.randoms(use_true_random=False))
+def test_version_equals_a_maximum_in_python(spark, tmp_path_factory, batches, random):
+    state = make(spark, tmp_path_factory.mktemp("s") / "t", buckets=3)
+    arriving = [
+        [(k, f"{h}", f"h{h}", n) for k, n in data] for h, data in enumerate(batches)
+    ]
+    random.shuffle(arriving)
+    want = {}
+    for data in arriving:
+        state.apply(batch(spark, *data))
+        for row in data:
+            if row[0] not in want or want[row[0]][2:] <= row[2:]:
+                want[row[0]] = row
+    assert sorted(rows(state.read())) == sorted(want.values())
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(BATCHES)
 def test_arrival_equals_a_fold_in_python(spark, tmp_path_factory, batches):
     state = make(spark, tmp_path_factory.mktemp("s") / "t", mode="arrival", buckets=3)
     want = {}
