@@ -95,6 +95,21 @@ def test_export_over_its_own_input_keeps_all_rows(spark, tmp_path):
     assert [e.name for e in listing(spark, str(tmp_path))] == ["out"]
 
 
+def test_export_to_a_relative_path(spark, tmp_path):
+    before = spark._jvm.org.apache.hadoop.fs.Path("out").getFileSystem(
+        spark._jsc.hadoopConfiguration()
+    )
+    home = before.getWorkingDirectory()
+    before.setWorkingDirectory(spark._jvm.org.apache.hadoop.fs.Path(str(tmp_path)))
+    try:
+        for n in (5, 7):
+            tm.export_csv(spark.range(n), "out")
+            assert spark.read.schema("id long").option("header", True).csv("out").count() == n
+        assert (tmp_path / "out").is_dir()
+    finally:
+        before.setWorkingDirectory(home)
+
+
 def test_failed_export_leaves_the_previous_one(spark, tmp_path):
     path = str(tmp_path / "out")
     tm.export_csv(spark.range(10), path)

@@ -232,12 +232,29 @@ def test_changed_declaration_is_refused(spark, tmp_path):
         make(spark, tmp_path / "s", buckets=2).read(7)
 
 
-@pytest.mark.parametrize("bad", [{"mode": "x"}, {"null_keys": "x"}, {"buckets": 0}])
+@pytest.mark.parametrize(
+    "bad",
+    [
+        {"mode": "x"},
+        {"null_keys": "x"},
+        {"buckets": 0},
+        {"keys": []},
+        {"version": []},
+        {"keys": ["nope"]},
+        {"tiebreak": ["nope"]},
+    ],
+)
 def test_bad_options(spark, tmp_path, bad):
     with pytest.raises(ValueError):
         make(spark, tmp_path, **bad)
 
 
+def test_column_names_of_the_state_are_refused(spark, tmp_path):
+    schema = T.StructType(SCHEMA.fields + [T.StructField("bucket", T.IntegerType())])
+    with pytest.raises(ValueError, match="bucket"):
+        tm.StateTable(spark, str(tmp_path), schema, ["id"], ["n"])
+
+
 def test_any_order_of_batches_gives_one_state(spark, tmp_path):
     hours = [
         [(i, f"{h}-{i}", f"h{h}", 1 + i % 2) for i in range(h, 9, h + 1)] for h in range(3)

@@ -88,6 +88,14 @@ class StateTable:
             raise ValueError(f"null_keys must be 'reject' or 'match', not {null_keys!r}")
         if not 1 <= buckets <= _MAX_BUCKETS:
             raise ValueError(f"buckets must be in 1..{_MAX_BUCKETS}")
+        if not keys:
+            raise ValueError("a state needs key columns")
+        if mode == "version" and not version:
+            raise ValueError("mode='version' needs version columns")
+        if unknown := {*keys, *version, *tiebreak}.difference(schema.names):
+            raise ValueError(f"not in the schema: {sorted(unknown)}")
+        if taken := {BUCKET, ATTEMPT}.intersection(schema.names):
+            raise ValueError(f"column names used by the state itself: {sorted(taken)}")
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema

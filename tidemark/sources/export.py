@@ -27,8 +27,8 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """
     spark = df.sparkSession
     target = path.rstrip("/")
-    parent, _, name = target.rpartition("/")
-    beside = f"{parent}/_{name}-{uuid.uuid4().hex}"
+    parent, slash, name = target.rpartition("/")
+    beside = f"{parent}{slash}_{name}-{uuid.uuid4().hex}"
     rows = df.repartition(1) if single_file else df
     rows.write.mode("errorifexists").options(header=True, **CSV_TIMES).csv(f"{beside}-new")
     if files.is_dir(spark, target):
