@@ -65,28 +65,30 @@ def upsert(
     if not null_safe:
         existing = existing.filter(_has_key(keys))
         incoming = incoming.filter(_has_key(keys))
-    kept, accepted = split_upsert(existing, incoming, incoming, keys, version, null_safe)
+    kept, accepted = split_upsert(existing, incoming, keys, version, null_safe)
     return union_merge(kept, accepted)
 
 
 def split_upsert(
     existing: DataFrame,
     incoming: DataFrame,
-    probe: DataFrame,
     keys: Sequence[str],
     version: Sequence[str],
     null_safe: bool,
+    small: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """The two halves of an upsert: rows kept from ``existing``, rows accepted from
-    ``incoming``.  ``probe`` is ``incoming`` again, possibly marked for broadcast; only
-    its key and version columns are read.
+    ``incoming``.
 
-    The state itself is on the left of every join, so with a small batch it is
-    streamed past the batch's keys and not shuffled.  The version check costs a second
-    scan of the state, but only of its key and version columns.
+    The state itself is on the left of its joins.  With ``small``, for which the caller
+    has checked the size of ``incoming``, the batch's keys are broadcast and the state is
+    streamed past them without a shuffle.  The version check costs a second scan of the
+    state, but only of its key and version columns; what it finds is no longer than the
+    batch, since both sides hold one row per key.
     """
+    mark = F.broadcast if small else lambda df: df
     narrow = [F.col(f"`{c}`") for c in dict.fromkeys([*keys, *version])]
-    probe = probe.select(*narrow)
+    probe = mark(incoming.select(*narrow))
     same = _both(keys, null_safe)
     if not version:
         return existing.alias("l").join(probe.alias("r"), same, "left_anti"), incoming
@@ -94,7 +96,7 @@ def split_upsert(
     newer = same & (_rank("l", version) > _rank("r", version))
     kept = existing.alias("l").join(probe.alias("r"), older, "left_anti")
     ahead = existing.select(*narrow).alias("l").join(probe.alias("r"), newer, "left_semi")
-    accepted = incoming.alias("l").join(ahead.alias("r"), same, "left_anti")
+    accepted = incoming.alias("l").join(mark(ahead).alias("r"), same, "left_anti")
     return kept, accepted
 
 

@@ -204,14 +204,14 @@ class StateTable:
         attempt = f"{version:010d}-{uuid.uuid4().hex[:12]}"
         target = f"{self.root}/data/{ATTEMPT}={attempt}"
         if head is None:
-            counts = self._write_latest(batch, target)
+            counts = self._write_latest(batch, target, by_bucket=True)
             layout = {attempt: self._bucket_rows(target)}
             counts["existing_rows"] = counts["remaining_rows"] = 0
         else:
             staged = f"{self.root}/staged/{attempt}"
-            counts = self._write_latest(batch, staged)
+            counts = self._write_latest(batch, staged, by_bucket=False)
             counts["existing_rows"] = _rows(head["layout"])
-            touched = self._bucket_names(staged)
+            touched = self._touched(staged) if counts["latest_rows"] else set()
             layout = {
                 old: left
                 for old, rows in head["layout"].items()
@@ -242,8 +242,9 @@ class StateTable:
         )
         return {count: counts[count] for count in AUDIT_COUNTS}
 
-    def _write_latest(self, batch: DataFrame, path: str) -> dict[str, int]:
-        """Newest row per key of the batch, by bucket, with the counts of the batch.
+    def _write_latest(self, batch: DataFrame, path: str, by_bucket: bool) -> dict[str, int]:
+        """Newest row per key of the batch with its bucket, as a folder per bucket or as a
+        plain table; returns the counts of the batch.
 
         The batch is read once.  Its counts travel with the rows and are observed in
         the stage that writes them, the only kind of stage whose metrics Spark counts
@@ -277,16 +278,16 @@ class StateTable:
             "malformed_rows": F.sum("__malformed"),
             "latest_rows": F.count_if(usable),
         }
-        (
-            self._by_bucket(newest.withColumn(BUCKET, bucket.cast("int")))
+        newest = newest.withColumn(BUCKET, bucket.cast("int"))
+        rows = (
+            (self._by_bucket(newest) if by_bucket else newest)
             .observe(
                 seen, *[F.coalesce(c, F.lit(0)).cast("bigint").alias(n) for n, c in sums.items()]
             )
             .filter(usable)
             .select(*self._columns(), BUCKET)
-            .write.partitionBy(BUCKET)
-            .parquet(path)
         )
+        (rows.write.partitionBy(BUCKET) if by_bucket else rows.write).parquet(path)
         return dict(seen.get)
 
     def _write_merged(
@@ -299,18 +300,18 @@ class StateTable:
         small: bool,
     ) -> int:
         """Rewrite the touched buckets; returns how many arriving rows were accepted."""
-        stored = T.StructType(
-            list(self.schema.fields) + [T.StructField(BUCKET, T.IntegerType())]
-        )
-        incoming = self.spark.read.schema(stored).parquet(staged)
         kept, accepted = split_upsert(
             self._scan(head["layout"], {int(b) for b in touched}),
-            incoming,
-            F.broadcast(incoming) if small else incoming,
+            self._read_bucketed(staged),
             self.keys,
             self.version if self.mode == "version" else (),
             null_safe=self.null_keys == "match",
+            small=small,
         )
+        if small:
+            # Each touched bucket gets a small file: let many tasks make them.
+            cores = self.spark.sparkContext.defaultParallelism
+            accepted = accepted.repartition(min(len(touched), cores), BUCKET)
         merged = union_merge(
             kept.withColumn(_ARRIVED, F.lit(0)), accepted.withColumn(_ARRIVED, F.lit(1))
         )
@@ -348,20 +349,23 @@ class StateTable:
     def _rebalanced(self, df: DataFrame) -> DataFrame:
         return df.hint("rebalance", F.col(BUCKET)) if self.buckets > 1 else df.hint("rebalance")
 
-    def _bucket_names(self, path: str) -> set[str]:
-        prefix = f"{BUCKET}="
-        names = (e.name for e in files.listing(self.spark, path))
-        return {name.removeprefix(prefix) for name in names if name.startswith(prefix)}
+    def _read_bucketed(self, path: str) -> DataFrame:
+        bucket = T.StructField(BUCKET, T.IntegerType())
+        return self.spark.read.schema(T.StructType([*self.schema.fields, bucket])).parquet(path)
+
+    def _touched(self, staged: str) -> set[str]:
+        """The buckets a staged batch has keys of; at most ``buckets`` of them."""
+        if self.buckets == 1:
+            return {"0"}
+        found = self._read_bucketed(staged).select(BUCKET).distinct().collect()
+        return {str(row[BUCKET]) for row in found}
 
     def _bucket_rows(self, path: str) -> dict[str, int]:
         """Rows per bucket of a written folder, from the Parquet footers."""
-        if not self._bucket_names(path):
+        if not any(entry.is_dir for entry in files.listing(self.spark, path)):
             return {}
-        stored = T.StructType(
-            list(self.schema.fields) + [T.StructField(BUCKET, T.IntegerType())]
-        )
-        counted = self.spark.read.schema(stored).parquet(path).groupBy(BUCKET).count()
-        return {str(b): n for b, n in counted.collect()}  # at most ``buckets`` rows
+        counted = self._read_bucketed(path).groupBy(BUCKET).count().collect()
+        return {str(b): n for b, n in counted}  # at most ``buckets`` rows
 
     def _publish(self, commit: dict) -> None:
         path = self._commit_path(commit["version"])
