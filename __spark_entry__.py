@@ -403,7 +403,28 @@ def entry(spark: SparkSession) -> DataFrame:
     return upsert_fold(spark, "/root/testdata/sf0.001")
 
 
+def _llm():
+    """Queries and SQL of the ``llm`` subpackage, or None where it is not installed."""
+    try:
+        from tidemark.llm import queries as llm
+    except ModuleNotFoundError as error:
+        if error.name not in ("tidemark.llm", "tidemark.llm.queries"):
+            raise
+        return None
+    return llm
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    llm = _llm()
+    return library_queries() | (llm.queries() if llm else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    llm = _llm()
+    return library_sql() | (llm.oracle_sql() if llm else {})
+
+
+def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scan_project": scan_project,
         "partition_label": partition_label,
@@ -499,7 +520,7 @@ def _count_of(table: str, where: str = "true") -> str:
     return f"(SELECT count(*) FROM {table} WHERE {where})"
 
 
-def oracle_sql() -> dict[str, str]:
+def library_sql() -> dict[str, str]:
     flow_steps = [
         ("orders", "validate", _count_of("orders")),
         ("orders", "transform", _count_of("orders")),

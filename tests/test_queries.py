@@ -26,10 +26,10 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.library_queries()) == set(entry.library_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.library_queries()))
 def test_query_equals_sql(spark, duck, name):
     sql = entry.oracle_sql()[name]
     result, _ = compare(spark, duck, SF_DIR, name, entry.queries()[name], sql)
