@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from tidemark.llm import line_crf, nbsvm
 from tidemark.llm.decontaminate import contaminated, find_passages, item_digest
 from tidemark.llm.license_scan import scan_licences
 from tidemark.llm.tree_bpe import round_trip_digests
@@ -16,6 +17,34 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_crf(spark, sf_dir):
+    """Counts and verdicts of every document; the field is trained on labelled documents
+    outside the held-out fold."""
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = line_crf.train(documents, labels.filter(nbsvm.fold("doc_id") != 0))
+    judged = line_crf.judge(documents, model)
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "content_share",
+    )
+
+
+def op6_nbsvm(spark, sf_dir):
+    """Scores of every document, learnt from labelled documents outside the held-out fold."""
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = nbsvm.train(documents, labels.filter(nbsvm.fold("doc_id") != 0))
+    scored = nbsvm.score(documents, model)
+    held_out = (nbsvm.fold("doc_id") == 0).alias("held_out")
+    return scored.select("doc_id", held_out, "score", "predicted")
+
+
 def op8_tree_bpe(spark, sf_dir):
     """Tokens of every document by the tree of joins, decoded again."""
     return round_trip_digests(
@@ -48,6 +77,8 @@ def op10_license_scan(spark, sf_dir):
 
 def queries():
     return {
+        "op1_line_crf": op1_line_crf,
+        "op6_nbsvm": op6_nbsvm,
         "op8_tree_bpe": op8_tree_bpe,
         "op9_decontaminate": op9_decontaminate,
         "op10_license_scan": op10_license_scan,
