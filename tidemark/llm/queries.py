@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import line_crf, nbsvm
 from tidemark.llm.decontaminate import contaminated, find_passages, item_digest
+from tidemark.llm.interleave import SEED, SHARDS, shard_rows
 from tidemark.llm.license_scan import scan_licences
 from tidemark.llm.tree_bpe import round_trip_digests
+from tidemark.llm.url_rules import filter_urls
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -36,6 +38,17 @@ def op1_line_crf(spark, sf_dir):
     )
 
 
+def op4_url_rules(spark, sf_dir):
+    """Verdicts on every page's URL."""
+    found = filter_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_interleave(spark, sf_dir):
+    """Every document's shard and place in it."""
+    return shard_rows(_table(spark, sf_dir, "documents"))
+
+
 def op6_nbsvm(spark, sf_dir):
     """Scores of every document, learnt from labelled documents outside the held-out fold."""
     documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -78,6 +91,8 @@ def op10_license_scan(spark, sf_dir):
 def queries():
     return {
         "op1_line_crf": op1_line_crf,
+        "op4_url_rules": op4_url_rules,
+        "op5_interleave": op5_interleave,
         "op6_nbsvm": op6_nbsvm,
         "op8_tree_bpe": op8_tree_bpe,
         "op9_decontaminate": op9_decontaminate,
@@ -113,6 +128,40 @@ _DECONTAMINATE = f"""
     FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+_INTERLEAVE = f"""
+    WITH bits AS (
+        SELECT i, list_reduce(
+            range(8), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)), i) AS v FROM range(256) r(i)),
+    crc_table AS (SELECT list(CAST(v AS BIGINT) ORDER BY i) AS t FROM bits),
+    rows_of AS (
+        SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 8 AS size,
+               list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                              lambda h: CAST('0x' || h AS BIGINT)) AS bytes,
+               coalesce('=' || source, '') AS source,
+               md5('{SEED}|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+        FROM documents),
+    summed AS (
+        SELECT doc_id, size, source, key,
+               xor(list_reduce(bytes, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]),
+                               CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT)) AS crc
+        FROM rows_of, crc_table),
+    ranked AS (
+        SELECT *, CAST(2 * row_number() OVER (
+                   PARTITION BY source ORDER BY key, doc_id NULLS FIRST, size, crc) - 1 AS DOUBLE)
+               / CAST(2 * count(*) OVER (PARTITION BY source) AS DOUBLE) AS share
+        FROM summed),
+    placed AS (
+        SELECT *, row_number() OVER (
+                   ORDER BY share, source, key, doc_id NULLS FIRST, size, crc) - 1 AS place,
+               count(*) OVER () AS n
+        FROM ranked)
+    SELECT doc_id, CAST(size AS BIGINT) AS size, crc AS text_crc32, 'rows' AS law,
+           CAST(place * {SHARDS} // n AS INTEGER) AS shard,
+           CAST(place - (place * {SHARDS} // n * n + {SHARDS - 1}) // {SHARDS} AS BIGINT) AS slot,
+           CAST(NULL AS INTEGER) AS grown_shard
+    FROM placed
+"""
+
 
 def oracle_sql():
-    return {"op9_decontaminate": _DECONTAMINATE}
+    return {"op5_interleave": _INTERLEAVE, "op9_decontaminate": _DECONTAMINATE}
