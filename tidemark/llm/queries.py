@@ -9,6 +9,8 @@ from tidemark.llm import line_crf, nbsvm
 from tidemark.llm.decontaminate import contaminated, find_passages, item_digest
 from tidemark.llm.interleave import SEED, SHARDS, shard_rows
 from tidemark.llm.license_scan import scan_licences
+from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.sketch_join import Similarity, near_duplicates
 from tidemark.llm.tree_bpe import round_trip_digests
 from tidemark.llm.url_rules import filter_urls
 
@@ -38,6 +40,16 @@ def op1_line_crf(spark, sf_dir):
     )
 
 
+def op2_sketch_join(spark, sf_dir):
+    """Groups of near copies: four-word shingles, Jaccard similarity of 85 in 100."""
+    return near_duplicates(_table(spark, sf_dir, "documents"), Similarity(4, 85, 100))
+
+
+def op3_line_dedup(spark, sf_dir):
+    """Every document without the lines that stand earlier, up to two edits."""
+    return dedup_lines(_table(spark, sf_dir, "documents"))
+
+
 def op4_url_rules(spark, sf_dir):
     """Verdicts on every page's URL."""
     found = filter_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
@@ -91,6 +103,8 @@ def op10_license_scan(spark, sf_dir):
 def queries():
     return {
         "op1_line_crf": op1_line_crf,
+        "op2_sketch_join": op2_sketch_join,
+        "op3_line_dedup": op3_line_dedup,
         "op4_url_rules": op4_url_rules,
         "op5_interleave": op5_interleave,
         "op6_nbsvm": op6_nbsvm,
