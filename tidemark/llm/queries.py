@@ -10,10 +10,14 @@ from tidemark.llm.decontaminate import contaminated, find_passages, item_digest
 from tidemark.llm.interleave import SEED, SHARDS, shard_rows
 from tidemark.llm.license_scan import scan_licences
 from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.separator_scan import scan_token_files, write_token_files
 from tidemark.llm.sketch_join import Similarity, near_duplicates
 from tidemark.llm.tree_bpe import round_trip_digests
 from tidemark.llm.url_rules import filter_urls
+from tidemark.sources.files import scratch_path
 
+#: For texts in several languages; the id after its last one is free and ends documents.
+MULTI_VOCABULARY, SEPARATOR = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), 50_256
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -70,6 +74,15 @@ def op6_nbsvm(spark, sf_dir):
     return scored.select("doc_id", held_out, "score", "predicted")
 
 
+def op7_separator_scan(spark, sf_dir):
+    """Tokens of every document, counted in flat files that all documents were written to."""
+    path = scratch_path(spark, "token_files")
+    documents = _table(spark, sf_dir, "documents")
+    write_token_files(documents, path, MULTI_VOCABULARY, public_tokenizers.PATTERN, SEPARATOR)
+    found = scan_token_files(spark, path, SEPARATOR)
+    return found.select(F.col("id").alias("doc_id"), "n_tokens")
+
+
 def op8_tree_bpe(spark, sf_dir):
     """Tokens of every document by the tree of joins, decoded again."""
     return round_trip_digests(
@@ -108,6 +121,7 @@ def queries():
         "op4_url_rules": op4_url_rules,
         "op5_interleave": op5_interleave,
         "op6_nbsvm": op6_nbsvm,
+        "op7_separator_scan": op7_separator_scan,
         "op8_tree_bpe": op8_tree_bpe,
         "op9_decontaminate": op9_decontaminate,
         "op10_license_scan": op10_license_scan,
