@@ -46,7 +46,8 @@ def op1_line_crf(spark, sf_dir):
 
 def op2_sketch_join(spark, sf_dir):
     """Groups of near copies: four-word shingles, Jaccard similarity of 85 in 100."""
-    return near_duplicates(_table(spark, sf_dir, "documents"), Similarity(4, 85, 100))
+    found = near_duplicates(_table(spark, sf_dir, "documents"), Similarity(4, 85, 100))
+    return found.drop("text_hash")
 
 
 def op3_line_dedup(spark, sf_dir):
@@ -114,7 +115,10 @@ def op10_license_scan(spark, sf_dir):
 
 
 def queries():
+    import corpus_pipeline  # imports this subpackage in turn
+
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_line_crf": op1_line_crf,
         "op2_sketch_join": op2_sketch_join,
         "op3_line_dedup": op3_line_dedup,
@@ -192,4 +196,7 @@ _INTERLEAVE = f"""
 
 
 def oracle_sql():
-    return {"op5_interleave": _INTERLEAVE, "op9_decontaminate": _DECONTAMINATE}
+    import corpus_pipeline
+
+    whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return whole | {"op5_interleave": _INTERLEAVE, "op9_decontaminate": _DECONTAMINATE}

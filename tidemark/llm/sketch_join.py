@@ -314,10 +314,11 @@ def near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """Per row: the id, ``n_shingles`` and ``component_id``, the smallest id that links lead
-    to."""
+    """Per row: the id, ``n_shingles``, ``component_id``, the smallest id that links lead to,
+    and ``text_hash`` (xxhash64), which tells rows of one id apart."""
     spark = df.sparkSession
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    hashed = rows.select("id", F.xxhash64("text").alias("text_hash"), "text")
 
     def make():
         def work(columns):
@@ -331,14 +332,12 @@ def near_duplicates(
                     int.from_bytes(digest[:8], "little", signed=True) if digest else None
                 )
                 out["sketch"].append(dense_sketch(shingles, how) if digest else None)
-            return {"id": columns["id"]} | out
+            return {name: columns[name] for name in ("id", "text_hash")} | out
 
         return work
 
-    known = stage(
-        map_batches(rows, make, "id long, size long, set binary, node long, sketch binary"),
-        "sketches",
-    )
+    schema = "id long, text_hash long, size long, set binary, node long, sketch binary"
+    known = stage(map_batches(hashed, make, schema), "sketches")
     sets = stage(
         known.filter(F.col("set").isNotNull())
         .groupBy("set", "node", "size", "sketch")
@@ -424,11 +423,14 @@ def near_duplicates(
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     component = named.join(least, "root").select("set", "component_id")
     return (
-        known.select("id", "size", "set")
+        known.select("id", "text_hash", "size", "set")
         .join(component, "set", "left")
         .select(
             F.col("id").alias(id_col),
             F.col("size").alias("n_shingles"),
-            F.when(F.col("set").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+            F.when(F.col("set").isNull(), F.col("id"))
+            .otherwise(F.col("component_id"))
+            .alias("component_id"),
+            "text_hash",
         )
     )

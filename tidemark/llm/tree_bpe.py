@@ -214,33 +214,34 @@ def decode_documents(df: DataFrame, vocabulary: str, id_col: str = "doc_id") ->
 
 
 def round_trip_digests(
-    df: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+    df: DataFrame,
+    vocabulary: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_ids: bool = False,
 ) -> DataFrame:
-    """Encode and decode every text where it lies; only counts and digests leave the task:
-    ``n_tokens``, ``ids_sha256`` (decimal ids joined by a space), ``decoded_sha256``."""
+    """Encode and decode every text where it lies: ``n_tokens``, ``ids_sha256`` (decimal ids
+    joined by a space), ``decoded_sha256`` and, when asked for, the ``ids`` themselves."""
 
     def make():
         findall, bpe = tokenizer(vocabulary, pattern)
         names = [str(i) for i in range(len(bpe.tokens))]
 
         def work(columns):
-            counts, of_ids, of_bytes = [], [], []
+            out = {name: [] for name in ("n_tokens", "ids_sha256", "decoded_sha256", "ids")}
             for text in columns["text"]:
                 ids = bpe.encode_text(findall(text or ""))
-                counts.append(len(ids))
                 joined = " ".join([names[i] for i in ids])
-                of_ids.append(hashlib.sha256(joined.encode()).hexdigest())
-                of_bytes.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
-            return {
-                id_col: columns["id"],
-                "n_tokens": counts,
-                "ids_sha256": of_ids,
-                "decoded_sha256": of_bytes,
-            }
+                out["n_tokens"].append(len(ids))
+                out["ids_sha256"].append(hashlib.sha256(joined.encode()).hexdigest())
+                out["decoded_sha256"].append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+                if with_ids:
+                    out["ids"].append(ids)
+            return {id_col: columns["id"]} | out
 
         return work
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return map_batches(
-        rows, make, f"`{id_col}` long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+    schema = f"`{id_col}` long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return map_batches(rows, make, schema + ", ids array<int>" * with_ids)
