@@ -406,9 +406,10 @@ def entry(spark: SparkSession) -> DataFrame:
 def _llm():
     """Queries and SQL of the ``llm`` subpackage, or None where it is not installed."""
     try:
+        import corpus_pipeline  # noqa: F401  counts as part of the subpackage
         from tidemark.llm import queries as llm
     except ModuleNotFoundError as error:
-        if error.name not in ("tidemark.llm", "tidemark.llm.queries"):
+        if error.name not in ("corpus_pipeline", "tidemark.llm", "tidemark.llm.queries"):
             raise
         return None
     return llm
