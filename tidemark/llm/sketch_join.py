@@ -9,10 +9,12 @@ segments: by pigeonhole two partners agree on one.  Documents meet where a segme
 by an XOR hash of its bits, agrees.  Candidates are sifted by the Hamming distance of their
 folded sketches and verified on their shingles.
 
-Segments without a bit say nothing and are not sent.  There are some segments more than D + 1,
-so that agreement on empty ones alone is no agreement; a document with too many empty segments
-is sent again with the bits dealt anew, and at the last level with its empty segments, so no
-pair can be missed: of two partners, either one has few empty segments, or both go on.
+There are some segments more than D + 1, so partners agree on several.  Segments without a bit
+say nothing and are not sent; as many of the rest as the spare segments still allow are left
+out, the most frequent first, which takes away what common passages alone bring together.  A
+document with more empty segments than spare ones is sent again with the bits dealt anew, and
+at the last level with its empty segments, so no pair can be missed: of two partners, either
+one has few empty segments, or both go on.
 
 Equal sets are one class throughout, and sent once per task.  Where many classes agree on a
 segment, each is compared with the smallest of them, not with all; what is still unconnected
@@ -38,7 +40,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components, stage
@@ -50,6 +52,8 @@ GROUP_ENTRIES = 1_000_000
 LEVELS = 4
 #: Rows of entries that a task gathers before it sends them.
 FLUSH_ENTRIES = 2_000_000
+#: Words whose hashes a worker keeps before it starts anew.
+WORD_CACHE = 500_000
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -60,6 +64,17 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _Hashes(dict):
+    """Hashes of the words met so far."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = found = xxhash.xxh64_intdigest(word)
+        return found
+
+
+_HASHES = _Hashes()
+
+
 @dataclass(frozen=True)
 class Similarity:
     """Words per shingle, and the least Jaccard similarity as ``part`` / ``whole``."""
@@ -85,7 +100,7 @@ class Similarity:
         partner is in the band, the greater in it or the next."""
         top = _bound(self.part, self.whole, band + 1) - 1
         most = self.difference(top + top * self.whole // self.part)
-        spare = 1 + -(-most // 50) if most else 0
+        spare = 2 + -(-most // 10) if most else 0
         return most + 1 + spare, spare
 
     def shingles(self, text: str | None) -> np.ndarray:
@@ -93,11 +108,9 @@ class Similarity:
         words = text.encode().lower().split() if text else []
         if not words:
             return np.empty(0, dtype=np.uint64)
-        known: dict[bytes, int] = {}
-        hashes = np.array(
-            [known.get(w) or known.setdefault(w, xxhash.xxh64_intdigest(w)) for w in words],
-            dtype=np.uint64,
-        )
+        if len(_HASHES) > WORD_CACHE:
+            _HASHES.clear()
+        hashes = np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
         width = min(self.words, len(words))
         rolled = np.zeros(len(words) - width + 1, dtype=np.uint64)
         for i in range(width):
@@ -150,10 +163,17 @@ def hamming(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def segment_keys(shingles: np.ndarray, how: Similarity) -> np.ndarray:
+def segment_keys(shingles: np.ndarray, how: Similarity) -> tuple[np.ndarray, ...]:
     """Keys under which a set is looked up: those of its own band, where it is the smaller
-    partner or an equal, and of the band before."""
-    found = []
+    partner or an equal, and of the band before.  With them, per key, the number of the deal
+    it comes from and how many keys of that deal the set may leave out."""
+    found, deals, quotas = [], [], []
+
+    def add(keys: np.ndarray, band: int, level: int, quota: int) -> None:
+        found.append(keys)
+        deals.append(np.full(len(keys), (band & 1) | level << 1, dtype=np.uint8))
+        quotas.append(np.full(len(keys), min(max(quota, 0), 255), dtype=np.uint8))
+
     own = how.band(len(shingles))
     for band in (own, own - 1) if own else (own,):
         count, spare = how.segments(band)
@@ -165,26 +185,28 @@ def segment_keys(shingles: np.ndarray, how: Similarity) -> np.ndarray:
             starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
             value = np.bitwise_xor.reduceat(_mix(dealt[order]), starts)
             salt = np.uint64((band * LEVELS + level) << 40)
-            found.append(_mix(value ^ _mix(salt + place[starts].astype(np.uint64))))
-            if count - len(starts) <= spare:
+            left = spare - (count - len(starts))
+            add(_mix(value ^ _mix(salt + place[starts].astype(np.uint64))), band, level, left)
+            if left >= 0:
                 break
             if level == LEVELS - 1:
                 empty = np.setdiff1d(np.arange(count), place[starts]).astype(np.uint64)
-                found.append(_mix(_mix(salt + empty)))
-    return np.concatenate(found)
+                add(_mix(_mix(salt + empty)), band, level, 0)
+    return np.concatenate(found), np.concatenate(deals), np.concatenate(quotas)
 
 
 def _entries(how: Similarity, groups: int):
     """Task: texts in, blocks of (key, node) per group of keys out."""
     target = pa.schema([("group", pa.int32()), ("block", pa.binary())])
 
-    def send(keys: list[np.ndarray], nodes: list[np.ndarray]) -> pa.RecordBatch:
-        key, node = np.concatenate(keys), np.concatenate(nodes)
+    def send(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        key, deal, quota, node = (np.concatenate(columns) for columns in zip(*held))
         group = (key % np.uint64(groups)).astype(np.int32)
         order = np.argsort(group, kind="stable")
         group = group[order]
         packed = np.empty(len(key), dtype=ENTRY)
         packed["key"], packed["node"] = (key >> np.uint64(32))[order], node[order]
+        packed["deal"], packed["quota"] = deal[order], quota[order]
         starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         stops = [*starts[1:], len(group)]
         blocks = [packed[a:b].tobytes() for a, b in zip(starts, stops)]
@@ -194,7 +216,7 @@ def _entries(how: Similarity, groups: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        keys, nodes, held = [], [], 0
+        held, size = [], 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 shingles = how.shingles(text)
@@ -206,26 +228,34 @@ def _entries(how: Similarity, groups: int):
                 if len(seen) >= 1 << 18:
                     seen.clear()
                 seen.add(digest)
-                keys.append(segment_keys(shingles, how))
+                keys = segment_keys(shingles, how)
                 node = int.from_bytes(digest[:8], "little")
-                nodes.append(np.full(len(keys[-1]), node, dtype=np.uint64))
-                held += len(keys[-1])
-                if held >= FLUSH_ENTRIES:
-                    yield send(keys, nodes)
-                    keys, nodes, held = [], [], 0
+                held.append((*keys, np.full(len(keys[0]), node, dtype=np.uint64)))
+                size += len(keys[0])
+                if size >= FLUSH_ENTRIES:
+                    yield send(held)
+                    held, size = [], 0
         if held:
-            yield send(keys, nodes)
+            yield send(held)
 
     return run
 
 
-ENTRY = np.dtype([("key", "<u4"), ("node", "<u8")])
+ENTRY = np.dtype([("key", "<u4"), ("node", "<u8"), ("deal", "u1"), ("quota", "u1")])
 
 
 def _agreements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task: the blocks of its groups, sorted by group, in; the nodes of every key that has
-    several out, each with the smallest one."""
-    target = pa.schema([("key", pa.int64()), ("least", pa.int64()), ("node", pa.int64())])
+    several out, with their number."""
+    target = pa.schema(
+        [
+            ("key", pa.int64()),
+            ("node", pa.int64()),
+            ("deal", pa.int32()),
+            ("quota", pa.int32()),
+            ("nodes", pa.int32()),
+        ]
+    )
 
     def found(group: int, blocks: list[bytes]) -> pa.RecordBatch:
         entries = np.unique(np.frombuffer(b"".join(blocks), dtype=ENTRY))
@@ -234,9 +264,13 @@ def _agreements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = np.flatnonzero(first)
         sizes = np.diff(np.append(starts, len(key)))
         several = np.repeat(sizes > 1, sizes)
-        least = np.repeat(entries["node"][starts], sizes)[several]
-        keys = (np.int64(group) << np.int64(32)) | key[several].astype(np.int64)
-        columns = [keys, least.view(np.int64), entries["node"][several].copy().view(np.int64)]
+        columns = [
+            (np.int64(group) << np.int64(32)) | key[several].astype(np.int64),
+            entries["node"][several].copy().view(np.int64),
+            entries["deal"][several].astype(np.int32),
+            entries["quota"][several].astype(np.int32),
+            np.repeat(sizes, sizes)[several].astype(np.int32),
+        ]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=target)
 
     now, blocks = None, []
@@ -345,19 +379,35 @@ def near_duplicates(
         "sets",
     )
     # A set sends about 2 t' (1 / t + 1) entries per shingle, t' = (1 - t) / (1 + t).
-    share = 2 * (how.whole - how.part) / (how.whole + how.part) * (how.whole / how.part + 1)
-    total = sets.agg(F.sum(F.col("size") * share + 4)).first()[0] or 0
+    share = 2.2 * (how.whole - how.part) / (how.whole + how.part) * (how.whole / how.part + 1)
+    total = sets.agg(F.sum(F.col("size") * share + 8)).first()[0] or 0
     groups = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / GROUP_ENTRIES)
     )
-    agreed = stage(
+    shared = (
         rows.select("text")
         .mapInArrow(_entries(how, groups), "group int, block binary")
         .repartition(groups, "group")
         .sortWithinPartitions("group")
-        .mapInArrow(_agreements, "key long, least long, node long"),
+        .mapInArrow(_agreements, "key long, node long, deal int, quota int, nodes int")
+    )
+    # Partners agree on more keys than either may leave out, so each leaves out its most
+    # frequent ones: of two sets with T elements in common, all but the T - 1 last of each, in
+    # one order of all elements, still have one in common.
+    by_frequency = Window.partitionBy("node", "deal").orderBy(F.desc("nodes"), F.desc("key"))
+    agreed = stage(
+        shared.withColumn("place", F.row_number().over(by_frequency))
+        .filter(F.col("place") > F.col("quota"))
+        .select("key", "node"),
         "agreements",
     )
+    several = (
+        agreed.groupBy("key")
+        .agg(F.min("node").alias("least"), F.max("node").alias("most"))
+        .filter(F.col("least") != F.col("most"))
+        .select("key", "least")
+    )
+    agreed = stage(agreed.join(several, "key").select("key", "least", "node"), "agreements_left")
     stars = (
         agreed.filter(F.col("least") != F.col("node"))
         .select(F.col("least").alias("x"), F.col("node").alias("y"))
