@@ -13,7 +13,8 @@ that can still be that segment when all edits before it and after it are counted
 (length-aware, multi-match-aware selection).  Candidates are verified by a bit-parallel
 edit distance over the band of 2 * threshold + 1 diagonals.
 
-A null text stays null, an empty one empty; a null id comes before all others.  Rows equal in
+A null text stays null, an empty one empty; a null id comes before all others, and the
+smallest 64-bit number is taken for one.  Rows equal in
 id and text are decided alike, both keep the line that counts as first.  Several texts of one
 id are ordered by a hash of the text.  An empty table gives an empty result.  Columns may have
 any names; those not named here are carried along only when asked for.
@@ -24,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.components import stage
+
 #: Edits up to which two lines count as the same.
 THRESHOLD = 2
 #: Shorter lines are left alone: their segments would be too short to tell lines apart.
@@ -190,22 +193,25 @@ def dedup_lines(
     index = index_keys(F.col("line"), threshold)
     first = F.struct("id", "of", "at")
     hashes = [F.xxhash64("line").alias("h"), F.xxhash64(F.lit("second"), "line").alias("g")]
+    # One array holds the keys of the index and then those of further probes: the rows of this
+    # shuffle are what the join costs most of.
+    probes = F.array_except(probe_keys(F.col("line"), threshold), index)
     hashed = lines.select(
         *hashes,
         first.alias("first"),
-        F.struct(
-            F.length("line").alias("size"),
-            index.alias("own"),
-            F.array_except(probe_keys(F.col("line"), threshold), index).alias("other"),
-        ).alias("keys"),
+        F.length("line").alias("size"),
+        F.concat(index, probes).alias("keys"),
     )
     distinct = hashed.groupBy("h", "g").agg(
-        F.min("first").alias("first"), F.first("keys").alias("keys")
+        F.min("first").alias("first"),
+        F.first("size").alias("size"),
+        F.first("keys").alias("keys"),
     )
 
-    size = F.col("keys.size").alias("size")
-    own = distinct.select("h", size, F.explode("keys.own").alias("key"))
-    other = distinct.select("h", size, F.explode("keys.other").alias("key"))
+    cut = threshold + 1
+    own = distinct.select("h", "size", F.explode(F.slice("keys", 1, cut)).alias("key"))
+    rest = F.slice(F.col("keys"), F.lit(cut + 1), F.size("keys"))
+    other = distinct.select("h", "size", F.explode(rest).alias("key"))
     shorter = own.select(F.col("h").alias("x"), F.col("size").alias("x_size"), "key")
 
     def candidates(probes: DataFrame) -> DataFrame:
@@ -216,7 +222,7 @@ def dedup_lines(
             .select(F.least("h", "x").alias("x"), F.greatest("h", "x").alias("y"))
         )
 
-    pairs = candidates(own).unionByName(candidates(other)).distinct()
+    pairs = stage(candidates(own).unionByName(candidates(other)).distinct(), "line_pairs")
 
     # The texts of candidates are taken from their documents; a node is a line by one hash,
     # and should two lines share it, both are fetched and verified.
@@ -249,11 +255,13 @@ def dedup_lines(
         .groupBy("first.id", "first.of")
         .agg(F.collect_list("first.at").alias("places"))  # of one text
     )
-    whole = df.select(
-        *keyed,
-        F.struct(*[F.col(f"`{c}`") for c in kept_columns]).alias("row"),
-        F.col(text_col).alias("text"),
-    )
+    if kept_columns == [id_col]:
+        # The same three columns as above, so that the texts are shuffled once for both uses.
+        given = F.nullif(F.col("id"), F.lit(_FIRST_ID)).alias(id_col)
+        whole = rows.select("*", F.struct(given).alias("row"))
+    else:
+        columns = [F.col(f"`{c}`") for c in kept_columns]
+        whole = df.select(*keyed, F.struct(*columns).alias("row"), F.col(text_col).alias("text"))
     split = F.split("text", "\n")
     compared = F.size(F.filter(split, lambda line: F.length(line) >= min_chars))
     places = F.coalesce("places", F.array().cast("array<int>"))
