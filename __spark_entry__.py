@@ -14,16 +14,15 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import tidemark as tm  # noqa: E402
+from tidemark.sources.drops import DROP_VERSION, drop_schema  # noqa: E402
 from tidemark.sources.files import scratch_path  # noqa: E402
 
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 BATCH_START = "2024-01-30 18:00:00"  # what came before is state, the rest is the batch
-MONTH = datetime(2024, 1, 1), datetime(2024, 1, 31, 23)
 BASE_TABLES = ["nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 SEED = 7
 
@@ -92,14 +91,27 @@ def typed_state_scan(spark, sf_dir):
 
 
 def drop_scan(spark, sf_dir):
-    """Events dropped as hourly CSV folders and scanned back with their origin, for all
-    hours of the month that have a folder."""
-    base = scratch_path(spark, "drop_scan")
-    drops = _labelled(spark, sf_dir).withColumn("file_index", F.dayofmonth("ts") % 3 + 1)
+    """Events dropped as hourly CSV folders and scanned back with their origin."""
+    base, schema = _dropped(spark, sf_dir, "drop_scan")
+    return tm.read_drops(spark, base, schema).drop("_corrupt_record")
+
+
+def _dropped(spark, sf_dir, purpose, label=None):
+    """All events as CSV drops, two files an hour; the base and the schema of the data."""
+    base, events = scratch_path(spark, purpose), _events(spark, sf_dir)
+    drops = events.withColumn("time_stamp", _label() if label is None else label).withColumn(
+        "file_index", F.when(F.minute("ts") < 30, 1).otherwise(2)
+    )
     tm.write_drops(drops.hint("rebalance", F.col("time_stamp"), F.col("file_index")), base)
-    schema = T.StructType([f for f in drops.schema.fields if f.name in EVENT_COLUMNS])
-    rows = tm.read_drops(spark, base, schema, tm.hour_labels(*MONTH))
-    return rows.drop("_corrupt_record")
+    return base, events.schema
+
+
+def origin_file(spark, sf_dir):
+    """The file every row came from, and the number in its name, which it has not."""
+    name = F.col("_metadata.file_name")
+    return _table(spark, sf_dir, "customer").select(
+        "c_custkey", name.alias("file_name"), tm.file_index(name).alias("file_index")
+    )
 
 
 # -- hours -------------------------------------------------------------------------
@@ -110,7 +122,8 @@ def partition_row_counts(spark, sf_dir):
 
 
 def partition_calendar(spark, sf_dir):
-    hours = tm.hour_calendar(spark, *MONTH)
+    """Every hour between the first and the last event."""
+    hours = tm.hours_of(_events(spark, sf_dir), "ts")
     return tm.partition_calendar(hours, partition_row_counts(spark, sf_dir))
 
 
@@ -193,20 +206,15 @@ def upsert_audit(spark, sf_dir):
     )
 
 
-def _event_state(spark, purpose, schema, buckets=1):
+def _event_state(spark, purpose, schema, version=("ts", "event_id"), **options):
     return tm.StateTable(
-        spark,
-        scratch_path(spark, purpose),
-        schema,
-        keys=["user_id"],
-        version=["ts", "event_id"],
-        buckets=buckets,
+        spark, scratch_path(spark, purpose), schema, ["user_id"], list(version), **options
     )
 
 
-def _two_batches(spark, sf_dir, purpose):
+def _two_batches(spark, sf_dir, purpose, **options):
     before = _before(spark, sf_dir)
-    state = _event_state(spark, purpose, before.schema, buckets=8)
+    state = _event_state(spark, purpose, before.schema, **options)
     state.apply(before, label="before")
     state.apply(_batch(spark, sf_dir), label="batch")
     return state
@@ -221,29 +229,93 @@ def state_audit(spark, sf_dir):
     return _two_batches(spark, sf_dir, "state_audit").audit()
 
 
-def streaming_upsert(spark, sf_dir):
-    """Hourly files streamed into a state in micro-batches; the result is the fold."""
-    base = scratch_path(spark, "streaming_drops")
-    rows = _labelled(spark, sf_dir)
-    tm.partitioned_write(rows, base, "time_stamp")
-    stream = (
-        spark.readStream.schema(rows.schema)
-        .option("maxFilesPerTrigger", 240)
-        .option("maxFileAge", "3650d")
-        .parquet(base)
+def state_fold(spark, sf_dir):
+    """The two batches folded into a new base, on top of which the first comes again."""
+    state = _two_batches(spark, sf_dir, "state_fold")
+    state.fold()
+    state.apply(_before(spark, sf_dir), label="again")
+    return state.read()
+
+
+def state_rejects(spark, sf_dir):
+    """What a state counts of rows without a key, without a version, of bad lines."""
+
+    def unless(name, divisor):
+        return F.when(F.col("event_id") % divisor != 0, F.col(name)).alias(name)
+
+    events = _events(spark, sf_dir)
+    damaged = events.select(
+        "event_id",
+        unless("ts", 11),
+        unless("user_id", 7),
+        "event_type",
+        "value",
+        "props",
+        F.when(F.col("event_id") % 13 == 0, F.col("props")).alias("_corrupt_record"),
     )
-    state = tm.StateTable(
-        spark,
-        scratch_path(spark, "streaming_state"),
-        rows.schema,
-        keys=["user_id"],
-        version=["time_stamp", "event_id"],
+    state = _event_state(spark, "state_rejects", events.schema)
+    state.apply(damaged, label="damaged")
+    return state.audit()
+
+
+def upsert_ties(spark, sf_dir):
+    """Two batches, in either of which many rows of a user have the same version, the hour:
+    the other columns decide, across the batches as within them."""
+    rows = _labelled(spark, sf_dir)
+    state = _event_state(spark, "upsert_ties", rows.schema, ["time_stamp"])
+    odd = F.col("event_id") % 2 == 1
+    for part in (odd, ~odd):
+        state.apply(rows.filter(part))
+    return state.read()
+
+
+def arrival_batch(spark, sf_dir):
+    """Arrival mode: the earlier rows arrive after the later ones and replace them."""
+    before = _before(spark, sf_dir)
+    state = _event_state(spark, "arrival_batch", before.schema, mode="arrival")
+    state.apply(_batch(spark, sf_dir))
+    state.apply(before)
+    return state.read()
+
+
+def _drop_state(spark, schema, purpose, **options):
+    return _event_state(
+        spark, purpose, drop_schema(schema), DROP_VERSION, tiebreak=["event_id"], **options
     )
+
+
+def streaming_upsert(spark, sf_dir):
+    """CSV drops streamed into a state in micro-batches; the result is the fold."""
+    base, schema = _dropped(spark, sf_dir, "streaming_drops")
+    state = _drop_state(spark, schema, "streaming_state")
+    stream = tm.stream_drops(spark, base, schema, max_files=500)
     query = tm.upsert_stream(stream, state, scratch_path(spark, "streaming_checkpoint"))
     query.awaitTermination()
     return state.read()
 
 
+def drop_backfill(spark, sf_dir):
+    """The whole path: events as CSV drops, back-fill in one pass, CSV export of the state,
+    read back with declared types."""
+    base, schema = _dropped(spark, sf_dir, "backfill_drops")
+    state = _drop_state(spark, schema, "backfill_state")
+    tm.backfill(state, base, schema=schema)
+    target = scratch_path(spark, "backfill_export")
+    tm.export_csv(state.read(), target)
+    return tm.read_csv(spark, target, drop_schema(schema))
+
+
+def hourly_backfill(spark, sf_dir):
+    """Hour by hour into a state in arrival mode, as a schedule does it.  All events are
+    dropped into the hours of one day, by the hour of day they have."""
+    day = datetime(2024, 1, 1)
+    label = tm.partition_label(F.to_timestamp_ntz(F.lit(str(day))) + F.expr("INTERVAL '1' HOUR") * F.hour("ts"))
+    base, schema = _dropped(spark, sf_dir, "hourly_drops", label)
+    state = _drop_state(spark, schema, "hourly_state", mode="arrival")
+    tm.backfill_hourly(state, base, day, day.replace(hour=23), schema)
+    return state.read()
+
+
 # -- generated drops ---------------------------------------------------------------
 
 
@@ -256,31 +328,6 @@ def generate_rows(spark, sf_dir):
     return tm.generate_rows(_event_hours(spark, sf_dir), SEED)
 
 
-def drop_backfill(spark, sf_dir):
-    """The whole path: generated drops as CSV, one-pass back-fill over the month, CSV
-    export of the state, read back with declared types."""
-    base = scratch_path(spark, "backfill_drops")
-    tm.write_drops(generate_rows(spark, sf_dir), base)
-    schema = T.StructType(
-        list(tm.EMPLOYEE_SCHEMA.fields)
-        + [
-            T.StructField("time_stamp", T.StringType()),
-            T.StructField("file_index", T.IntegerType()),
-        ]
-    )
-    state = tm.StateTable(
-        spark,
-        scratch_path(spark, "backfill_state"),
-        schema,
-        keys=["id"],
-        version=["time_stamp", "file_index"],
-    )
-    tm.backfill(state, base, *MONTH)
-    target = scratch_path(spark, "backfill_export")
-    tm.export_csv(state.read().select(*tm.EMPLOYEE_SCHEMA.names), target)
-    return tm.read_all_strings(spark, target, tm.EMPLOYEE_SCHEMA)
-
-
 # -- looking at tables, moving tables ----------------------------------------------
 
 
@@ -297,10 +344,26 @@ def schema_profile(spark, sf_dir):
 
 def csv_roundtrip(spark, sf_dir):
     customer = _table(spark, sf_dir, "customer")
-    target = scratch_path(spark, "csv_roundtrip")
-    tm.export_csv(customer, target)
-    scan = spark.read.schema(customer.schema).option("header", True)
-    return scan.option("enforceSchema", False).csv(target)
+    return _through_csv(spark, customer, "csv_roundtrip")
+
+
+def _through_csv(spark, table, purpose):
+    target = scratch_path(spark, purpose)
+    tm.export_csv(table, target)
+    return tm.read_csv(spark, target, table.schema)
+
+
+def csv_documents(spark, sf_dir):
+    """Texts with line breaks, quotes, blanks and whatever else they hold."""
+    return _through_csv(spark, _table(spark, sf_dir, "documents"), "csv_documents")
+
+
+def csv_pages(spark, sf_dir):
+    return _through_csv(spark, _table(spark, sf_dir, "pages"), "csv_pages")
+
+
+def csv_conversations(spark, sf_dir):
+    return _through_csv(spark, _table(spark, sf_dir, "conversations"), "csv_conversations")
 
 
 def csv_single_file(spark, sf_dir):
@@ -308,7 +371,7 @@ def csv_single_file(spark, sf_dir):
     report = partition_row_counts(spark, sf_dir)
     target = scratch_path(spark, "csv_single_file")
     tm.export_csv(report, target, single_file=True)
-    return spark.read.schema(report.schema).option("header", True).csv(target)
+    return tm.read_csv(spark, target, report.schema)
 
 
 def validate_row_counts(spark, sf_dir):
@@ -343,8 +406,9 @@ def table_load(spark, sf_dir):
     customer = _table(spark, sf_dir, "customer")
     name, path = _unique("customer_profile"), scratch_path(spark, "customer_profile")
     tm.table_load(customer, name, path)
+    loaded = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # external: the files stay
-    return spark.read.schema(customer.schema).parquet(path)
+    return loaded
 
 
 def table_flow(spark, sf_dir):
@@ -370,13 +434,11 @@ def table_flow(spark, sf_dir):
             ),
             tm.TableSpec(
                 "lineitem",
-                target("returns"),
+                target("lineitem"),
                 "transform",
                 validate=True,
                 partition_by="ship_year",
-                rule=lambda df: _with_year(
-                    df.filter(F.col("l_returnflag") == "R"), "l_shipdate", "ship_year"
-                ),
+                rule=lambda df: _with_year(df, "l_shipdate", "ship_year"),
             ),
             tm.TableSpec("customer", customers, "load", validate=True, path=target("customer")),
             tm.TableSpec(
@@ -431,6 +493,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "partition_label": partition_label,
         "label_time": label_time,
         "file_index": file_index,
+        "origin_file": origin_file,
         "typed_state_scan": typed_state_scan,
         "drop_scan": drop_scan,
         "partition_row_counts": partition_row_counts,
@@ -448,12 +511,20 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "upsert_audit": upsert_audit,
         "state_upsert": state_upsert,
         "state_audit": state_audit,
+        "state_fold": state_fold,
+        "state_rejects": state_rejects,
+        "upsert_ties": upsert_ties,
+        "arrival_batch": arrival_batch,
+        "hourly_backfill": hourly_backfill,
         "streaming_upsert": streaming_upsert,
         "generate_rows": generate_rows,
         "drop_backfill": drop_backfill,
         "preview": preview,
         "schema_profile": schema_profile,
         "csv_roundtrip": csv_roundtrip,
+        "csv_documents": csv_documents,
+        "csv_pages": csv_pages,
+        "csv_conversations": csv_conversations,
         "csv_single_file": csv_single_file,
         "validate_row_counts": validate_row_counts,
         "partitioned_write": partitioned_write,
@@ -475,6 +546,7 @@ _FOLD = f"""
     QUALIFY row_number() OVER (
         PARTITION BY user_id ORDER BY {_LABEL} DESC, event_id DESC) = 1
 """
+_HALF = "CASE WHEN minute(ts) < 30 THEN 1 ELSE 2 END"
 _COUNTS = f"""
     SELECT {_LABEL} AS time_stamp, count(*) AS n_rows FROM events GROUP BY 1
 """
@@ -484,13 +556,7 @@ def _hex(digest: str, start: int, length: int) -> str:
     return f"(('0x' || substr({digest}, {start}, {length}))::BIGINT)"
 
 
-def _sql_list(items: list[str]) -> str:
-    return "[" + ", ".join(f"'{item}'" for item in items) + "]"
-
-
 def _generated() -> str:
-    from tidemark.plans.generate import DEPARTMENTS, NAMES
-
     return f"""
     WITH hours AS (SELECT DISTINCT {_LABEL} AS time_stamp FROM events),
     file_list AS (
@@ -507,9 +573,10 @@ def _generated() -> str:
         FROM row_list),
     generated AS (
         SELECT id,
-               {_sql_list(NAMES)}[{_hex("d", 1, 6)} % 10 + 1] AS name,
+               ['Alice', 'Bob', 'Charlie', 'Diana', 'Eve', 'Frank', 'Grace', 'Hank', 'Ivy',
+                'Jack'][{_hex("d", 1, 6)} % 10 + 1] AS name,
                ({_hex("d", 7, 6)} % 39 + 22)::INTEGER AS age,
-               {_sql_list(DEPARTMENTS)}[{_hex("d", 13, 6)} % 6 + 1] AS department,
+               ['Engineering', 'Marketing', 'Sales', 'HR', 'Finance', 'Operations'][{_hex("d", 13, 6)} % 6 + 1] AS department,
                ({_hex("d", 19, 8)} % 9000001 + 3000000)::DOUBLE / 100.0::DOUBLE AS salary,
                ({_hex("d", 27, 6)} % 401 + 200)::DOUBLE / 10.0::DOUBLE AS working_hours,
                time_stamp, file_index
@@ -517,6 +584,13 @@ def _generated() -> str:
     """
 
 
+def _dropped_fold(label: str) -> str:
+    return f"""
+        SELECT {_COLS}, {label} AS time_stamp, {_HALF} AS file_index FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id
+            ORDER BY {label} DESC, {_HALF} DESC, event_id DESC) = 1"""
+
+
 def _count_of(table: str, where: str = "true") -> str:
     return f"(SELECT count(*) FROM {table} WHERE {where})"
 
@@ -526,7 +600,7 @@ def library_sql() -> dict[str, str]:
         ("orders", "validate", _count_of("orders")),
         ("orders", "transform", _count_of("orders")),
         ("lineitem", "validate", _count_of("lineitem")),
-        ("lineitem", "transform", _count_of("lineitem", "l_returnflag = 'R'")),
+        ("lineitem", "transform", _count_of("lineitem")),
         ("customer", "validate", _count_of("customer")),
         ("customer", "load", _count_of("customer")),
         ("events", "transform", _count_of("events")),
@@ -551,6 +625,10 @@ def library_sql() -> dict[str, str]:
             SELECT c_custkey,
                    TRY_CAST(regexp_extract(c_name, '#(\d+)$', 1) AS INTEGER) AS file_index
             FROM customer""",
+        "origin_file": """
+            SELECT c_custkey, 'customer.parquet' AS file_name,
+                   CAST(NULL AS INTEGER) AS file_index
+            FROM customer""",
         "typed_state_scan": """
             SELECT CAST(CAST(event_id AS VARCHAR) AS BIGINT) AS event_id,
                    CAST(CAST(ts AS VARCHAR) AS TIMESTAMP) AS ts,
@@ -561,15 +639,15 @@ def library_sql() -> dict[str, str]:
             FROM events""",
         "drop_scan": f"""
             SELECT {_COLS}, {_LABEL} AS time_stamp,
-                   CAST(day(ts) % 3 + 1 AS INTEGER) AS file_index
+                   {_HALF} AS file_index
             FROM events""",
         "partition_row_counts": _COUNTS,
         "partition_calendar": f"""
             WITH hours AS (
                 SELECT strftime(h, '%Y-%m-%d-%H') AS time_stamp
                 FROM (SELECT unnest(generate_series(
-                    TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-31 23:00:00',
-                    INTERVAL 1 HOUR)) AS h)),
+                    date_trunc('hour', min(ts)), date_trunc('hour', max(ts)),
+                    INTERVAL 1 HOUR)) AS h FROM events)),
             counts AS ({_COUNTS})
             SELECT time_stamp, coalesce(n_rows, 0) AS n_rows, n_rows IS NULL AS missing
             FROM hours LEFT JOIN counts USING (time_stamp)""",
@@ -622,13 +700,24 @@ def library_sql() -> dict[str, str]:
                    (SELECT count(*) FROM i), (SELECT count(*) FROM e),
                    (SELECT count(*) FROM e WHERE user_id NOT IN (SELECT user_id FROM i)),
                    (SELECT count(*) FROM (SELECT user_id FROM e UNION SELECT user_id FROM i))""",
-        "streaming_upsert": _FOLD,
+        "state_fold": f"SELECT {_COLS} FROM events {_NEWEST}",
+        "state_rejects": """
+            SELECT CAST(0 AS BIGINT) AS version, 'damaged' AS label, count(*) AS incoming_rows,
+                   count(*) FILTER (event_id % 7 = 0) AS rejected_rows,
+                   count(*) FILTER (event_id % 11 = 0) AS unversioned_rows,
+                   count(*) FILTER (event_id % 13 = 0) AS malformed_rows,
+                   count(DISTINCT user_id) FILTER (event_id % 7 != 0) AS latest_rows,
+                   CAST(0 AS BIGINT) AS existing_rows, CAST(0 AS BIGINT) AS remaining_rows,
+                   count(DISTINCT user_id) FILTER (event_id % 7 != 0) AS final_rows
+            FROM events""",
+        "upsert_ties": _FOLD,
+        "arrival_batch": f"""
+            {_E_AND_I} SELECT * FROM i WHERE user_id NOT IN (SELECT user_id FROM e)
+            UNION ALL SELECT * FROM e""",
+        "hourly_backfill": _dropped_fold("'2024-01-01-' || strftime(ts, '%H')"),
+        "streaming_upsert": _dropped_fold(_LABEL),
         "generate_rows": f"{_generated()} SELECT * FROM generated",
-        "drop_backfill": f"""
-            {_generated()}
-            SELECT id, name, age, department, salary, working_hours FROM generated
-            QUALIFY row_number() OVER (
-                PARTITION BY id ORDER BY time_stamp DESC, file_index DESC) = 1""",
+        "drop_backfill": _dropped_fold(_LABEL),
         "preview": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 20",
         "schema_profile": " UNION ALL ".join(
             f"SELECT {i} AS position, '{name}' AS column_name, {kind} AS type_name,"
@@ -636,6 +725,9 @@ def library_sql() -> dict[str, str]:
             for i, (name, kind) in enumerate(zip(EVENT_COLUMNS, event_types))
         ),
         "csv_roundtrip": "SELECT * FROM customer",
+        "csv_documents": "SELECT * FROM documents",
+        "csv_pages": "SELECT * FROM pages",
+        "csv_conversations": "SELECT * FROM conversations",
         "csv_single_file": _COUNTS,
         "validate_row_counts": " UNION ALL ".join(
             f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(*) >= 1 AS passed FROM {t}"

@@ -51,7 +51,7 @@ def test_one_pass_equals_hour_by_hour_equals_plain_python(spark, month, tmp_path
     report = tm.backfill(once, month, START, end)
     assert rows(report) == [(h, h.endswith("02")) for h in tm.hour_labels(START, end)]
     assert once.versions() == [0]
-    hourly = make(spark, tmp_path / "hourly", buckets=3)
+    hourly = make(spark, tmp_path / "hourly")
     arrival = make(spark, tmp_path / "arrival", mode="arrival")
     for state in (hourly, arrival):
         assert rows(tm.backfill_hourly(state, month, START, end)) == rows(report)
@@ -75,7 +75,7 @@ def test_repeating_an_old_hour(spark, month, tmp_path):
 def test_one_hour_at_a_time(spark, month, tmp_path):
     state = make(spark, tmp_path / "s")
     counts = tm.apply_hour(state, month, datetime(2026, 5, 1, 3, 20))
-    assert (counts["incoming_rows"], counts["final_rows"]) == (18, 7)
+    assert (counts["incoming_rows"], counts["latest_rows"]) == (18, 7)
     assert tm.apply_hour(state, month, datetime(2026, 5, 1, 2)) is None
     assert state.versions() == [0]
 
@@ -154,7 +154,7 @@ def test_original_state(spark, tmp_path):
 
 @originals
 def test_original_hours_one_by_one(spark, tmp_path):
-    state = make(spark, tmp_path / "s", buckets=4)
+    state = make(spark, tmp_path / "s")
     tm.backfill_hourly(state, DROPS, START, datetime(2026, 5, 1, 4))
     audit = state.audit().orderBy("version").collect()
     assert [(r.latest_rows, r.final_rows) for r in audit] == [

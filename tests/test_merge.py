@@ -2,7 +2,6 @@ import pytest
 
 import tidemark as tm
 from conftest import plan_of, rows
-from tidemark.operators.merge import split_upsert
 
 
 def table(spark, data, schema="id int, n int, v string"):
@@ -40,7 +39,7 @@ def test_version_keeps_the_newer(spark):
         (1, 9, "newer"),
         (2, 3, "new"),
         (3, 1, "fresh"),
-        (4, 5, "again"),
+        (4, 5, "first"),
     ]
 
 
@@ -93,16 +92,16 @@ def test_small_batch_does_not_shuffle_the_state(spark, tmp_path):
     assert "hashpartitioning" not in plan
 
 
-def test_version_check_scans_only_keys_and_versions_a_second_time(spark, tmp_path):
-    state_path, batch_path = str(tmp_path / "state"), str(tmp_path / "batch")
-    spark.range(1000).selectExpr("id", "id AS n", "cast(id AS string) AS v").write.parquet(
-        state_path
-    )
-    spark.range(5, 9).selectExpr("id", "id * 2 AS n", "'x' AS v").write.parquet(batch_path)
-    state, batch = spark.read.parquet(state_path), spark.read.parquet(batch_path)
-    kept, accepted = split_upsert(state, batch, ["id"], ["n"], False, small=True)
-    plan = plan_of(kept.unionByName(accepted))
-    assert plan.count("ReadSchema: struct<id:bigint,n:bigint,v:string>") == 2
-    assert "ReadSchema: struct<id:bigint,n:bigint>" in plan
-    assert "LeftAnti, BuildRight" in plan and "hashpartitioning" not in plan
-    assert kept.count() + accepted.count() == 1000
+def test_ties_are_decided_by_the_other_columns_whichever_side_they_are_on(spark):
+    one = table(spark, [(1, 5, "b"), (2, None, "a")])
+    two = table(spark, [(1, 5, "a"), (2, None, "c")])
+    want = [(1, 5, "b"), (2, None, "c")]
+    assert rows(tm.upsert(one, two, ["id"], ["n"])) == want
+    assert rows(tm.upsert(two, one, ["id"], ["n"])) == want
+
+
+def test_dotted_names(spark):
+    old = table(spark, [(1, 1, "a"), (2, 1, "b")]).withColumnRenamed("id", "a.b")
+    new = table(spark, [(2, 2, "x"), (3, 1, "y")]).withColumnRenamed("id", "a.b")
+    assert rows(tm.upsert_audit(old, new, ["a.b"])) == [(2, 2, 2, 1, 3)]
+    assert rows(tm.upsert(old, new, ["a.b"], ["n"])) == [(1, 1, "a"), (2, 2, "x"), (3, 1, "y")]

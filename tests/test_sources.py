@@ -1,4 +1,4 @@
-import tempfile
+import itertools
 from datetime import datetime
 
 import pytest
@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 import tidemark as tm
 from conftest import person, rows
-from tidemark.sources.files import create_text, listing, scratch_path
+from tidemark.sources.files import clear_scratch, create_text, listing, scratch_path
 
 
 def test_rows_know_their_hour_and_file(spark, drop):
@@ -128,6 +128,32 @@ def test_export_keeps_microseconds(spark, tmp_path):
     assert rows(spark.read.schema(df.schema).option("header", True).csv(path)) == rows(df)
 
 
+VALUES = ["a\nb", " pad ", "", None, 'q"uo"te', '"', "back\\slash", '\\"', "a,b", "\r\n x\r", "\t", "#", "é漢\u2028"]
+
+
+def test_export_keeps_every_value(spark, tmp_path):
+    path = str(tmp_path / "out")
+    df = spark.createDataFrame(
+        [(i, a, b) for i, (a, b) in enumerate(itertools.product(VALUES, VALUES))],
+        "id int, a string, b string",
+    ).select("a", "id", "b")
+    tm.export_csv(df, path)
+    assert rows(tm.read_csv(spark, path, df.schema)) == rows(df)
+    assert rows(tm.read_all_strings(spark, path, df.schema)) == rows(df)
+
+
+def test_drops_keep_line_breaks_and_empty_strings(spark, tmp_path):
+    base = str(tmp_path / "d")
+    df = spark.createDataFrame(
+        [(i, v, "2026-05-01-00", 1) for i, v in enumerate(VALUES)],
+        "id int, v string, time_stamp string, file_index int",
+    )
+    tm.write_drops(df, base)
+    got = tm.read_drops(spark, base, T.StructType(df.schema.fields[:2]))
+    assert rows(got.drop("_corrupt_record")) == rows(df)
+    assert all(r["_corrupt_record"] is None for r in got.collect())
+
+
 def test_cast_gives_null_for_what_does_not_fit(spark):
     df = spark.createDataFrame([("x", "2.5")], "b string, a string")
     schema = T.StructType([T.StructField("a", T.DoubleType()), T.StructField("b", T.IntegerType())])
@@ -143,7 +169,11 @@ def test_text_is_created_once(spark, tmp_path):
     assert (tmp_path / "x" / "1.json").read_text() == "{}"
 
 
-def test_scratch_lies_in_the_shared_folder(spark):
+def test_scratch_lies_in_a_shared_folder_and_can_be_cleared(spark):
     first, second = scratch_path(spark, "a"), scratch_path(spark, "a")
     assert first != second
-    assert first.startswith(spark.conf.get("spark.checkpoint.dir", tempfile.gettempdir()))
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    assert first.startswith(shared or spark.conf.get("spark.sql.warehouse.dir"))
+    spark.range(1).write.parquet(first)
+    clear_scratch(spark)
+    assert listing(spark, first) == []

@@ -1,5 +1,4 @@
 import itertools
-import json
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -8,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import tidemark as tm
-from conftest import rows
-from tidemark.plans.state import AUDIT_COUNTS
+from conftest import plan_of, rows
+from tidemark.plans.state import AUDIT_COUNTS, BATCH_COUNTS
 
 SCHEMA = T.StructType(
     [
@@ -30,33 +29,31 @@ def batch(spark, *data):
     return spark.createDataFrame(list(data), SCHEMA)
 
 
-def counts(result):
-    return tuple(result[name] for name in AUDIT_COUNTS)
+def counts(state):
+    """The audit of the newest batch."""
+    last = state.audit().orderBy(F.desc("version")).first()
+    return tuple(last[name] for name in AUDIT_COUNTS)
 
 
-@pytest.fixture(params=[1, 4])
-def buckets(request):
-    return request.param
-
-
-def test_first_batch_becomes_the_state(spark, tmp_path, buckets):
-    state = make(spark, tmp_path / "s", buckets=buckets)
+def test_first_batch_becomes_the_state(spark, tmp_path):
+    state = make(spark, tmp_path / "s")
     assert not state.exists()
     assert rows(state.read()) == []
     assert state.audit().count() == 0
     result = state.apply(batch(spark, (1, "a", "h0", 1), (1, "b", "h0", 2), (2, "c", "h0", 1)))
+    assert result == dict(zip(BATCH_COUNTS, (3, 0, 0, 0, 2)))
     assert state.exists()
     assert rows(state.read()) == [(1, "b", "h0", 2), (2, "c", "h0", 1)]
     assert state.read().schema == SCHEMA
-    assert counts(result) == (3, 0, 0, 0, 2, 0, 0, 2)
+    assert counts(state) == (3, 0, 0, 0, 2, 0, 0, 2)
 
 
-def test_replace_carry_over_and_add(spark, tmp_path, buckets):
-    state = make(spark, tmp_path / "s", buckets=buckets)
+def test_replace_carry_over_and_add(spark, tmp_path):
+    state = make(spark, tmp_path / "s")
     state.apply(batch(spark, *[(i, "old", "h0", 1) for i in range(10)]))
-    result = state.apply(batch(spark, (3, "new", "h1", 1), (20, "new", "h1", 1)), label="h1")
+    state.apply(batch(spark, (3, "new", "h1", 1), (20, "new", "h1", 1)), label="h1")
     assert rows(state.read().groupBy("v").count()) == [("new", 2), ("old", 9)]
-    assert counts(result) == (2, 0, 0, 0, 2, 10, 9, 11)
+    assert counts(state) == (2, 0, 0, 0, 2, 10, 9, 11)
     assert rows(state.read(0).groupBy("v").count()) == [("old", 10)]
     audit = state.audit().orderBy("version").collect()
     assert [(r.version, r.label, r.final_rows) for r in audit] == [(0, None, 10), (1, "h1", 11)]
@@ -69,62 +66,67 @@ def test_an_older_batch_loses_in_version_mode_and_wins_on_arrival(spark, tmp_pat
     arrival = make(spark, tmp_path / "a", mode="arrival")
     for state in (version, arrival):
         state.apply(first)
-    assert counts(version.apply(second))[4:] == (6, 5, 5, 7)
-    assert counts(arrival.apply(second))[4:] == (6, 5, 1, 7)
+    for state in (version, arrival):
+        state.apply(second)
+    assert counts(version)[4:] == (6, 5, 5, 7)
+    assert counts(arrival)[4:] == (6, 5, 1, 7)
     assert rows(version.read().groupBy("v").count()) == [("earlier", 2), ("later", 5)]
     assert rows(arrival.read().groupBy("v").count()) == [("earlier", 6), ("later", 1)]
 
 
-def test_untouched_buckets_are_not_rewritten(spark, tmp_path):
-    state = make(spark, tmp_path / "s", buckets=8)
-    state.apply(batch(spark, *[(i, "old", "h0", 1) for i in range(100)]))
+def data_bytes(path):
+    return sum(f.stat().st_size for f in path.rglob("*.parquet"))
+
+
+def test_a_batch_writes_in_proportion_to_itself(spark, tmp_path):
+    state = make(spark, tmp_path / "s")
+    state.apply(spark.range(200_000).selectExpr("id", "uuid() AS v", "'h0' AS hour", "1 AS n"))
+    before = data_bytes(tmp_path / "s" / "data")
+    few = spark.range(0, 200_000, 10_000).selectExpr("id", "'new' AS v", "'h1' AS hour", "1 AS n")
+    state.apply(few)
+    assert data_bytes(tmp_path / "s" / "data") - before < before / 200
+    assert state.read().count() == 200_000
+    assert state.read().filter("v = 'new'").count() == 20
+
+
+def test_a_small_delta_does_not_shuffle_the_base(spark, tmp_path):
+    state = make(spark, tmp_path / "s")
+    state.apply(spark.range(5000).selectExpr("id", "'a' AS v", "'h0' AS hour", "1 AS n"))
     state.apply(batch(spark, (3, "new", "h1", 1)))
-    folders = sorted(p.name for p in (tmp_path / "s" / "data").iterdir())
-    assert len(folders) == 2
-    rewritten = [p.name for p in (tmp_path / "s" / "data" / folders[1]).glob("bucket=*")]
-    assert len(rewritten) == 1
-    assert state.read().count() == 100
-    assert not list((tmp_path / "s" / "staged").iterdir())
+    plan = plan_of(state.read())
+    assert "LeftAnti, BuildRight" in plan and "SortMergeJoin" not in plan
 
 
-@pytest.mark.parametrize("options", [{"broadcast_bytes": 0}, {"broadcast_rows": 0, "compact_every": 1}])
 @pytest.mark.parametrize("mode", ["version", "arrival"])
-def test_every_write_path_gives_the_same_rows(spark, tmp_path, buckets, options, mode):
+def test_folding_changes_neither_rows_nor_counts(spark, tmp_path, mode):
     batches = [
         [(i, f"{h}.{i}", f"h{h}", n) for i in range(h, 40, h + 1) for n in (1, 2)]
         for h in (2, 0, 3, 1)
     ]
-    plain = make(spark, tmp_path / "p", buckets=buckets, mode=mode)
-    other = make(spark, tmp_path / "o", buckets=buckets, mode=mode, **options)
-    for data in batches:
-        assert plain.apply(batch(spark, *data)) == other.apply(batch(spark, *data))
-    assert rows(plain.read()) == rows(other.read())
-
-
-def test_a_bucket_is_what_one_shuffle_partition_holds(spark, tmp_path):
-    # 8 shuffle partitions: 4 and 16 buckets need no second shuffle, 6 do.
-    data = batch(spark, *[(i, "v", "h0", 1) for i in range(500)]).repartition(5)
-    for buckets in (4, 16, 6):
-        state = make(spark, tmp_path / str(buckets), buckets=buckets, broadcast_bytes=0)
-        state.apply(data)
-        state.apply(data.withColumn("hour", F.lit("h1")))
-        for attempt in (tmp_path / str(buckets) / "data").iterdir():
-            files = [len(list(b.glob("*.parquet"))) for b in attempt.glob("bucket=*")]
-            assert len(files) == buckets
-            assert sum(files) <= max(8, buckets)
-        assert state.read().filter("hour = 'h1'").count() == 500
+    plain = make(spark, tmp_path / "p", mode=mode)
+    folded = make(spark, tmp_path / "f", mode=mode)
+    folded.fold()
+    for number, data in enumerate(batches):
+        assert plain.apply(batch(spark, *data)) == folded.apply(batch(spark, *data))
+        folded.fold()
+        assert rows(plain.read()) == rows(folded.read())
+        if number == 2:
+            folded.fold()  # nothing to do
+            folded.expire(keep=1)
+    kept = [c for c in AUDIT_COUNTS]
+    assert rows(plain.audit(), *kept) == rows(folded.audit(), *kept)
 
 
 def test_null_keys_are_rejected_and_counted(spark, tmp_path):
     state = make(spark, tmp_path / "s")
     state.apply(batch(spark, (1, "a", "h0", 1), (None, "x", "h0", 1)))
-    result = state.apply(batch(spark, (None, "y", "h1", 1), (None, "z", "h1", 2)))
-    assert counts(result) == (2, 2, 0, 0, 0, 1, 1, 1)
+    state.apply(batch(spark, (None, "y", "h1", 1), (None, "z", "h1", 2)))
+    assert counts(state) == (2, 2, 0, 0, 0, 1, 1, 1)
     assert rows(state.read()) == [(1, "a", "h0", 1)]
 
 
-def test_null_keys_can_match(spark, tmp_path, buckets):
-    state = make(spark, tmp_path / "s", null_keys="match", buckets=buckets)
+def test_null_keys_can_match(spark, tmp_path):
+    state = make(spark, tmp_path / "s", null_keys="match")
     state.apply(batch(spark, (1, "a", "h0", 1), (None, "old", "h0", 1)))
     state.apply(batch(spark, (None, "new", "h1", 1)))
     assert rows(state.read()) == [(1, "a", "h0", 1), (None, "new", "h1", 1)]
@@ -135,17 +137,20 @@ def test_missing_versions_and_bad_lines_are_counted(spark, tmp_path):
         [(1, "a", "h0", None, None), (2, "b", "h0", 1, "2,b,x"), (2, "c", "h0", 2, None)],
         "id int, v string, hour string, n int, _corrupt_record string",
     )
-    result = make(spark, tmp_path / "s").apply(df)
-    assert counts(result) == (3, 0, 1, 1, 2, 0, 0, 2)
+    state = make(spark, tmp_path / "s")
+    state.apply(df)
+    assert counts(state) == (3, 0, 1, 1, 2, 0, 0, 2)
 
 
-def test_empty_batch(spark, tmp_path, buckets):
-    state = make(spark, tmp_path / "s", buckets=buckets)
-    assert counts(state.apply(batch(spark))) == (0, 0, 0, 0, 0, 0, 0, 0)
+def test_empty_batch(spark, tmp_path):
+    state = make(spark, tmp_path / "s")
+    state.apply(batch(spark))
+    assert counts(state) == (0, 0, 0, 0, 0, 0, 0, 0)
     assert state.exists()
     assert rows(state.read()) == []
     state.apply(batch(spark, (1, "a", "h0", 1)))
-    assert counts(state.apply(batch(spark))) == (0, 0, 0, 0, 0, 1, 1, 1)
+    state.apply(batch(spark))
+    assert counts(state) == (0, 0, 0, 0, 0, 1, 1, 1)
     assert rows(state.read()) == [(1, "a", "h0", 1)]
 
 
@@ -172,7 +177,7 @@ def test_failed_batch_leaves_the_state_alone(spark, tmp_path):
 def test_attempt_without_commit_is_not_read(spark, tmp_path):
     state = make(spark, tmp_path / "s")
     state.apply(batch(spark, (1, "a", "h0", 1)))
-    stray = tmp_path / "s" / "data" / "attempt=0000000001-deadbeef" / "bucket=0"
+    stray = tmp_path / "s" / "data" / "attempt=0000000001-deadbeef"
     batch(spark, (9, "z", "h9", 1)).write.parquet(str(stray))
     assert state.versions() == [0]
     assert rows(state.read()) == [(1, "a", "h0", 1)]
@@ -181,9 +186,8 @@ def test_attempt_without_commit_is_not_read(spark, tmp_path):
 def test_second_writer_of_one_version_fails(spark, tmp_path):
     state = make(spark, tmp_path / "s")
     state.apply(batch(spark, (1, "a", "h0", 1)))
-    head = json.loads((tmp_path / "s" / "commits" / "0000000000.json").read_text())
     with pytest.raises(tm.CommitConflict):
-        state._publish(head)
+        state._publish(0, "late", dict.fromkeys(BATCH_COUNTS, 0), ["0000000000-late"], {})
 
 
 def test_a_half_written_commit_is_neither_read_nor_in_the_way(spark, tmp_path):
@@ -208,28 +212,49 @@ def test_repeated_micro_batch_is_skipped(spark, tmp_path):
     assert [r[1] for r in rows(state.read())] == ["a", "b", "c", "d"]
 
 
-def test_expire_keeps_what_is_needed(spark, tmp_path):
-    state = make(spark, tmp_path / "s", buckets=4)
+def test_expire_keeps_what_is_needed_and_lists_what_can_be_read(spark, tmp_path):
+    state = make(spark, tmp_path / "s")
     for h in range(5):
         state.apply(batch(spark, *[(i, f"v{h}", f"h{h}", 1) for i in range(h, 12, h + 1)]))
-    newest, previous = rows(state.read()), rows(state.read(3))
-    (tmp_path / "s" / "staged" / "0000000002-dead").mkdir()
-    (tmp_path / "s" / "staged" / "0000000005-busy").mkdir()
+        if h == 2:
+            state.fold()
+    newest, previous = rows(state.read()), rows(state.read(4))
+    busy = tmp_path / "s" / "data" / "attempt=0000000006-busy"
+    busy.mkdir()
     state.expire(keep=2)
-    assert [p.name for p in (tmp_path / "s" / "staged").iterdir()] == ["0000000005-busy"]
-    assert rows(state.read()) == newest
-    assert rows(state.read(3)) == previous
+    assert busy.exists()
+    assert state.versions() == [4, 5]
+    assert rows(state.read()) == newest and rows(state.read(4)) == previous
+    with pytest.raises(ValueError, match="no version 0"):
+        state.read(0)
     state.expire(keep=1)
+    assert state.versions() == [5]
     assert rows(state.read()) == newest
-    assert state.audit().count() == 5
+    assert rows(state.audit(), "version") == [(0,), (1,), (2,), (4,), (5,)]
 
 
 def test_changed_declaration_is_refused(spark, tmp_path):
-    make(spark, tmp_path / "s", buckets=2).apply(batch(spark, (1, "a", "h0", 1)))
+    make(spark, tmp_path / "s").apply(batch(spark, (1, "a", "h0", 1)))
     with pytest.raises(ValueError, match="was created with"):
-        make(spark, tmp_path / "s", buckets=4).read()
+        make(spark, tmp_path / "s", keys=["v"]).read()
     with pytest.raises(ValueError, match="no version 7"):
-        make(spark, tmp_path / "s", buckets=2).read(7)
+        make(spark, tmp_path / "s").read(7)
+
+
+def test_ties_and_missing_versions_do_not_depend_on_the_order_of_batches(spark, tmp_path):
+    parts = [
+        [(1, "a", "h1", 1), (2, "x", None, None), (3, "p", "h0", 2)],
+        [(1, "b", "h1", 1), (2, "y", None, None), (3, "q", "h0", 1)],
+        [(1, "a", "h1", 1), (2, None, None, None), (3, "r", "h0", 2)],
+    ]
+    for number, order in enumerate(itertools.permutations(parts)):
+        for tiebreak in ([], ["n"]):
+            state = make(
+                spark, tmp_path / f"{number}{len(tiebreak)}", version=["hour"], tiebreak=tiebreak
+            )
+            for part in order:
+                state.apply(batch(spark, *part))
+            assert rows(state.read()) == [(1, "b", "h1", 1), (2, "y", None, None), (3, "r", "h0", 2)]
 
 
 @pytest.mark.parametrize(
@@ -237,7 +262,6 @@ def test_changed_declaration_is_refused(spark, tmp_path):
     [
         {"mode": "x"},
         {"null_keys": "x"},
-        {"buckets": 0},
         {"keys": []},
         {"version": []},
         {"keys": ["nope"]},
@@ -250,8 +274,8 @@ def test_bad_options(spark, tmp_path, bad):
 
 
 def test_column_names_of_the_state_are_refused(spark, tmp_path):
-    schema = T.StructType(SCHEMA.fields + [T.StructField("bucket", T.IntegerType())])
-    with pytest.raises(ValueError, match="bucket"):
+    schema = T.StructType(SCHEMA.fields + [T.StructField("attempt", T.StringType())])
+    with pytest.raises(ValueError, match="attempt"):
         tm.StateTable(spark, str(tmp_path), schema, ["id"], ["n"])
 
 
@@ -261,7 +285,7 @@ def test_any_order_of_batches_gives_one_state(spark, tmp_path):
     ]
     results = set()
     for number, order in enumerate(itertools.permutations(range(3))):
-        state = make(spark, tmp_path / str(number), buckets=2)
+        state = make(spark, tmp_path / str(number))
         for h in [*order, order[0]]:
             state.apply(batch(spark, *hours[h]))
         results.add(tuple(rows(state.read())))
@@ -276,7 +300,7 @@ BATCHES = st.lists(
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(BATCHES, st.randoms(use_true_random=False))
 def test_version_equals_a_maximum_in_python(spark, tmp_path_factory, batches, random):
-    state = make(spark, tmp_path_factory.mktemp("s") / "t", buckets=3)
+    state = make(spark, tmp_path_factory.mktemp("s") / "t")
     arriving = [
         [(k, f"{h}", f"h{h}", n) for k, n in data] for h, data in enumerate(batches)
     ]
@@ -293,7 +317,7 @@ def test_version_equals_a_maximum_in_python(spark, tmp_path_factory, batches, ra
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(BATCHES)
 def test_arrival_equals_a_fold_in_python(spark, tmp_path_factory, batches):
-    state = make(spark, tmp_path_factory.mktemp("s") / "t", mode="arrival", buckets=3)
+    state = make(spark, tmp_path_factory.mktemp("s") / "t", mode="arrival")
     want = {}
     for h, data in enumerate(batches):
         arriving = [(k, f"{h}", f"h{h}", n) for k, n in data]

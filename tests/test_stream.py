@@ -1,3 +1,4 @@
+import os
 import shutil
 
 import pytest
@@ -23,7 +24,7 @@ def test_stream_equals_batch_and_goes_on_where_it_stopped(spark, drop, tmp_path)
     for h in (3, 1, 0):
         for n in (2, 1):
             drop(f"2026-05-01-0{h}", n, [person(i, f"h{h}f{n}") for i in range(h, 6 + n)])
-    state = make(spark, tmp_path / "state", buckets=2)
+    state = make(spark, tmp_path / "state")
     run(spark, drop.base, state, tmp_path / "checkpoint")
     assert state.versions() == [0, 1, 2]
     drop("2026-05-01-02", 1, [person(i, "h2f1") for i in range(12)])
@@ -48,6 +49,26 @@ def test_replayed_batches_are_applied_once(spark, drop, tmp_path):
     assert rows(state.read(), "id", "name") == [(i, "h3") for i in range(4)]
 
 
+def test_a_drop_with_an_old_file_time_is_not_left_out(spark, drop, tmp_path):
+    drop("2026-05-01-00", 1, [person(1, "new")])
+    state = make(spark, tmp_path / "state")
+    run(spark, drop.base, state, tmp_path / "checkpoint")
+    late = drop("2026-05-01-01", 1, [person(2, "late")])
+    os.utime(f"{late}/time_stamp=2026-05-01-01/data_1.csv", (0, 0))
+    run(spark, drop.base, state, tmp_path / "checkpoint")
+    assert rows(state.read(), "id", "name") == [(1, "new"), (2, "late")]
+
+
+def test_a_new_checkpoint_at_an_old_path_is_a_new_stream(spark, drop, tmp_path):
+    drop("2026-05-01-00", 1, [person(1, "a")])
+    state = make(spark, tmp_path / "state")
+    run(spark, drop.base, state, tmp_path / "checkpoint")
+    shutil.move(tmp_path / "checkpoint", tmp_path / "gone")
+    drop("2026-05-01-01", 1, [person(2, "b")])
+    run(spark, drop.base, state, tmp_path / "checkpoint")
+    assert rows(state.read(), "id", "name") == [(1, "a"), (2, "b")]
+
+
 def test_stream_needs_versions(spark, drop, tmp_path):
     base = drop("2026-05-01-00", 1, [person(1)])
     state = make(spark, tmp_path / "state", mode="arrival")

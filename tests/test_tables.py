@@ -29,6 +29,24 @@ def test_table_load(spark, tmp_path):
     spark.sql("DROP TABLE load_target")
 
 
+def test_a_failed_load_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tm.table_load(spark.range(5), "load_safe", path)
+    broken = spark.range(3).select(F.raise_error(F.lit("boom")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="boom"):
+        tm.table_load(broken, "load_safe", path)
+    assert spark.table("load_safe").count() == 5
+    tm.table_load(spark.table("load_safe").filter("id < 3"), "load_safe", path)  # its own rows
+    assert spark.table("load_safe").count() == 3
+    tm.table_load(spark.range(2).withColumn("more", F.lit("x")), "load_safe", path)
+    assert rows(spark.table("load_safe")) == [(0, "x"), (1, "x")]
+    assert len(list((tmp_path / "t").glob("load-*"))) <= 3
+    spark.sql("DROP TABLE load_safe")
+    tm.table_load(spark.range(4), "load_default")
+    assert spark.table("load_default").count() == 4
+    spark.sql("DROP TABLE load_default")
+
+
 def test_flow_runs_steps_in_order_and_stops_a_bad_table(spark, tmp_path):
     frames = {
         "sales": spark.range(9).withColumn("sale_date", F.col("id") % 2),
@@ -100,9 +118,7 @@ def test_interval_report(spark):
 
 def test_calendar_flags_missing_hours(spark):
     hours = spark.createDataFrame([("a",), ("b",)], "time_stamp string")
-    df = spark.createDataFrame([("a",), ("a",)], "h string")
-    counts = tm.partition_row_counts(df, "h")
-    assert rows(counts) == [("a", 2)]
+    counts = spark.createDataFrame([("a", 2)], "time_stamp string, n_rows long")
     assert rows(tm.partition_calendar(hours, counts)) == [("a", 2, False), ("b", 0, True)]
 
 

@@ -12,8 +12,8 @@ from tidemark.operators.calendar import (
     hour_calendar,
     hour_labels,
     hourly_row_counts,
+    hours_of,
     partition_calendar,
-    partition_row_counts,
 )
 from tidemark.operators.intervals import interval_report
 from tidemark.operators.latest import latest_per_key
@@ -26,7 +26,7 @@ from tidemark.plans.generate import generate_rows, write_drops
 from tidemark.plans.state import CommitConflict, StateTable
 from tidemark.sources.drops import EMPLOYEE_SCHEMA, available_hours, read_drops
 from tidemark.sources.export import export_csv
-from tidemark.sources.typed import cast_columns, read_all_strings, read_inferred
+from tidemark.sources.typed import cast_columns, read_all_strings, read_csv, read_inferred
 from tidemark.streaming.upsert import stream_drops, upsert_stream
 
 __all__ = [
@@ -50,15 +50,16 @@ __all__ = [
     "hour_labels",
     "hour_start",
     "hourly_row_counts",
+    "hours_of",
     "interval_report",
     "label_time",
     "latest_per_key",
     "partition_calendar",
     "partition_label",
-    "partition_row_counts",
     "partitioned_write",
     "preview",
     "read_all_strings",
+    "read_csv",
     "read_drops",
     "read_inferred",
     "run_flow",

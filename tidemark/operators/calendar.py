@@ -7,8 +7,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.labels import day_hour_label, partition_label
+from tidemark.functions.labels import day_hour_label, hour_start, partition_label
 
+# Fixed value: the folder label of an hour.
 _LABEL = "%Y-%m-%d-%H"
 
 
@@ -29,14 +30,20 @@ def hour_calendar(spark: SparkSession, start: datetime, end: datetime) -> DataFr
     )
 
 
-def partition_row_counts(df: DataFrame, label: str) -> DataFrame:
-    """``time_stamp, n_rows`` for the hours that have rows, by a label column."""
-    return df.groupBy(F.col(label).alias("time_stamp")).agg(F.count(F.lit(1)).alias("n_rows"))
+def hours_of(df: DataFrame, ts: str) -> DataFrame:
+    """One row ``time_stamp`` per hour from the first to the last time of ``df``."""
+    ends = df.agg(F.min(ts).alias("first"), F.max(ts).alias("last"))
+    hours = F.sequence(
+        hour_start(F.col("first")), hour_start(F.col("last")), F.expr("interval 1 hour")
+    )
+    return ends.select(F.explode(hours).alias("ts")).select(
+        partition_label(F.col("ts")).alias("time_stamp")
+    )
 
 
 def hourly_row_counts(df: DataFrame, ts: str) -> DataFrame:
-    """The same for rows that have a time.  They are grouped on two small numbers, and
-    only the groups are given labels."""
+    """``time_stamp, n_rows`` for the hours that have rows, by their time.  They are grouped
+    on two small numbers, and only the groups are given labels."""
     groups = df.groupBy(F.to_date(ts).alias("day"), F.hour(ts).alias("hour"))
     return groups.agg(F.count(F.lit(1)).alias("n_rows")).select(
         day_hour_label(F.col("day"), F.col("hour")).alias("time_stamp"), "n_rows"

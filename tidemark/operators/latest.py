@@ -13,11 +13,12 @@ def _col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _orderable(kind: T.DataType) -> bool:
+def orderable(kind: T.DataType) -> bool:
+    """Whether values of a type can be compared for order."""
     if isinstance(kind, T.StructType):
-        return all(_orderable(f.dataType) for f in kind.fields)
+        return all(orderable(f.dataType) for f in kind.fields)
     if isinstance(kind, T.ArrayType):
-        return _orderable(kind.elementType)
+        return orderable(kind.elementType)
     return not isinstance(kind, (T.MapType, T.VariantType, T.CalendarIntervalType))
 
 
@@ -49,8 +50,8 @@ def latest_per_key(
     placed = set(keys) | set(leading)
     rest = [f for f in df.schema.fields if f.name not in placed]
     order = [n for n in leading if n not in set(keys)]
-    order += [f.name for f in rest if _orderable(f.dataType)]
-    unordered = [f.name for f in rest if not _orderable(f.dataType)]
+    order += [f.name for f in rest if orderable(f.dataType)]
+    unordered = [f.name for f in rest if not orderable(f.dataType)]
 
     if strategy == "window":
         if tally:

@@ -9,17 +9,15 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.latest import latest_per_key
 
-def _both(keys: Sequence[str], null_safe: bool) -> Column:
+
+def same_keys(keys: Sequence[str], null_safe: bool) -> Column:
+    """The join condition of sides aliased ``l`` and ``r`` on their keys."""
     pairs = [(F.col(f"l.`{k}`"), F.col(f"r.`{k}`")) for k in keys]
     return reduce(and_, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
 
 
-def _rank(side: str, version: Sequence[str]) -> Column:
-    # Structs compare field by field with NULL lowest, and are never NULL themselves.
-    return F.struct(*[F.col(f"{side}.`{v}`") for v in version])
-
-
 def _has_key(keys: Sequence[str]) -> Column:
     return reduce(and_, [F.col(f"`{k}`").isNotNull() for k in keys])
 
@@ -35,7 +33,7 @@ def carry_over(
     find out.
     """
     arrived = incoming.select(*[F.col(f"`{k}`") for k in keys]).distinct()
-    return existing.alias("l").join(arrived.alias("r"), _both(keys, null_safe), "left_anti")
+    return existing.alias("l").join(arrived.alias("r"), same_keys(keys, null_safe), "left_anti")
 
 
 def union_merge(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -48,13 +46,14 @@ def upsert(
     incoming: DataFrame,
     keys: Sequence[str],
     version: Sequence[str] = (),
+    tiebreak: Sequence[str] = (),
     null_keys: str = "reject",
 ) -> DataFrame:
     """``existing`` with ``incoming`` merged in; both hold one row per key.
 
-    Without ``version`` an arriving row replaces whatever its key held.  With
-    ``version`` it does so unless the existing row is strictly newer, which makes the
-    result independent of the order in which batches are applied.
+    Without ``version`` an arriving row replaces whatever its key held.  With ``version``
+    the greater of two rows stays, by ``version``, ``tiebreak`` and then the remaining
+    columns, so the result does not depend on the order in which batches are applied.
 
     ``null_keys='reject'`` leaves out rows with a NULL in the key; ``'match'`` treats
     NULL as a key like any other.
@@ -65,39 +64,11 @@ def upsert(
     if not null_safe:
         existing = existing.filter(_has_key(keys))
         incoming = incoming.filter(_has_key(keys))
-    kept, accepted = split_upsert(existing, incoming, keys, version, null_safe)
-    return union_merge(kept, accepted)
-
-
-def split_upsert(
-    existing: DataFrame,
-    incoming: DataFrame,
-    keys: Sequence[str],
-    version: Sequence[str],
-    null_safe: bool,
-    small: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """The two halves of an upsert: rows kept from ``existing``, rows accepted from
-    ``incoming``.
-
-    The state itself is on the left of its joins.  With ``small``, for which the caller
-    has checked the size of ``incoming``, the batch's keys are broadcast and the state is
-    streamed past them without a shuffle.  The version check costs a second scan of the
-    state, but only of its key and version columns; what it finds is no longer than the
-    batch, since both sides hold one row per key.
-    """
-    mark = F.broadcast if small else lambda df: df
-    narrow = [F.col(f"`{c}`") for c in dict.fromkeys([*keys, *version])]
-    probe = mark(incoming.select(*narrow))
-    same = _both(keys, null_safe)
-    if not version:
-        return existing.alias("l").join(probe.alias("r"), same, "left_anti"), incoming
-    older = same & (_rank("l", version) <= _rank("r", version))
-    newer = same & (_rank("l", version) > _rank("r", version))
-    kept = existing.alias("l").join(probe.alias("r"), older, "left_anti")
-    ahead = existing.select(*narrow).alias("l").join(probe.alias("r"), newer, "left_semi")
-    accepted = incoming.alias("l").join(mark(ahead).alias("r"), same, "left_anti")
-    return kept, accepted
+    if version:
+        return latest_per_key(union_merge(existing, incoming), keys, version, tiebreak)
+    arrived = incoming.select(*[F.col(f"`{k}`") for k in keys])
+    kept = existing.alias("l").join(arrived.alias("r"), same_keys(keys, null_safe), "left_anti")
+    return union_merge(kept, incoming)
 
 
 def upsert_audit(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -111,7 +82,7 @@ def upsert_audit(existing: DataFrame, incoming: DataFrame, keys: Sequence[str])
     sides = existing.select(*cols, F.lit(1).alias("__old"), F.lit(0).alias("__new")).unionByName(
         incoming.select(*cols, F.lit(0).alias("__old"), F.lit(1).alias("__new"))
     )
-    per_key = sides.groupBy(*keys).agg(
+    per_key = sides.groupBy(*cols).agg(
         F.sum("__old").alias("__old"), F.sum("__new").alias("__new")
     )
     usable = _has_key(keys)

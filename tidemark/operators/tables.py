@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tidemark.sources import files
+
 
 def validate_row_counts(tables: Mapping[str, DataFrame], min_rows: int = 1) -> DataFrame:
     """``table_name, n_rows, passed`` per table; no column of the tables is read."""
@@ -44,11 +47,27 @@ def partitioned_write(df: DataFrame, path: str, by: str) -> int:
 def table_load(df: DataFrame, table: str, path: str | None = None) -> int:
     """Replace catalog table ``table`` with the rows of ``df``; returns the rows written.
 
-    With ``path`` the table is external and its files lie there.
+    The rows go into a new folder under ``path`` (default: one named like the table in the
+    warehouse), and the table is pointed at it when they are all there: a load that fails
+    leaves the table as it was, and ``df`` may read the table itself.  The folder of the load
+    before stays for readers at work, older ones are deleted.
     """
+    spark = df.sparkSession
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    root = (path or f"{warehouse}/{table.replace('`', '')}.loads").rstrip("/")
+    loads = sorted(e.name for e in files.listing(spark, root) if e.name.startswith("load-"))
+    number = int(loads[-1].split("-")[1]) + 1 if loads else 0
+    target = f"{root}/load-{number:010d}-{uuid.uuid4().hex[:12]}"
     written = Observation()
-    writer = df.observe(written, F.count(F.lit(1)).alias("n_rows")).write
-    if path:
-        writer = writer.option("path", path)
-    writer.mode("overwrite").format("parquet").saveAsTable(table)
+    df.observe(written, F.count(F.lit(1)).alias("n_rows")).write.parquet(target)
+    held = spark.table(table).schema if spark.catalog.tableExists(table) else None
+    if held is not None and held.simpleString() == df.schema.simpleString():
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{target}'")
+        spark.catalog.refreshTable(table)
+    else:
+        # Other columns need another table; the files of the old one stay where they are.
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.createTable(table, target, "parquet", df.schema)
+    for old in loads[:-1]:
+        files.delete_tree(spark, f"{root}/{old}")
     return written.get["n_rows"]

@@ -40,24 +40,28 @@ def apply_hour(
 def backfill(
     state: StateTable,
     base: str,
-    start: datetime,
-    end: datetime,
+    start: datetime | None = None,
+    end: datetime | None = None,
     schema: T.StructType = EMPLOYEE_SCHEMA,
     pattern: str = DROP_FILE_PATTERN,
 ) -> DataFrame:
     """All hours from ``start`` to ``end`` in one pass: one scan, one merge, one version.
 
-    Needs a state in version mode, where this equals applying the hours one by one.
-    Returns ``time_stamp, missing`` per hour; hours without a folder are skipped.
+    Without ``start`` and ``end``, whatever hours the base holds.  Needs a state in version
+    mode, where this equals applying the hours one by one.  Returns ``time_stamp, missing``
+    per hour; hours without a folder are skipped.
     """
     if state.mode != "version":
         raise ValueError("one pass over many hours needs mode='version'; use backfill_hourly")
-    wanted = hour_labels(start, end)
+    if (start is None) != (end is None):
+        raise ValueError("give both start and end, or neither")
+    wanted = None if start is None else hour_labels(start, end)
     present = available_hours(state.spark, base, wanted)
     if present:
-        drops = read_drops(state.spark, base, schema, present, pattern)
+        hours = None if wanted is None else present
+        drops = read_drops(state.spark, base, schema, hours, pattern)
         state.apply(drops, label=f"{present[0]}..{present[-1]}")
-    return _report(state, wanted, present)
+    return _report(state, present if wanted is None else wanted, present)
 
 
 def backfill_hourly(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.draws import draw_decimal, draw_integer, draw_item, row_digest
 from tidemark.sources.drops import FILE_INDEX, PARTITION
-from tidemark.sources.export import CSV_TIMES
+from tidemark.sources.export import CSV_WRITE
 
 # What the drops may contain.
 NAMES = [
@@ -60,7 +60,7 @@ def write_drops(rows: DataFrame, base: str) -> None:
     """
     (
         rows.write.mode("errorifexists")
-        .options(header=True, **CSV_TIMES)
+        .options(**CSV_WRITE)
         .partitionBy(PARTITION, FILE_INDEX)
         .csv(base)
     )

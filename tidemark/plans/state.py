@@ -2,14 +2,14 @@
 
 Layout under ``root``::
 
-    data/attempt=<version>-<id>/bucket=<b>/part-*.parquet
+    data/attempt=<version>-<id>/part-*.parquet
     commits/<version>.json
 
-A batch rewrites only the buckets its keys fall into, into a new ``attempt`` folder;
-the commit file then says, for every bucket, which attempt holds it.  Nothing a reader
-can see is ever changed or overwritten, so a job that dies leaves the previous version
-in force, and an attempt without a commit is never read.  The commit files double as
-the audit table.
+A batch is reduced to its newest row per key and written as it is, as a *delta*: what an
+``apply`` writes is in proportion to the batch, however large the table.  Its commit names the
+folders in force, the base and the deltas since.  Reading finds the newest row per key over
+them; ``fold`` writes that as a new base.  Nothing a reader can see is ever changed, so a job
+that dies leaves the previous version in force, and an attempt without a commit is never read.
 """
 
 from __future__ import annotations
@@ -18,34 +18,36 @@ import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.latest import latest_per_key
-from tidemark.operators.merge import split_upsert, union_merge
+from tidemark.operators.latest import latest_per_key, orderable
+from tidemark.operators.merge import same_keys, union_merge
 from tidemark.sources import files
 from tidemark.sources.drops import CORRUPT
 
-BUCKET = "bucket"
 ATTEMPT = "attempt"
-_ARRIVED = "__arrived"
-_MAX_BUCKETS = 100_000
 
-AUDIT_COUNTS = (
+BATCH_COUNTS = (
     "incoming_rows",
     "rejected_rows",
     "unversioned_rows",
     "malformed_rows",
     "latest_rows",
-    "existing_rows",
-    "remaining_rows",
-    "final_rows",
 )
+AUDIT_COUNTS = (*BATCH_COUNTS, "existing_rows", "remaining_rows", "final_rows")
 _AUDIT_SCHEMA = T.StructType(
     [T.StructField("version", T.LongType()), T.StructField("label", T.StringType())]
     + [T.StructField(name, T.LongType()) for name in AUDIT_COUNTS]
 )
+_COMMIT_SCHEMA = T.StructType(
+    [
+        *_AUDIT_SCHEMA.fields[:7],
+        T.StructField("folded", T.BooleanType()),
+        T.StructField("history", T.ArrayType(_AUDIT_SCHEMA)),
+    ]
+)
 
 
 class CommitConflict(RuntimeError):
@@ -55,16 +57,11 @@ class CommitConflict(RuntimeError):
 class StateTable:
     """A table with one row per key under ``root``.
 
-    ``schema`` lists all stored columns, among them ``keys`` and the ``version``
-    columns that say which of two rows is newer.  ``mode='version'`` keeps the newer
-    row whatever the order of batches; ``mode='arrival'`` lets every batch replace what
-    is there.  ``buckets`` fixes into how many parts the keys are hashed: 1 rewrites the
-    whole table per batch, more lets small batches touch a part of it.
-
-    The keys of a batch are broadcast when the batch, reduced to one row per key and
-    written out, stays within both ``broadcast_bytes`` and ``broadcast_rows``; a larger
-    one is joined by shuffling.  Every ``compact_every`` versions the files of the
-    touched buckets are joined up.
+    ``schema`` lists all stored columns, among them ``keys`` and the ``version`` columns that
+    say which of two rows is newer.  ``mode='version'`` keeps the greatest row by ``version``,
+    ``tiebreak`` and then the remaining columns, within a batch and across batches alike, so
+    the order in which batches arrive does not matter.  ``mode='arrival'`` lets every batch
+    replace what is there.
     """
 
     def __init__(
@@ -77,25 +74,19 @@ class StateTable:
         mode: str = "version",
         tiebreak: Sequence[str] = (),
         null_keys: str = "reject",
-        buckets: int = 1,
-        broadcast_bytes: int = 32 << 20,
-        broadcast_rows: int = 1_000_000,
-        compact_every: int = 16,
     ):
         if mode not in ("version", "arrival"):
             raise ValueError(f"mode must be 'version' or 'arrival', not {mode!r}")
         if null_keys not in ("reject", "match"):
             raise ValueError(f"null_keys must be 'reject' or 'match', not {null_keys!r}")
-        if not 1 <= buckets <= _MAX_BUCKETS:
-            raise ValueError(f"buckets must be in 1..{_MAX_BUCKETS}")
         if not keys:
             raise ValueError("a state needs key columns")
         if mode == "version" and not version:
             raise ValueError("mode='version' needs version columns")
         if unknown := {*keys, *version, *tiebreak}.difference(schema.names):
             raise ValueError(f"not in the schema: {sorted(unknown)}")
-        if taken := {BUCKET, ATTEMPT}.intersection(schema.names):
-            raise ValueError(f"column names used by the state itself: {sorted(taken)}")
+        if ATTEMPT in schema.names:
+            raise ValueError(f"column name used by the state itself: {ATTEMPT!r}")
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
@@ -104,16 +95,17 @@ class StateTable:
         self.mode = mode
         self.tiebreak = list(tiebreak)
         self.null_keys = null_keys
-        self.buckets = buckets
-        self.broadcast_bytes = broadcast_bytes
-        self.broadcast_rows = broadcast_rows
-        self.compact_every = compact_every
 
     # -- reading -------------------------------------------------------------------
 
     def versions(self) -> list[int]:
-        """Published versions, ascending."""
-        entries = files.listing(self.spark, f"{self.root}/commits")
+        """Versions that can be read, ascending: published and not expired."""
+        published = self._numbers("commits")
+        expired = self._numbers("expired")
+        return [v for v in published if not expired or v >= expired[-1]]
+
+    def _numbers(self, folder: str) -> list[int]:
+        entries = files.listing(self.spark, f"{self.root}/{folder}")
         return sorted(
             int(e.name.removesuffix(".json")) for e in entries if e.name.endswith(".json")
         )
@@ -122,25 +114,35 @@ class StateTable:
         return bool(self.versions())
 
     def read(self, version: int | None = None) -> DataFrame:
-        """The table as of ``version`` (default: the newest)."""
+        """The table as of ``version`` (default: the newest).
+
+        Rows of the base whose key is in no delta pass as they are; the others meet the
+        deltas.  How the keys of the deltas reach the base is left to Catalyst, which knows
+        their size: a few are broadcast, and the base is not shuffled.
+        """
         head = self._commit(version)
         if head is None:
             return self.spark.createDataFrame([], self.schema)
-        return self._scan(head["layout"]).select(*self._columns())
-
-    def audit(self) -> DataFrame:
-        """One row of counts per published batch."""
-        if not self.exists():
-            return self.spark.createDataFrame([], _AUDIT_SCHEMA)
-        return (
-            self.spark.read.schema(_AUDIT_SCHEMA)
-            .option("pathGlobFilter", "*.json")
-            .json(f"{self.root}/commits")
-        )
+        base, *deltas = head["parts"]
+        if not deltas:
+            return self._scan([base]).select(*self._columns())
+        old, new = self._scan([base]), self._scan(deltas)
+        touched = new.select(*self._key_columns()).distinct()
+        same = same_keys(self.keys, self.null_keys == "match")
+        untouched = old.alias("l").join(touched.alias("r"), same, "left_anti")
+        met = old.alias("l").join(touched.alias("r"), same, "left_semi")
+        newest = latest_per_key(union_merge(met, new), self.keys, self._order(), self.tiebreak)
+        return union_merge(untouched.select(*self._columns()), newest.select(*self._columns()))
+
+    def _order(self) -> list[str]:
+        return self.version if self.mode == "version" else [ATTEMPT]
 
     def _columns(self) -> list[Column]:
         return [F.col(f"`{name}`") for name in self.schema.names]
 
+    def _key_columns(self) -> list[Column]:
+        return [F.col(f"`{name}`") for name in self.keys]
+
     def _commit(self, version: int | None = None) -> dict | None:
         known = self.versions()
         if version is None:
@@ -150,42 +152,26 @@ class StateTable:
         elif version not in known:
             raise ValueError(f"no version {version} in {self.root}")
         head = json.loads(files.read_text(self.spark, self._commit_path(version)))
-        declared = {"keys": self.keys, "buckets": self.buckets}
-        stored = {name: head[name] for name in declared}
-        if stored != declared:
-            raise ValueError(f"{self.root} was created with {stored}, not {declared}")
+        if head["keys"] != self.keys:
+            raise ValueError(f"{self.root} was created with keys {head['keys']}")
         return head
 
     def _commit_path(self, version: int) -> str:
         return f"{self.root}/commits/{version:010d}.json"
 
-    def _scan(self, layout: dict[str, dict[str, int]], only: set[int] | None = None) -> DataFrame:
-        """Stored columns and ``bucket``; ``only`` some buckets when given."""
-        stored = T.StructType(
-            list(self.schema.fields)
-            + [T.StructField(ATTEMPT, T.StringType()), T.StructField(BUCKET, T.IntegerType())]
-        )
+    def _scan(self, parts: list[str]) -> DataFrame:
+        """Stored columns and ``attempt``, whose text sorts like the version numbers."""
+        stored = T.StructType([*self.schema.fields, T.StructField(ATTEMPT, T.StringType())])
         data = f"{self.root}/data"
-        paths = []
-        for attempt, rows in layout.items():
-            folder = f"{data}/{ATTEMPT}={attempt}"
-            wanted = [b for b in rows if only is None or int(b) in only]
-            if len(wanted) == self.buckets:
-                paths.append(folder)
-            else:
-                paths += [f"{folder}/{BUCKET}={b}" for b in wanted]
-        if not paths:
-            return self.spark.createDataFrame([], stored).drop(ATTEMPT)
-        return (
-            self.spark.read.schema(stored).option("basePath", data).parquet(*paths).drop(ATTEMPT)
-        )
+        folders = [f"{data}/{ATTEMPT}={part}" for part in parts]
+        return self.spark.read.schema(stored).option("basePath", data).parquet(*folders)
 
     # -- writing -------------------------------------------------------------------
 
     def apply(
         self, batch: DataFrame, label: str | None = None, stream: tuple[str, int] | None = None
-    ) -> dict:
-        """Merge ``batch`` into the table, publish the result, return its audit counts.
+    ) -> dict[str, int]:
+        """Publish ``batch`` as the next version; returns the counts of the batch itself.
 
         ``batch`` has the columns of the schema (a ``_corrupt_record`` beside them is
         counted and dropped) and may hold many rows per key.  ``stream`` names a stream
@@ -193,67 +179,45 @@ class StateTable:
         a stream may repeat its last batch after a failure.
         """
         head = self._commit()
-        applied = dict(head["streams"]) if head else {}
+        streams = dict(head["streams"]) if head else {}
         if stream is not None:
             name, number = stream
-            if applied.get(name, -1) >= number:
-                return {count: head[count] for count in AUDIT_COUNTS}
-            applied[name] = number
-
+            if streams.get(name, -1) >= number:
+                return {count: head[count] for count in BATCH_COUNTS}
+            streams[name] = number
         version = head["version"] + 1 if head else 0
-        attempt = f"{version:010d}-{uuid.uuid4().hex[:12]}"
-        target = f"{self.root}/data/{ATTEMPT}={attempt}"
-        if head is None:
-            counts = self._write_latest(batch, target, by_bucket=True)
-            layout = {attempt: self._bucket_rows(target)}
-            counts["existing_rows"] = counts["remaining_rows"] = 0
-        else:
-            staged = f"{self.root}/staged/{attempt}"
-            counts = self._write_latest(batch, staged, by_bucket=False)
-            counts["existing_rows"] = _rows(head["layout"])
-            touched = self._touched(staged) if counts["latest_rows"] else set()
-            layout = {
-                old: left
-                for old, rows in head["layout"].items()
-                if (left := {b: n for b, n in rows.items() if b not in touched})
-            }
-            accepted = 0
-            if touched:
-                # The batch was just written, so its size is known and not estimated.
-                small = (
-                    counts["latest_rows"] <= self.broadcast_rows
-                    and files.total_size(self.spark, staged) <= self.broadcast_bytes
-                )
-                accepted = self._write_merged(head, version, staged, touched, target, small)
-                layout[attempt] = self._bucket_rows(target)
-            counts["remaining_rows"] = _rows(layout) - accepted
-            files.delete_tree(self.spark, staged)
-        counts["final_rows"] = _rows(layout)
-        self._publish(
-            {
-                "version": version,
-                "label": label,
-                **counts,
-                "keys": self.keys,
-                "buckets": self.buckets,
-                "streams": applied,
-                "layout": layout,
-            }
-        )
-        return {count: counts[count] for count in AUDIT_COUNTS}
+        attempt = self._attempt(version)
+        counts = self._write_latest(batch, f"{self.root}/data/{ATTEMPT}={attempt}")
+        parts = [*(head["parts"] if head else []), attempt]
+        self._publish(version, label, counts, parts, streams)
+        return counts
+
+    def fold(self, label: str | None = "fold") -> None:
+        """Publish the rows of the newest version as a new base, so that reading need not
+        merge the deltas so far.  One shuffle of the table; run it now and then."""
+        head = self._commit()
+        if head is None or len(head["parts"]) == 1:
+            return
+        version = head["version"] + 1
+        attempt = self._attempt(version)
+        history = [row.asDict() for row in self.audit().orderBy("version").toLocalIterator()]
+        self.read().write.parquet(f"{self.root}/data/{ATTEMPT}={attempt}")
+        counts = dict.fromkeys(BATCH_COUNTS, 0)
+        self._publish(version, label, counts, [attempt], head["streams"], history)
+
+    def _attempt(self, version: int) -> str:
+        return f"{version:010d}-{uuid.uuid4().hex[:12]}"
 
-    def _write_latest(self, batch: DataFrame, path: str, by_bucket: bool) -> dict[str, int]:
-        """Newest row per key of the batch with its bucket, as a folder per bucket or as a
-        plain table; returns the counts of the batch.
+    def _write_latest(self, batch: DataFrame, path: str) -> dict[str, int]:
+        """Newest row per key of the batch; returns the counts of the batch.
 
         The batch is read once.  Its counts travel with the rows and are observed in
         the stage that writes them, the only kind of stage whose metrics Spark counts
         once however often a lost executor makes it run tasks again.
         """
-        missing = F.lit(False)
+        missing, unversioned = F.lit(False), F.lit(False)
         for key in self.keys:
             missing = missing | F.col(f"`{key}`").isNull()
-        unversioned = F.lit(False)
         for name in self.version:
             unversioned = unversioned | F.col(f"`{name}`").isNull()
         corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in batch.columns else F.lit(False)
@@ -268,112 +232,101 @@ class StateTable:
             "__malformed": F.col("__corrupt"),
         }
         newest = latest_per_key(typed, self.keys, self.version, self.tiebreak, tally=tally)
-        bucket = F.pmod(F.hash(*[F.col(f"`{k}`") for k in self.keys]), F.lit(self.buckets))
         usable = F.col("__rejected") == 0
+        sums = (*[F.sum(name) for name in tally], F.count_if(usable))
         seen = Observation()
-        sums = {
-            "incoming_rows": F.sum("__incoming"),
-            "rejected_rows": F.sum("__rejected"),
-            "unversioned_rows": F.sum("__unversioned"),
-            "malformed_rows": F.sum("__malformed"),
-            "latest_rows": F.count_if(usable),
-        }
-        newest = newest.withColumn(BUCKET, bucket.cast("int"))
-        rows = (
-            (self._by_bucket(newest) if by_bucket else newest)
-            .observe(
-                seen, *[F.coalesce(c, F.lit(0)).cast("bigint").alias(n) for n, c in sums.items()]
-            )
-            .filter(usable)
-            .select(*self._columns(), BUCKET)
-        )
-        (rows.write.partitionBy(BUCKET) if by_bucket else rows.write).parquet(path)
+        newest.observe(
+            seen,
+            *[F.coalesce(s, F.lit(0)).cast("bigint").alias(n) for n, s in zip(BATCH_COUNTS, sums)],
+        ).filter(usable).select(*self._columns()).write.parquet(path)
         return dict(seen.get)
 
-    def _write_merged(
-        self,
-        head: dict,
-        version: int,
-        staged: str,
-        touched: set[str],
-        target: str,
-        small: bool,
-    ) -> int:
-        """Rewrite the touched buckets; returns how many arriving rows were accepted."""
-        kept, accepted = split_upsert(
-            self._scan(head["layout"], {int(b) for b in touched}),
-            self._read_bucketed(staged),
-            self.keys,
-            self.version if self.mode == "version" else (),
-            null_safe=self.null_keys == "match",
-            small=small,
+    def _publish(self, version, label, counts, parts, streams, history=None) -> None:
+        commit = {
+            "version": version,
+            "label": label,
+            **counts,
+            "folded": history is not None,
+            "history": history or [],
+            "keys": self.keys,
+            "streams": streams,
+            "parts": parts,
+        }
+        if not files.create_text(self.spark, self._commit_path(version), json.dumps(commit)):
+            raise CommitConflict(f"version {version} of {self.root} is taken")
+
+    # -- looking back --------------------------------------------------------------
+
+    def audit(self) -> DataFrame:
+        """One row of counts per published batch.
+
+        What a batch found, replaced and left is worked out here, from the keys and versions
+        of the base and the deltas, and not while batches are applied.  A fold keeps the
+        counts of the batches before it in its commit.
+        """
+        head = self._commit()
+        if head is None:
+            return self.spark.createDataFrame([], _AUDIT_SCHEMA)
+        commits = self.spark.read.schema(_COMMIT_SCHEMA).json(
+            [self._commit_path(int(part.partition("-")[0])) for part in head["parts"]]
         )
-        if small:
-            # Each touched bucket gets a small file: let many tasks make them.
-            cores = self.spark.sparkContext.defaultParallelism
-            accepted = accepted.repartition(min(len(touched), cores), BUCKET)
-        merged = union_merge(
-            kept.withColumn(_ARRIVED, F.lit(0)), accepted.withColumn(_ARRIVED, F.lit(1))
+        counted = (
+            commits.filter(~F.col("folded"))
+            .select("version", "label", *BATCH_COUNTS)
+            .join(self._moves(head["parts"]), "version", "left")
         )
-        # A broadcast join leaves the state in the order of its files, a few buckets per
-        # task, which can be written as it is; but from time to time the small files of
-        # small batches need joining up.
-        if version % self.compact_every == 0:
-            merged = self._rebalanced(merged)
-        elif not small:
-            merged = self._by_bucket(merged)
-        seen = Observation()
-        (
-            merged.observe(seen, F.coalesce(F.sum(_ARRIVED), F.lit(0)).alias("accepted"))
-            .select(*self._columns(), BUCKET)
-            .write.partitionBy(BUCKET)
-            .parquet(target)
+        before = Window.orderBy("version").rowsBetween(Window.unboundedPreceding, -1)
+        # A window over one row per batch since the last fold.
+        existing = F.coalesce(F.sum("fresh").over(before), F.lit(0)) + F.lit(
+            self._base_rows(head["parts"])
         )
-        return seen.get["accepted"]
-
-    def _by_bucket(self, df: DataFrame) -> DataFrame:
-        """Rows that were shuffled on the keys, with few buckets in any one task.
+        fresh, replaced = F.coalesce("fresh", F.lit(0)), F.coalesce("replaced", F.lit(0))
+        since = counted.select(
+            "version",
+            "label",
+            *BATCH_COUNTS,
+            existing.alias("existing_rows"),
+            (existing - replaced).alias("remaining_rows"),
+            (existing + fresh).alias("final_rows"),
+        )
+        earlier = commits.select(F.explode("history").alias("h")).select("h.*")
+        return earlier.unionByName(since)
 
-        The bucket is the hash by which Spark shuffles on the keys, so when one of the
-        two numbers divides the other, a shuffle partition is one bucket (or a part of
-        one, or several whole ones) and nothing need be moved.  Otherwise every task
-        holds some of every bucket, and writing that would make a file of each.
-        """
-        partitions = int(
-            self.spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-            or self.spark.conf.get("spark.sql.shuffle.partitions")
+    def _base_rows(self, parts: list[str]) -> int:
+        """Rows of a base that a fold made; one that is a batch itself counts as a batch."""
+        first = json.loads(
+            files.read_text(self.spark, self._commit_path(int(parts[0].partition("-")[0])))
+        )
+        return self._scan(parts[:1]).count() if first["folded"] else 0
+
+    def _moves(self, parts: list[str]) -> DataFrame:
+        """Per version: keys it was the first to bring, rows it replaced."""
+        order = list(dict.fromkeys([*self.version, *self.tiebreak]))
+        rest = [f.name for f in self.schema.fields if orderable(f.dataType)]
+        compared = dict.fromkeys(n for n in [*order, *rest] if n not in self.keys)
+        rank = F.struct(F.lit(0), *[F.col(f"`{n}`") for n in compared])
+        if self.mode == "arrival":
+            rank = F.col(ATTEMPT)
+        rows = self._scan(parts).select(*self._key_columns(), ATTEMPT, rank.alias("__rank"))
+        earlier = (
+            Window.partitionBy(*self._key_columns())
+            .orderBy(ATTEMPT)
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        best = F.max("__rank").over(earlier)
+        version = F.substring_index(ATTEMPT, "-", 1).cast("bigint")
+        return (
+            rows.select(version.alias("version"), "__rank", best.alias("__best"))
+            .groupBy("version")
+            .agg(
+                F.count_if(F.col("__best").isNull()).alias("fresh"),
+                F.count_if(F.col("__best") <= F.col("__rank")).alias("replaced"),
+            )
         )
-        aligned = partitions % self.buckets == 0 or self.buckets % partitions == 0
-        return df if aligned else self._rebalanced(df)
-
-    def _rebalanced(self, df: DataFrame) -> DataFrame:
-        return df.hint("rebalance", F.col(BUCKET)) if self.buckets > 1 else df.hint("rebalance")
-
-    def _read_bucketed(self, path: str) -> DataFrame:
-        bucket = T.StructField(BUCKET, T.IntegerType())
-        return self.spark.read.schema(T.StructType([*self.schema.fields, bucket])).parquet(path)
-
-    def _touched(self, staged: str) -> set[str]:
-        """The buckets a staged batch has keys of; at most ``buckets`` of them."""
-        if self.buckets == 1:
-            return {"0"}
-        found = self._read_bucketed(staged).select(BUCKET).distinct().collect()
-        return {str(row[BUCKET]) for row in found}
-
-    def _bucket_rows(self, path: str) -> dict[str, int]:
-        """Rows per bucket of a written folder, from the Parquet footers."""
-        if not any(entry.is_dir for entry in files.listing(self.spark, path)):
-            return {}
-        counted = self._read_bucketed(path).groupBy(BUCKET).count().collect()
-        return {str(b): n for b, n in counted}  # at most ``buckets`` rows
-
-    def _publish(self, commit: dict) -> None:
-        path = self._commit_path(commit["version"])
-        if not files.create_text(self.spark, path, json.dumps(commit)):
-            raise CommitConflict(f"version {commit['version']} of {self.root} is taken")
 
     def expire(self, keep: int = 2) -> None:
-        """Drop the data that none of the ``keep`` newest versions needs.
+        """Drop the data that none of the ``keep`` newest versions needs; older versions can
+        then no longer be read, and are no longer listed.
 
         Attempts numbered after the oldest version kept may belong to a writer still at
         work and are left alone.
@@ -383,29 +336,9 @@ class StateTable:
         kept = self.versions()[-keep:]
         if not kept:
             return
-        needed = {
-            (attempt, int(b))
-            for version in kept
-            for attempt, rows in self._commit(version)["layout"].items()
-            for b in rows
-        }
-        in_use = {attempt for attempt, _ in needed}
-        for entry in files.listing(self.spark, f"{self.root}/staged"):
-            if int(entry.name.partition("-")[0]) <= kept[0]:
-                files.delete_tree(self.spark, f"{self.root}/staged/{entry.name}")
-        data = f"{self.root}/data"
-        for entry in files.listing(self.spark, data):
+        files.create_text(self.spark, f"{self.root}/expired/{kept[0]:010d}.json", "{}")
+        needed = {part for version in kept for part in self._commit(version)["parts"]}
+        for entry in files.listing(self.spark, f"{self.root}/data"):
             attempt = entry.name.removeprefix(f"{ATTEMPT}=")
-            if int(attempt.partition("-")[0]) > kept[0]:
-                continue
-            if attempt not in in_use:
-                files.delete_tree(self.spark, f"{data}/{entry.name}")
-                continue
-            for part in files.listing(self.spark, f"{data}/{entry.name}"):
-                name, _, bucket = part.name.partition("=")
-                if name == BUCKET and (attempt, int(bucket)) not in needed:
-                    files.delete_tree(self.spark, f"{data}/{entry.name}/{part.name}")
-
-
-def _rows(layout: dict[str, dict[str, int]]) -> int:
-    return sum(n for rows in layout.values() for n in rows.values())
+            if attempt not in needed and int(attempt.partition("-")[0]) <= kept[0]:
+                files.delete_tree(self.spark, f"{self.root}/data/{entry.name}")

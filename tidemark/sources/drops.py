@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.labels import DROP_FILE_PATTERN, file_index
 from tidemark.sources import files
+from tidemark.sources.export import CSV_READ
 
 PARTITION = "time_stamp"
 FILE_INDEX = "file_index"
@@ -52,10 +53,9 @@ def reader_schema(schema: T.StructType) -> T.StructType:
 
 
 def reader_options() -> dict[str, str]:
-    return {
-        "header": "true",
-        # Compare each file's header with the schema instead of trusting positions.
-        "enforceSchema": "false",
+    # With ``enforceSchema`` off each file's header is compared with the schema, instead of
+    # positions being trusted.
+    return CSV_READ | {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT,
     }
@@ -68,7 +68,7 @@ def with_origin(drops: DataFrame, schema: T.StructType, pattern: str) -> DataFra
         number = F.col(FILE_INDEX).cast("int")
     else:
         number = file_index(F.col("_metadata.file_name"), pattern)
-    return drops.select(*schema.names, PARTITION, number.alias(FILE_INDEX), CORRUPT)
+    return drops.select(*[F.col(f"`{n}`") for n in schema.names], PARTITION, number.alias(FILE_INDEX), CORRUPT)
 
 
 def available_hours(

@@ -5,8 +5,6 @@ Only names, sizes and small text files pass through the driver.
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 from typing import NamedTuple
 
@@ -94,19 +92,16 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A new, unused path in the shared folder named by ``spark.checkpoint.dir``.
-
-    Only a local session may do without that setting: its executors are this machine.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root and spark.sparkContext.master.startswith("local"):
-        root = _local_root()
-    if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    """A new, unused path in the shared folder named by ``spark.checkpoint.dir``, or in the
+    session's warehouse, which is shared as well, where that is not set."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
     app = spark.sparkContext.applicationId
     return f"{root.rstrip('/')}/tidemark/{app}/{purpose}-{uuid.uuid4().hex}"
 
 
-@functools.cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has put under ``scratch_path`` so far.  Results that were
+    not computed yet may still read it: call it when a session's work is done."""
+    delete_tree(spark, scratch_path(spark, "any").rpartition("/")[0])

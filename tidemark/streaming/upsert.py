@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.labels import DROP_FILE_PATTERN
 from tidemark.plans.state import StateTable
+from tidemark.sources import files
 from tidemark.sources.drops import (
     EMPLOYEE_SCHEMA,
     reader_options,
@@ -16,24 +19,27 @@ from tidemark.sources.drops import (
 )
 
 
+#: Longer than there have been file times, which start in 1970.
+NO_AGE_LIMIT = "73000d"
+
+
 def stream_drops(
     spark: SparkSession,
     base: str,
     schema: T.StructType = EMPLOYEE_SCHEMA,
     pattern: str = DROP_FILE_PATTERN,
     max_files: int = 1000,
-    max_file_age: str = "3650d",
 ) -> DataFrame:
     """Drops as a stream of files, with the columns of ``read_drops``.
 
-    ``max_file_age`` is long on purpose: Spark ignores files older than it (compared
-    with the newest seen), which would leave out late or copied hours.
+    Spark leaves out files that are much older than the newest it has seen.  Late and copied
+    drops may have any age, so the limit is set beyond the first day of file times.
     """
     scan = (
         spark.readStream.schema(reader_schema(schema))
         .options(**reader_options())
         .option("maxFilesPerTrigger", max_files)
-        .option("maxFileAge", max_file_age)
+        .option("maxFileAge", NO_AGE_LIMIT)
         .csv(base)
     )
     return with_origin(scan, schema, pattern)
@@ -45,15 +51,18 @@ def upsert_stream(
     """Merge everything that is available and stop; run again for what came since.
 
     A stream delivers files in no particular order of hours, so the state must be in
-    version mode.  ``name`` identifies the stream to the state, which uses it to skip a
-    micro-batch that is delivered twice; keep it together with the checkpoint.
+    version mode.  A micro-batch that is delivered twice is skipped: the state knows it by
+    its number and the id that Spark gave to the checkpoint, so a new checkpoint, at an old
+    path as well, is a new stream.  ``name`` is for the labels of the audit.
     """
     if state.mode != "version":
         raise ValueError("a stream needs a state with mode='version'")
-    identity = name or checkpoint
+    metadata = f"{checkpoint.rstrip('/')}/metadata"
 
     def merge(batch: DataFrame, number: int) -> None:
-        state.apply(batch, label=f"{identity}#{number}", stream=(identity, number))
+        identity = json.loads(files.read_text(state.spark, metadata))["id"]
+        label = f"{name or checkpoint}#{number}"
+        state.apply(batch, label=label, stream=(identity, number))
 
     return (
         drops.writeStream.foreachBatch(merge)

@@ -52,21 +52,16 @@ def main(sf_dir):
     few = scratch_path(spark, "compare_batch")
     keys = F.pmod(F.xxhash64("event_id"), F.lit(10_000)) == 0
     events.filter(keys).withColumn("ts", F.expr("ts + INTERVAL 1 DAY")).write.parquet(few)
-    for buckets in (1, 64):
-        state = tm.StateTable(
-            spark,
-            scratch_path(spark, f"compare_state_{buckets}"),
-            events.schema,
-            keys=["event_id"],
-            version=["ts"],
-            buckets=buckets,
-        )
-        timed(f"state of all events, {buckets} buckets", lambda: state.apply(events))
-        timed(
-            f"one key in 10,000 into it, {buckets} buckets",
-            lambda: state.apply(spark.read.parquet(few)),
-            repeats=3,
-        )
+    state = tm.StateTable(
+        spark, scratch_path(spark, "compare_state"), events.schema, ["event_id"], ["ts"]
+    )
+    timed("state of all events", lambda: state.apply(events))
+    timed("read it", lambda: run(state.read()))
+    timed(
+        "one key in 10,000 into it", lambda: state.apply(spark.read.parquet(few)), repeats=3
+    )
+    timed("read it with three deltas", lambda: run(state.read()))
+    timed("fold them", state.fold)
 
     base, day = scratch_path(spark, "compare_drops"), datetime(2024, 1, 1)
     end = day.replace(hour=23)
