@@ -212,14 +212,15 @@ def dedup_lines(
     own = distinct.select("h", "size", F.explode(F.slice("keys", 1, cut)).alias("key"))
     rest = F.slice(F.col("keys"), F.lit(cut + 1), F.size("keys"))
     other = distinct.select("h", "size", F.explode(rest).alias("key"))
-    shorter = own.select(F.col("h").alias("x"), F.col("size").alias("x_size"), "key")
 
     def candidates(probes: DataFrame) -> DataFrame:
-        gap = F.col("size") - F.col("x_size")
+        # Sides with the same columns, so that the index is shuffled once for both joins.
+        gap = F.col("p.size") - F.col("s.size")
         return (
-            probes.join(shorter, "key")
-            .filter(gap.between(0, threshold) & (F.col("h") != F.col("x")))
-            .select(F.least("h", "x").alias("x"), F.greatest("h", "x").alias("y"))
+            probes.alias("p")
+            .join(own.alias("s"), F.col("p.key") == F.col("s.key"))
+            .filter(gap.between(0, threshold) & (F.col("p.h") != F.col("s.h")))
+            .select(F.least("p.h", "s.h").alias("x"), F.greatest("p.h", "s.h").alias("y"))
         )
 
     pairs = stage(candidates(own).unionByName(candidates(other)).distinct(), "line_pairs")
@@ -257,10 +258,9 @@ def dedup_lines(
     )
     if kept_columns == [id_col]:
         # The same three columns as above, so that the texts are shuffled once for both uses.
-        given = F.nullif(F.col("id"), F.lit(_FIRST_ID)).alias(id_col)
-        whole = rows.select("*", F.struct(given).alias("row"))
+        whole, row = rows, F.struct(F.nullif(F.col("id"), F.lit(_FIRST_ID)).alias(id_col))
     else:
-        columns = [F.col(f"`{c}`") for c in kept_columns]
+        columns, row = [F.col(f"`{c}`") for c in kept_columns], F.col("row")
         whole = df.select(*keyed, F.struct(*columns).alias("row"), F.col(text_col).alias("text"))
     split = F.split("text", "\n")
     compared = F.size(F.filter(split, lambda line: F.length(line) >= min_chars))
@@ -272,7 +272,7 @@ def dedup_lines(
     return (
         whole.join(staying, ["id", "of"], "left")
         .select(
-            "row",
+            row.alias("row"),
             counted.alias("n_lines"),
             (counted - F.size(places)).alias("n_removed"),
             F.array_join(left, "\n").alias("text"),
