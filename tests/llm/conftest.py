@@ -1,0 +1,7 @@
+import os
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
