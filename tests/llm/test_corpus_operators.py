@@ -19,7 +19,7 @@ from tidemark.llm.sketch_join import (
     segment_keys,
 )
 
-FIRST = -(1 << 63)
+LAST = (1 << 63) - 1
 
 
 def key(row):
@@ -179,7 +179,7 @@ def test_banded_distance_equals_the_builtin(spark, threshold):
 def brute_lines(rows, hashes, threshold, min_chars):
     lines, out = [], []
     for (doc_id, text), of in zip(rows, hashes):
-        at_id = FIRST if doc_id is None else doc_id
+        at_id = LAST if doc_id is None else doc_id
         for at, line in enumerate((text or "").split("\n")):
             if text is not None and len(line) >= min_chars:
                 lines.append(((at_id, of, at), line))
@@ -193,7 +193,7 @@ def brute_lines(rows, hashes, threshold, min_chars):
                 left.append(line)
                 continue
             n += 1
-            me = (FIRST if doc_id is None else doc_id, of, at)
+            me = (LAST if doc_id is None else doc_id, of, at)
             if any(
                 o < me and abs(len(x) - len(line)) <= threshold and distance(x, line) <= threshold
                 for o, x in lines

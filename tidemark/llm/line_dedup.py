@@ -13,8 +13,8 @@ that can still be that segment when all edits before it and after it are counted
 (length-aware, multi-match-aware selection).  Candidates are verified by a bit-parallel
 edit distance over the band of 2 * threshold + 1 diagonals.
 
-A null text stays null, an empty one empty; a null id comes before all others, and the
-smallest 64-bit number is taken for one.  Rows equal in
+A null text stays null, an empty one empty; a null id comes after all others, and the
+greatest 64-bit number is taken for one.  Rows equal in
 id and text are decided alike, both keep the line that counts as first.  Several texts of one
 id are ordered by a hash of the text.  An empty table gives an empty result.  Columns may have
 any names; those not named here are carried along only when asked for.
@@ -32,7 +32,7 @@ THRESHOLD = 2
 #: Shorter lines are left alone: their segments would be too short to tell lines apart.
 MIN_CHARS = 48
 
-_FIRST_ID = -(1 << 63)
+_LAST_ID = (1 << 63) - 1
 
 
 def _segment(length: Column, number: int, parts: int) -> tuple[Column, Column]:
@@ -181,7 +181,7 @@ def dedup_lines(
     compared), ``n_removed`` and ``text`` without the removed lines."""
     kept_columns = [id_col] if keep is None else keep
     keyed = [
-        F.coalesce(F.col(id_col).cast("long"), F.lit(_FIRST_ID)).alias("id"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST_ID)).alias("id"),
         F.xxhash64(text_col).alias("of"),
     ]
     rows = df.select(*keyed, F.col(text_col).alias("text"))
@@ -258,7 +258,7 @@ def dedup_lines(
     )
     if kept_columns == [id_col]:
         # The same three columns as above, so that the texts are shuffled once for both uses.
-        whole, row = rows, F.struct(F.nullif(F.col("id"), F.lit(_FIRST_ID)).alias(id_col))
+        whole, row = rows, F.struct(F.nullif(F.col("id"), F.lit(_LAST_ID)).alias(id_col))
     else:
         columns, row = [F.col(f"`{c}`") for c in kept_columns], F.col("row")
         whole = df.select(*keyed, F.struct(*columns).alias("row"), F.col(text_col).alias("text"))

@@ -13,7 +13,7 @@ from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.separator_scan import scan_token_files, write_token_files
 from tidemark.llm.sketch_join import Similarity, near_duplicates
 from tidemark.llm.tree_bpe import round_trip_digests
-from tidemark.llm.url_rules import filter_urls
+from tidemark.llm.url_rules import MIN_CONFIDENCE, MIN_COUNT, MIN_SUPPORT, filter_urls
 from tidemark.sources.files import scratch_path
 
 #: For texts in several languages; the id after its last one is free and ends documents.
@@ -194,9 +194,145 @@ _INTERLEAVE = f"""
     FROM placed
 """
 
+_SKETCH_JOIN = rf"""
+    WITH RECURSIVE doc AS (
+        SELECT doc_id, coalesce(regexp_extract_all({_LOWER.format('text')},
+            '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+    shingle AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS i
+              FROM doc WHERE len(w) > 0)),
+    sized AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY 1),
+    shared AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+        FROM shingle a JOIN shingle b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+    link AS (
+        SELECT a, b FROM shared JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b
+        WHERE 100 * c >= 85 * (x.n + y.n - c)),
+    edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+    reach AS (
+        SELECT a, b FROM edge UNION SELECT r.a, e.b FROM reach r JOIN edge e ON e.a = r.b),
+    least AS (SELECT a AS doc_id, min(b) AS other FROM reach GROUP BY 1)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(other, doc_id)) AS component_id
+    FROM doc LEFT JOIN sized USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
+_LINE_DEDUP = r"""
+    WITH alphabet AS (
+        SELECT c, row_number() OVER (ORDER BY c) AS k FROM (
+            SELECT DISTINCT unnest(regexp_extract_all(text, '[^\x00-\x7F]')) AS c
+            FROM documents)),
+    codes AS (
+        SELECT coalesce(string_agg(c, '' ORDER BY k), '') AS src,
+               coalesce(string_agg(
+                   chr(CAST(CASE WHEN k > 26 THEN error('too many characters')
+                            WHEN k > 8 THEN k + 5 ELSE k END AS INTEGER)),
+                   '' ORDER BY k), '') AS dst
+        FROM alphabet),
+    split AS (
+        SELECT doc_id, text, unnest(range(len(s))) AS place, unnest(s) AS line
+        FROM (SELECT doc_id, text, string_split(text, chr(10)) AS s FROM documents)),
+    compared AS (SELECT * FROM split WHERE length(line) >= 48),
+    first_of AS (
+        SELECT line, translate(line, any_value(src), any_value(dst)) AS coded,
+               min({'d': doc_id, 'p': place}) AS f, length(line) AS n
+        FROM compared, codes GROUP BY line),
+    gone AS (
+        SELECT DISTINCT a.line FROM first_of a JOIN first_of b
+        ON b.n BETWEEN a.n - 2 AND a.n + 2 AND b.f < a.f
+        WHERE levenshtein(a.coded, b.coded) <= 2),
+    stays AS (SELECT f.d AS doc_id, f.p AS place FROM first_of ANTI JOIN gone USING (line)),
+    marked AS (
+        SELECT split.*, length(line) >= 48 AS is_long, stays.place IS NOT NULL AS kept
+        FROM split LEFT JOIN stays ON stays.doc_id = split.doc_id AND stays.place = split.place),
+    judged AS (
+        SELECT doc_id, count(*) FILTER (is_long) AS n_lines,
+               count(*) FILTER (is_long AND NOT kept) AS n_removed,
+               string_agg(line, chr(10) ORDER BY place) FILTER (NOT is_long OR kept) AS left_over
+        FROM marked GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+           CASE WHEN text IS NOT NULL THEN coalesce(left_over, '') END AS text
+    FROM documents LEFT JOIN judged USING (doc_id)
+"""
+
+_URL_RULES = rf"""
+    WITH parsed AS (
+        SELECT page_id, url, coalesce(strpos(url, '://'), 0) AS k,
+               CASE WHEN coalesce(strpos(url, '://'), 0) > 0
+                    THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+        FROM pages),
+    split AS (
+        SELECT page_id, url, {_LOWER.format("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host,
+               regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+        FROM parsed),
+    listed AS (
+        SELECT *, string_split(host, '.') AS names, {_LOWER.format("path")} AS low,
+               list_filter(string_split({_LOWER.format("path")}, '/'), lambda x: x != '') AS segs,
+               regexp_extract(url, '^[^?#]*\?([^#]*)', 1) AS query
+        FROM split),
+    described AS (
+        SELECT page_id, host, path, CASE WHEN host = '' THEN [] ELSE list_filter([
+                   'scheme=' || {_LOWER.format("split_part(url, '://', 1)")},
+                   'tld=' || names[-1],
+                   'site=' || CASE WHEN len(names) > 1
+                                   THEN array_to_string(names[-2:], '.') ELSE '' END,
+                   'sub=' || CASE WHEN len(names) > 2
+                                  THEN array_to_string(names[:-3], '.') ELSE '' END,
+                   'first=' || coalesce(segs[1], ''),
+                   'extension=' || regexp_extract(low, '\.([a-z0-9]{{1,8}})$', 1),
+                   'depth=' || len(segs),
+                   'keys=' || array_to_string(list_sort(list_distinct(list_transform(
+                       string_split(query, '&'), lambda x: split_part(x, '=', 1)))), ','),
+                   'fragment=' || CASE WHEN contains(url, '#') THEN 'yes' ELSE '' END],
+                   lambda x: NOT ends_with(x, '=')) END AS tokens
+        FROM listed),
+    stated AS (
+        SELECT *, CASE
+            WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com'))
+                 AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+            WHEN (host = 'example.com' OR ends_with(host, '.example.com'))
+                 AND starts_with(path, '/en/') THEN 'example.com/en/'
+            WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/')
+                 THEN 'net/es/'
+            WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/')
+                 THEN 'net/fr/'
+            WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/'
+            END AS rule
+        FROM described),
+    judged AS (
+        SELECT doc_id, bool_or(coalesce(quality, 1) = 0 OR coalesce(toxic, 0) = 1) AS bad
+        FROM labels GROUP BY 1),
+    labelled AS (SELECT tokens, bad FROM stated JOIN judged ON doc_id = page_id),
+    labelled_parts AS (
+        SELECT bad, list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS part
+        FROM (SELECT *, unnest(range(1, 1 << len(tokens))) AS mask FROM labelled)),
+    mined AS (
+        SELECT part FROM labelled_parts GROUP BY part
+        HAVING count(*) FILTER (bad) >= greatest(
+                   {MIN_COUNT}, ceil({MIN_SUPPORT} * (SELECT count(*) FROM labelled)))
+           AND count(*) FILTER (bad) >= {MIN_CONFIDENCE} * count(*)),
+    sets AS (SELECT DISTINCT tokens FROM stated WHERE rule IS NULL),
+    met AS (
+        SELECT DISTINCT tokens
+        FROM (SELECT tokens, list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS part
+              FROM (SELECT tokens, unnest(range(1, 1 << len(tokens))) AS mask FROM sets))
+        SEMI JOIN mined USING (part))
+    SELECT page_id, host, path, rule,
+           CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+                WHEN rule IS NOT NULL OR met.tokens IS NOT NULL THEN 'block'
+                ELSE 'allow' END AS verdict
+    FROM stated LEFT JOIN met ON met.tokens = stated.tokens AND rule IS NULL
+"""
+
 
 def oracle_sql():
     import corpus_pipeline
 
     whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return whole | {"op5_interleave": _INTERLEAVE, "op9_decontaminate": _DECONTAMINATE}
+    return whole | {
+        "op2_sketch_join": _SKETCH_JOIN,
+        "op3_line_dedup": _LINE_DEDUP,
+        "op4_url_rules": _URL_RULES,
+        "op5_interleave": _INTERLEAVE,
+        "op9_decontaminate": _DECONTAMINATE,
+    }

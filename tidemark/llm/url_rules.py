@@ -18,6 +18,8 @@ is mined and only stated rules block.  Other columns are not read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,9 +112,10 @@ def mine(
     empty = "antecedent array<string>, confidence double, support double"
     if not total:
         return spark.createDataFrame([], empty)
+    least = max(min_count, math.ceil(min_support * total))
     growth = FPGrowth(
         itemsCol="items",
-        minSupport=min(1.0, max(min_support, min_count / total)),
+        minSupport=min(1.0, (least - 0.5) / total),  # so that rounding cannot move the count
         minConfidence=min_confidence,
     )
     rules = (
