@@ -17,6 +17,7 @@ from tidemark.llm.sketch_join import (
     hamming,
     near_duplicates,
     segment_keys,
+    word_hashes,
 )
 
 LAST = (1 << 63) - 1
@@ -108,6 +109,21 @@ def test_a_large_group_of_near_copies_and_a_shared_passage(spark):
     assert got == brute_components(rows, how)
 
 
+def test_word_hashes_tell_words_apart_and_nothing_else():
+    rnd = random.Random(3)
+    texts = ["", " ", "a", " a", "a b\x0bc\x1cd\u00a0e", "Éa éa", "x" * 300, "x" * 299 + "y"]
+    texts += ["".join(rnd.choice("aAbB \n\té") for _ in range(rnd.randrange(60))) for _ in range(300)]
+    texts.append("word " * 300_000 + "z" * 2_000_000 + " end")
+    known = {}
+    for text in texts:
+        words = text.encode().lower().split()
+        hashes = word_hashes(text.encode())[0].tolist()
+        assert len(hashes) == len(words)
+        for word, number in zip(words, hashes):
+            assert known.setdefault(word, number) == number
+    assert len(set(known.values())) == len(known)
+
+
 def test_partners_agree_on_a_key_and_sketches_bound_the_difference():
     rnd = random.Random(4)
     how = Similarity(1, 80, 100)

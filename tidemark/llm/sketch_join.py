@@ -34,6 +34,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,9 +53,10 @@ GROUP_ENTRIES = 1_000_000
 LEVELS = 4
 #: Rows of entries that a task gathers before it sends them.
 FLUSH_ENTRIES = 2_000_000
-#: Words whose hashes a worker keeps before it starts anew.
-WORD_CACHE = 500_000
+#: 64-bit words of the brief sketch.
+BRIEF_WORDS = 8
 
+_FACTOR = 0x9E3779B97F4A7C15
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -64,15 +66,47 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _Hashes(dict):
-    """Hashes of the words met so far."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = found = xxhash.xxh64_intdigest(word)
-        return found
-
-
-_HASHES = _Hashes()
+_SPACE = re.compile(rb"[ \t-\r]")
+_IS_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+#: A random number for every byte, the same for a letter in both cases, none for white space.
+_BYTES = np.random.default_rng(20).integers(0, 1 << 64, size=256, dtype=np.uint64)
+_BYTES[ord("A") : ord("Z") + 1] = _BYTES[ord("a") : ord("z") + 1]
+_BYTES[_IS_SPACE] = 0
+_POWERS = np.array([pow(_FACTOR, i, 1 << 64) for i in range(256)], dtype=np.uint64)
+_CHUNK = 1 << 20
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word (between ASCII white space, A-Z in lower case), in order,
+    and where the words start: polynomials over the bytes of all words at once."""
+    if len(data) > 2 * _CHUNK:  # in pieces, cut at white space
+        hashes, places, start = [], [], 0
+        while start < len(data):
+            gap = _SPACE.search(data, start + _CHUNK)
+            stop = gap.start() + 1 if gap else len(data)
+            found, starts = _word_hashes(data[start:stop])
+            hashes.append(found)
+            places.append(starts + start)
+            start = stop
+        return np.concatenate(hashes), np.concatenate(places)
+    return _word_hashes(data)
+
+
+def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    codes = np.frombuffer(data, dtype=np.uint8)
+    space = _IS_SPACE[codes]
+    turns = np.flatnonzero(np.diff(space, prepend=True, append=True))
+    starts, stops = turns[::2], turns[1::2]
+    if not len(starts):
+        return np.empty(0, dtype=np.uint64), starts
+    body = codes[starts[0] :]
+    sizes = np.diff(starts, append=len(codes))
+    offset = np.arange(len(body)) - np.repeat(starts - starts[0], sizes)
+    summed = _BYTES[body] * _POWERS[np.minimum(offset, 255)]
+    hashes = _mix(np.add.reduceat(summed, starts - starts[0]))
+    for i in np.flatnonzero(stops - starts > 255):
+        hashes[i] = xxhash.xxh64_intdigest(data[starts[i] : stops[i]].lower())
+    return hashes, starts
 
 
 @dataclass(frozen=True)
@@ -105,17 +139,44 @@ class Similarity:
 
     def shingles(self, text: str | None) -> np.ndarray:
         """Sorted distinct hashes of the shingles of a text."""
-        words = text.encode().lower().split() if text else []
-        if not words:
+        return self.shingle_sets([text])[0]
+
+    def shingle_sets(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The same for many texts, some of them at a time."""
+        sets, held, size = [], [], 0
+        for text in texts:
+            held.append(text.encode() if text else b"")
+            size += len(held[-1])
+            if size >= _CHUNK:
+                sets += self._shingle_sets(held)
+                held, size = [], 0
+        return sets + (self._shingle_sets(held) if held else [])
+
+    def _shingle_sets(self, texts: list[bytes]) -> list[np.ndarray]:
+        hashes, starts = word_hashes(b"\n".join(texts))
+        opening = np.cumsum([0, *[len(text) + 1 for text in texts]])
+        bounds = np.searchsorted(starts, opening).tolist()
+        rolled = self._rolled(hashes, self.words)
+        sets = []
+        for first, stop in zip(bounds, bounds[1:]):
+            n = stop - first
+            if n >= self.words:
+                own = np.sort(rolled[first : stop - self.words + 1])
+                own = own[np.concatenate([[True], own[1:] != own[:-1]])]
+            else:
+                own = self._rolled(hashes[first:stop], n)
+            sets.append(own)
+        return sets
+
+    def _rolled(self, hashes: np.ndarray, width: int) -> np.ndarray:
+        """Hashes of all runs of so many words; the places in a run have factors of their own,
+        so that order counts."""
+        if not width or len(hashes) < width:
             return np.empty(0, dtype=np.uint64)
-        if len(_HASHES) > WORD_CACHE:
-            _HASHES.clear()
-        hashes = np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
-        width = min(self.words, len(words))
-        rolled = np.zeros(len(words) - width + 1, dtype=np.uint64)
+        rolled = np.zeros(len(hashes) - width + 1, dtype=np.uint64)
         for i in range(width):
-            rolled = _mix(rolled + hashes[i : len(words) - width + 1 + i])
-        return np.unique(rolled)
+            rolled += hashes[i : len(rolled) + i] * np.uint64(pow(_FACTOR, i, 1 << 64))
+        return _mix(rolled)
 
 
 @functools.cache
@@ -153,6 +214,26 @@ def dense_sketch(shingles: np.ndarray, how: Similarity) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def brief_sketch(shingles: np.ndarray) -> list[int]:
+    """The sketch at one width for all sets, as 64-bit numbers."""
+    places = (shingles >> np.uint64(20)).astype(np.int64) & (64 * BRIEF_WORDS - 1)
+    odd = np.bincount(places, minlength=64 * BRIEF_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
+
+
+def _may_reach(how: Similarity):
+    """Whether the sizes and brief sketches of sides ``p`` and ``q`` allow the similarity."""
+    sizes = F.col("p.size") + F.col("q.size")
+    apart = sum(
+        F.bit_count(F.get("p.brief", F.lit(i)).bitwiseXOR(F.get("q.brief", F.lit(i))))
+        for i in range(BRIEF_WORDS)
+    )
+    least, most = F.least("p.size", "q.size"), F.greatest("p.size", "q.size")
+    return (how.whole * least >= how.part * most) & (
+        apart * (how.whole + how.part) <= (how.whole - how.part) * sizes
+    )
+
+
 def hamming(a: bytes, b: bytes) -> int:
     """Distance of two dense sketches, the wider one folded to the other's width."""
     x, y = np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)
@@ -175,23 +256,27 @@ def segment_keys(shingles: np.ndarray, how: Similarity) -> tuple[np.ndarray, ...
         quotas.append(np.full(len(keys), min(max(quota, 0), 255), dtype=np.uint8))
 
     own = how.band(len(shingles))
-    for band in (own, own - 1) if own else (own,):
-        count, spare = how.segments(band)
-        for level in range(LEVELS):
-            dealt = _mix(shingles + np.uint64(level * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
-            place = ((dealt >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
-            order = np.argsort(place, kind="stable")
-            place = place[order]
+    for level in range(LEVELS):
+        # Sorted by their bits, shingles are sorted by segment, however many there are.
+        bits = np.sort(_mix(shingles + np.uint64(level * _FACTOR % (1 << 64))))
+        values, places = _mix(bits), bits >> np.uint64(32)
+        short = []
+        for band in bands if level else (own, own - 1)[: own + 1]:
+            count, spare = how.segments(band)
+            place = places * np.uint64(count) >> np.uint64(32)
             starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-            value = np.bitwise_xor.reduceat(_mix(dealt[order]), starts)
+            value = np.bitwise_xor.reduceat(values, starts)
             salt = np.uint64((band * LEVELS + level) << 40)
             left = spare - (count - len(starts))
-            add(_mix(value ^ _mix(salt + place[starts].astype(np.uint64))), band, level, left)
-            if left >= 0:
-                break
-            if level == LEVELS - 1:
-                empty = np.setdiff1d(np.arange(count), place[starts]).astype(np.uint64)
-                add(_mix(_mix(salt + empty)), band, level, 0)
+            add(_mix(value ^ _mix(salt + place[starts])), band, level, left)
+            if left < 0:
+                short.append(band)
+                if level == LEVELS - 1:
+                    empty = np.setdiff1d(np.arange(count, dtype=np.uint64), place[starts])
+                    add(_mix(_mix(salt + empty)), band, level, 0)
+        bands = short
+        if not bands:
+            break
     return np.concatenate(found), np.concatenate(deals), np.concatenate(quotas)
 
 
@@ -218,8 +303,7 @@ def _entries(how: Similarity, groups: int):
         seen: set[bytes] = set()
         held, size = [], 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                shingles = how.shingles(text)
+            for shingles in how.shingle_sets(batch.column(0).to_pylist()):
                 if not len(shingles):
                     continue
                 digest = set_digest(shingles)
@@ -258,10 +342,19 @@ def _agreements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
     def found(group: int, blocks: list[bytes]) -> pa.RecordBatch:
-        entries = np.unique(np.frombuffer(b"".join(blocks), dtype=ENTRY))
-        key = entries["key"]
-        first = np.concatenate([[True], key[1:] != key[:-1]])
-        starts = np.flatnonzero(first)
+        entries = np.frombuffer(b"".join(blocks), dtype=ENTRY)
+        # Only keys met more than once matter, and they are few: sort keys, then those rows.
+        key = entries["key"].copy()
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        twin = np.concatenate([[False], key[1:] == key[:-1]])
+        twin[:-1] |= twin[1:]
+        entries = entries[order[twin]]
+        entries = entries[np.lexsort((entries["node"], entries["key"]))]
+        key, node = entries["key"], entries["node"]
+        new = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
+        entries, key = entries[new[: len(entries)]], key[new[: len(entries)]]
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
         sizes = np.diff(np.append(starts, len(key)))
         several = np.repeat(sizes > 1, sizes)
         columns = [
@@ -356,9 +449,8 @@ def near_duplicates(
 
     def make():
         def work(columns):
-            out = {name: [] for name in ("size", "set", "node", "sketch")}
-            for text in columns["text"]:
-                shingles = how.shingles(text)
+            out = {name: [] for name in ("size", "set", "node", "sketch", "brief")}
+            for shingles in how.shingle_sets(columns["text"]):
                 digest = set_digest(shingles) if len(shingles) else None
                 out["size"].append(len(shingles))
                 out["set"].append(digest)
@@ -366,15 +458,17 @@ def near_duplicates(
                     int.from_bytes(digest[:8], "little", signed=True) if digest else None
                 )
                 out["sketch"].append(dense_sketch(shingles, how) if digest else None)
+                out["brief"].append(brief_sketch(shingles) if digest else None)
             return {name: columns[name] for name in ("id", "text_hash")} | out
 
         return work
 
-    schema = "id long, text_hash long, size long, set binary, node long, sketch binary"
+    schema = "id long, text_hash long, size long, set binary, node long, sketch binary,"
+    schema += " brief array<long>"
     known = stage(map_batches(hashed, make, schema), "sketches")
     sets = stage(
         known.filter(F.col("set").isNotNull())
-        .groupBy("set", "node", "size", "sketch")
+        .groupBy("set", "node", "size", "sketch", "brief")
         .agg(F.min("id").alias("least")),
         "sets",
     )
@@ -422,10 +516,8 @@ def near_duplicates(
 
     def make_check():
         def work(columns):
-            same = [
-                set_digest(how.shingles(text)) == digest
-                for text, digest in zip(columns["text"], columns["set"])
-            ]
+            found = map(set_digest, how.shingle_sets(columns["text"]))
+            same = [digest == own for digest, own in zip(found, columns["set"])]
             return {
                 name: [x for x, on in zip(columns[name], same) if on] for name in ("set", "text")
             }
@@ -440,10 +532,12 @@ def near_duplicates(
     roots = components(links)
 
     # What agrees on a segment but is not connected yet, pairwise.
-    members = agreed.select("key", "node").join(sets.select("set", "node"), "node")
-    placed = members.join(roots, members["set"] == roots["node"], "left").select(
-        "key", members["node"], "set", F.coalesce("root", "set").alias("root")
+    rooted = (
+        sets.select("set", "node", "size", "brief")
+        .join(roots.withColumnRenamed("node", "of"), F.col("set") == F.col("of"), "left")
+        .select("node", "size", "brief", F.coalesce("root", "set").alias("root"))
     )
+    placed = agreed.select("key", "node").join(rooted, "node")
     mixed = (
         placed.groupBy("key")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"))
@@ -451,16 +545,17 @@ def near_duplicates(
         .select("key")
     )
     open_rows = stage(placed.join(mixed, "key", "left_semi"), "open_agreements")
-    other = open_rows.select(
-        "key", F.col("node").alias("y"), F.col("root").alias("y_root")
-    )
+    # The brief sketches are compared within the join: what is near but not near enough, most
+    # of a family of copies of copies, never becomes a row.
+    apart = (F.col("p.node") < F.col("q.node")) & (F.col("p.root") != F.col("q.root"))
+    tried = stars.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
     rest = (
-        open_rows.select("key", F.col("node").alias("x"), F.col("root").alias("x_root"))
-        .join(other, "key")
-        .filter((F.col("x") < F.col("y")) & (F.col("x_root") != F.col("y_root")))
-        .select("x", "y")
+        open_rows.alias("p")
+        .join(open_rows.alias("q"), F.col("p.key") == F.col("q.key"))
+        .filter(apart & _may_reach(how))
+        .select(F.col("p.node").alias("x"), F.col("q.node").alias("y"))
         .distinct()
-        .join(stars.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")), ["x", "y"], "left_anti")
+        .join(tried, ["x", "y"], "left_anti")
     )
     rest_pairs = stage(_sift(rest, sets, how).distinct(), "rest_pairs")
     more = _verified(rest_pairs, texts, how)
