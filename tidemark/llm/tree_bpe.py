@@ -25,9 +25,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.frames import map_batches
 
 #: Matches of at most so many bytes are merged directly: they are the leaves of the tree.
-LEAF_BYTES = 24
+LEAF_BYTES = 12
+#: Leaves and seam windows of at most so many bytes are remembered: they come again and again.
+MEMO_BYTES = 12
 #: Encodings kept per worker; when full it starts anew, so memory stays bounded.
-CACHE_SIZE = 400_000
+CACHE_SIZE = 600_000
 
 
 class TreeBpe:
@@ -41,6 +43,7 @@ class TreeBpe:
             self.tokens[rank] = token
         self._cache: dict[str, list[int]] = {}
         self._stable: dict[tuple[int, int], bool] = {}
+        self._merged: dict[bytes, list[int]] = {}
 
     def encode_text(self, pieces: list[str]) -> list[int]:
         """Ids of a text, given as the matches of the split pattern."""
@@ -108,16 +111,28 @@ class TreeBpe:
             return [whole]
         if len(data) > 64:
             return self._merge_long(data)
+        known = self._merged.get(data)
+        if known is None:
+            known = self._merge_short(data)
+            if len(data) <= MEMO_BYTES:
+                if len(self._merged) >= CACHE_SIZE:
+                    self._merged.clear()
+                self._merged[data] = known
+        return known
+
+    def _merge_short(self, data: bytes) -> list[int]:
+        ranks = self.ranks
+        none, get = len(self.tokens), ranks.get
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                rank = ranks.get(parts[i] + parts[i + 1])
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        pairs = [get(a + b, none) for a, b in zip(parts, parts[1:])]
+        while pairs and (best := min(pairs)) < none:
+            at = pairs.index(best)
+            parts[at : at + 2] = [joined := self.tokens[best]]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = get(parts[at - 1] + joined, none)
+            if at < len(pairs):
+                pairs[at] = get(joined + parts[at + 1], none)
         return [ranks[part] for part in parts]
 
     def _merge_long(self, data: bytes) -> list[int]:
