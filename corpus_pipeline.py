@@ -29,9 +29,8 @@ def quality_rules(spark, docs, sf_dir):
 
 def line_dedup(spark, docs, sf_dir):
     """Documents without the lines that stand earlier; one left without any word goes."""
-    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    carried = carried.select("row", F.col("row.doc_id"), F.col("row.text"))
-    found = dedup_lines(carried, keep=["row"])
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    found = dedup_lines(docs.select(F.struct(*others).alias("row"), "doc_id", "text"), keep=["row"])
     emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"\S")
     new = {"text": F.col("text")}
     if "n_chars" in docs.columns:

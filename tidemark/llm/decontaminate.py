@@ -26,7 +26,7 @@ import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import map_batches, words_of
+from tidemark.llm.frames import carried, map_batches, words_of
 
 WINDOW_WORDS = 13
 #: Item text whose windows one automaton holds; about 100 times as much memory.
@@ -112,10 +112,10 @@ def find_passages(
     inside hits), ``hits`` (word ranges, end exclusive), ``items`` (sorted ids) and, unless
     switched off, ``spans`` (character ranges of the original text, end exclusive)."""
     sc = df.sparkSession.sparkContext
-    kept = df.columns if keep is None else keep
+    packed, kept = carried(df.columns if keep is None else keep, text_col)
     hit_type = "array<struct<first:bigint,stop:bigint>>"
     rows = df.select(
-        F.struct(*[F.col(f"`{name}`") for name in kept]).alias("row"),
+        packed,
         F.col(text_col).alias("text"),
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast(hit_type).alias("hits"),
@@ -166,7 +166,7 @@ def find_passages(
         schema += f"items array<string>, n_hit long, spans {span_type}"
         out = map_batches(out, make_spans, schema)
     found = [F.col(x) for x in out.columns if x not in ("row", "text")]
-    return out.select(*[F.col(f"row.`{name}`") for name in kept], *found)
+    return out.select(*kept, *found)
 
 
 def _offsets(text: str | None, hits: list[tuple[int, int]]) -> list[dict[str, int]]:

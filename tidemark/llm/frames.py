@@ -25,6 +25,16 @@ def words_of(text: str | None) -> list[bytes]:
     return findall(rb"[0-9a-z\x80-\xff]+", text.encode().lower()) if text else []
 
 
+def carried(kept: list[str], text_col: str) -> tuple[Column, list[Column]]:
+    """Columns that travel beside the text: packed under one name, so that they clash with
+    none of an operator's own, and unpacked again.  The text itself is not sent twice: column
+    ``text`` is taken for it."""
+    others = [F.col(f"`{name}`") for name in kept if name != text_col]
+    packed = F.struct(*others) if others else F.struct(F.lit(0).alias("none"))
+    back = [F.col("text" if n == text_col else f"row.`{n}`").alias(n) for n in kept]
+    return packed.alias("row"), back
+
+
 def map_batches(
     df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: str
 ) -> DataFrame:

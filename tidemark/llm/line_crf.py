@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import map_batches
+from tidemark.llm.frames import carried, map_batches
 
 #: Bounds of the training sample: documents per label, lines per document.
 SAMPLE, MAX_LINES = 1000, 400
@@ -237,7 +237,7 @@ def train(
         "id long, good int, masks array<int>, sizes array<int>",
     )
     found = sorted(
-        {(r.id, r.good, tuple(r.masks), tuple(r.sizes)) for r in drawn.toLocalIterator()}
+        {(r.id, r.good, tuple(r.masks), tuple(r.sizes)) for r in drawn.collect()}
     )
     found = [r for r in found if r[2]]
     model = LineCrf.untrained()
@@ -296,7 +296,8 @@ def judge(
     """Every row with the columns ``keep`` (default: the id) and ``n_words``, ``word_chars``,
     ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``content`` (a mark per line with a
     word), ``content_share``, ``base_failed`` and ``kept``."""
-    kept = [id_col] if keep is None else keep
+    packed, kept = carried([id_col] if keep is None else keep, text_col)
+    with_text = text_col in (keep or ())
 
     def make():
         def work(columns):
@@ -310,27 +311,24 @@ def judge(
                 words = sum(n for n, mark in zip(sizes, marks) if mark)
                 out["content"].append([bool(mark) for mark in marks])
                 out["content_share"].append(words / sum(sizes) if sizes else 0.0)
-            return {"row": columns["row"]} | out
+            return columns | out
 
         names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
         names += ["content", "content_share"]
         return work
 
-    rows = df.select(
-        F.struct(*[F.col(f"`{name}`") for name in kept]).alias("row"),
-        F.col(text_col).alias("text"),
-    )
+    rows = df.select(packed, F.col(text_col).alias("text"))
     row_type = rows.schema["row"].dataType.simpleString()
     found = map_batches(
         rows,
         make,
-        f"row {row_type}, n_words long, word_chars long, n_symbols long, n_dup_lines long,"
+        f"row {row_type}, {'text string, ' * with_text}n_words long, word_chars long, n_symbols long, n_dup_lines long,"
         " n_repeat_words long, content array<boolean>, content_share double",
     )
     failed = base_failed()
     return found.select(
-        *[F.col(f"row.`{name}`") for name in kept],
-        *[F.col(name) for name in found.columns if name != "row"],
+        *kept,
+        *[F.col(name) for name in found.columns if name not in ("row", "text")],
         failed.alias("base_failed"),
         (~failed & (F.col("content_share") >= min_share)).alias("kept"),
     )

@@ -194,7 +194,7 @@ def train(
     drawn = map_batches(
         rows.join(F.broadcast(chosen), "id"), make, "id long, label int, places binary"
     )
-    found = sorted({(r.id, r.label, bytes(r.places)) for r in drawn.toLocalIterator()})
+    found = sorted({(r.id, r.label, bytes(r.places)) for r in drawn.collect()})
     texts = [np.frombuffer(r[2], dtype="<u2").astype(np.int64) for r in found]
     return fit(texts, [r[1] == 1 for r in found])
 

@@ -28,7 +28,7 @@ from tidemark.llm.frames import lower_ascii
 from tidemark.sources.files import scratch_path
 
 #: A combination must stand in this share of the labelled URLs, and in so many at least.
-MIN_SUPPORT, MIN_COUNT = 0.001, 5
+MIN_SUPPORT, MIN_COUNT = 0.001, 20
 MIN_CONFIDENCE = 0.6
 
 # The stated rules, host and path prefix, with their verdicts.
