@@ -200,7 +200,7 @@ class StateTable:
             return
         version = head["version"] + 1
         attempt = self._attempt(version)
-        history = [row.asDict() for row in self.audit().orderBy("version").toLocalIterator()]
+        history = [row.asDict() for row in self.audit().orderBy("version").collect()]
         self.read().write.parquet(f"{self.root}/data/{ATTEMPT}={attempt}")
         counts = dict.fromkeys(BATCH_COUNTS, 0)
         self._publish(version, label, counts, [attempt], head["streams"], history)
