@@ -10,8 +10,11 @@ is one row per task.  Every distinct line is cut into threshold-plus-one segment
 within the threshold share one of them, near its place.  Segments are indexed by number and
 content.  A line probes, for every length up to ``threshold`` below its own, the substrings
 that can still be that segment when all edits before it and after it are counted
-(length-aware, multi-match-aware selection).  Candidates are verified by a bit-parallel
-edit distance over the band of 2 * threshold + 1 diagonals.
+(length-aware, multi-match-aware selection).  Lines that meet another one are fetched, once
+each; pairs of them are made where the counts of their letters allow the threshold, which is
+part of the join, so the many lines that differ by a word or two from a common one make no
+rows.  What is left is verified by a bit-parallel edit distance over the band of
+2 * threshold + 1 diagonals.
 
 A null text stays null, an empty one empty; a null id comes after all others, and the
 greatest 64-bit number is taken for one.  Rows equal in
@@ -32,6 +35,9 @@ THRESHOLD = 2
 #: Shorter lines are left alone: their segments would be too short to tell lines apart.
 MIN_CHARS = 48
 
+#: Classes of letters that are counted to tell lines apart before their texts are compared.
+LETTERS = [*"etaoinsrhldu", "cmEAO", "pgbfTSI", "vkwyjxqz", " ", ".,;:!?"]
+
 _LAST_ID = (1 << 63) - 1
 
 
@@ -68,6 +74,18 @@ def probe_keys(line: Column, threshold: int) -> Column:
     return F.array_distinct(F.array(*keys))
 
 
+def letter_counts(line: Column) -> Column:
+    """How often each class of letters stands in a line; the last number counts the rest."""
+    counts = [F.length(line) - F.length(F.translate(line, c, "")) for c in LETTERS]
+    return F.array(*counts, F.length(line) - sum(counts[1:], counts[0]))
+
+
+def may_be_close(a: Column, b: Column, threshold: int) -> Column:
+    """What letter counts allow: an edit moves them by two at most."""
+    gaps = [F.abs(F.get(a, F.lit(i)) - F.get(b, F.lit(i))) for i in range(len(LETTERS) + 1)]
+    return sum(gaps[1:], gaps[0]) <= 2 * threshold
+
+
 def _common_prefix(a: Column, b: Column) -> Column:
     """Length of the common prefix, by halving steps."""
     steps = F.array(*[F.lit(1 << k) for k in range(30, -1, -1)])
@@ -213,42 +231,50 @@ def dedup_lines(
     rest = F.slice(F.col("keys"), F.lit(cut + 1), F.size("keys"))
     other = distinct.select("h", "size", F.explode(rest).alias("key"))
 
-    def candidates(probes: DataFrame) -> DataFrame:
-        # Sides with the same columns, so that the index is shuffled once for both joins.
-        gap = F.col("p.size") - F.col("s.size")
-        return (
-            probes.alias("p")
-            .join(own.alias("s"), F.col("p.key") == F.col("s.key"))
-            .filter(gap.between(0, threshold) & (F.col("p.h") != F.col("s.h")))
-            .select(F.least("p.h", "s.h").alias("x"), F.greatest("p.h", "s.h").alias("y"))
+    def meeting(left: DataFrame, right: DataFrame, gap: Column) -> DataFrame:
+        # Rows that meet another line under their key, each once however many it meets.
+        met = (F.col("p.key") == F.col("s.key")) & (F.col("p.h") != F.col("s.h"))
+        return left.alias("p").join(
+            right.alias("s"), met & gap.between(0, threshold), "left_semi"
         )
 
-    pairs = stage(candidates(own).unionByName(candidates(other)).distinct(), "line_pairs")
+    ahead = F.col("p.size") - F.col("s.size")
+    indexed = meeting(own, other, -ahead).unionByName(meeting(own, own, F.abs(ahead))).distinct()
+    met = stage(
+        indexed.withColumn("indexed", F.lit(True)).unionByName(
+            meeting(other, own, ahead).withColumn("indexed", F.lit(False))
+        ),
+        "line_keys",
+    )
 
-    # The texts of candidates are taken from their documents; a node is a line by one hash,
+    # The texts of those lines are taken from their documents; a node is a line by one hash,
     # and should two lines share it, both are fetched and verified.
-    nodes = pairs.select(F.explode(F.array("x", "y")).alias("h")).distinct()
-    placed = distinct.select("h", "g", "first").join(nodes, "h")
+    # Nothing is staged from here on, so that the shuffle of texts by document serves both this
+    # and the last step.
+    placed = distinct.select("h", "g", "first").join(met.select("h").distinct(), "h")
     texts = (
         placed.select("h", "g", "first", "first.id", "first.of", "first.at")
         .join(rows, ["id", "of"])
         .select("h", "g", "first", F.get(F.split("text", "\n"), F.col("at")).alias("line"))
         .dropDuplicates(["h", "g"])
+        .withColumn("letters", letter_counts(F.col("line")))
+    )
+    probing = met.join(texts, "h")
+    fits = (
+        (F.col("p.key") == F.col("s.key"))
+        & (F.col("p.h") != F.col("s.h"))
+        & F.col("s.indexed")
+        & ahead.between(0, threshold)
+        & may_be_close(F.col("p.letters"), F.col("s.letters"), threshold)
     )
-
-    def side(name: str) -> DataFrame:
-        columns = [F.col(c).alias(f"{name}_{c}") for c in ("g", "first", "line")]
-        return texts.select(F.col("h").alias(name), *columns)
-
     linked = (
-        pairs.join(side("x"), "x")
-        .join(side("y"), "y")
-        .filter(edit_close(F.col("x_line"), F.col("y_line"), threshold))
+        probing.alias("p")
+        .join(probing.alias("s"), fits)
+        .filter(edit_close(F.col("p.line"), F.col("s.line"), threshold))
     )
-    x_later = F.col("x_first") > F.col("y_first")
+    p_later = F.col("p.first") > F.col("s.first")
     later = linked.select(
-        F.when(x_later, F.col("x")).otherwise(F.col("y")).alias("h"),
-        F.when(x_later, F.col("x_g")).otherwise(F.col("y_g")).alias("g"),
+        *[F.when(p_later, F.col(f"p.{c}")).otherwise(F.col(f"s.{c}")).alias(c) for c in ("h", "g")]
     )
     staying = (
         distinct.select("h", "g", "first")
