@@ -34,6 +34,8 @@ from tidemark.llm.components import stage
 
 #: Bytes per block; a task holds one at a time.
 BLOCK_BYTES = 8 << 20
+#: Blocks that a task reads, on average.
+TASK_BLOCKS = 4
 #: Tokens that hold an id in front of a document, in digits of this base.
 HEAD, BASE = 5, 50_000
 _NO_ID = 50_255  # as every digit: the id is null
@@ -157,7 +159,9 @@ def scan_token_files(
                     schema=target,
                 )
 
-    found = blocks.repartition("path", "at").mapInArrow(
+    # A stated number of tasks: these rows are small, and would else be drawn together into one.
+    tasks = max(1, -(-blocks.count() // TASK_BLOCKS))
+    found = blocks.repartition(tasks, "path", "at").mapInArrow(
         run, "path string, at long, tokens long, seps array<struct<sep:long,id:long>>"
     )
     found = stage(found, "separators")
