@@ -252,7 +252,7 @@ def test_bpe_on_hostile_rows(hostile, none, reference):
 # -- separator scan ------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("block", [2, 10, 4096])
+@pytest.mark.parametrize("block", [66, 4096])
 def test_scan_counts_what_was_written(spark, hostile, reference, tmp_path, block):
     path = str(tmp_path / "tokens")
     write_token_files(hostile.coalesce(2), path, VOCABULARY, PATTERN, 50_256)
