@@ -435,6 +435,49 @@ def _verified(pairs: DataFrame, texts: DataFrame, how: Similarity) -> DataFrame:
     return map_batches(both.select("a", "b", "a_text", "b_text"), make, "u binary, v binary")
 
 
+def _open(agreed: DataFrame, sets: DataFrame, links: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of the keys whose nodes are in several components, with what is known of the
+    nodes: size, brief sketch, root and number of links."""
+    ends = links.select(F.explode(F.array("u", "v")).alias("of"))
+    degrees = ends.groupBy("of").agg(F.count(F.lit(1)).alias("degree"))
+    placed = roots.withColumnRenamed("node", "of").join(degrees, "of")
+    known = (
+        sets.select("set", "node", "size", "brief")
+        .join(placed, F.col("set") == F.col("of"), "left")
+        .select(
+            "node",
+            "size",
+            "brief",
+            F.coalesce("root", "set").alias("root"),
+            F.coalesce("degree", F.lit(0)).alias("degree"),
+        )
+    )
+    rows = agreed.select("key", "node").join(known, "node")
+    mixed = (
+        rows.groupBy("key")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        .filter(F.col("low") != F.col("high"))
+        .select("key")
+    )
+    return stage(rows.join(mixed, "key", "left_semi"), "open_agreements")
+
+
+def _near(left: DataFrame, right: DataFrame, apart, how: Similarity, tried: DataFrame):
+    """Pairs of nodes under one key that sizes and brief sketches allow, but for those tried.
+    The sketches are compared within the join: what is near but not near enough, most of a
+    family of copies of copies, never becomes a row."""
+    return (
+        left.alias("p")
+        .join(right.alias("q"), F.col("p.key") == F.col("q.key"))
+        .filter(apart & _may_reach(how))
+        .select(
+            F.least("p.node", "q.node").alias("x"), F.greatest("p.node", "q.node").alias("y")
+        )
+        .distinct()
+        .join(tried, ["x", "y"], "left_anti")
+    )
+
+
 def near_duplicates(
     df: DataFrame,
     how: Similarity = Similarity(),
@@ -530,36 +573,24 @@ def near_duplicates(
     texts = stage(texts.dropDuplicates(["set"]), "candidate_texts")
     links = stage(_verified(pairs, texts, how), "star_links")
     roots = components(links)
+    tried = stars.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
 
-    # What agrees on a segment but is not connected yet, pairwise.
-    rooted = (
-        sets.select("set", "node", "size", "brief")
-        .join(roots.withColumnRenamed("node", "of"), F.col("set") == F.col("of"), "left")
-        .select("node", "size", "brief", F.coalesce("root", "set").alias("root"))
-    )
-    placed = agreed.select("key", "node").join(rooted, "node")
-    mixed = (
-        placed.groupBy("key")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .filter(F.col("low") != F.col("high"))
-        .select("key")
-    )
-    open_rows = stage(placed.join(mixed, "key", "left_semi"), "open_agreements")
-    # The brief sketches are compared within the join: what is near but not near enough, most
-    # of a family of copies of copies, never becomes a row.
+    # Once more with the best-linked node of every key, which in a family of copies of copies
+    # is one from its middle, and only for what is not connected to it yet.
+    left = _open(agreed, sets, links, roots)
+    middle = left.groupBy("key").agg(F.max(F.struct("degree", "node")).getField("node").alias("m"))
+    central = left.join(middle, "key").filter(F.col("node") == F.col("m")).drop("m")
+    more = _near(left, central, F.col("p.root") != F.col("q.root"), how, tried)
+    pairs = stage(_sift(more, sets, how).distinct(), "middle_pairs")
+    links = stage(links.unionByName(_verified(pairs, texts, how)), "middle_links")
+    roots = components(links)
+    tried = tried.unionByName(more)
+
+    # What agrees on a segment and is still not connected, pairwise.
+    left = _open(agreed, sets, links, roots)
     apart = (F.col("p.node") < F.col("q.node")) & (F.col("p.root") != F.col("q.root"))
-    tried = stars.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-    rest = (
-        open_rows.alias("p")
-        .join(open_rows.alias("q"), F.col("p.key") == F.col("q.key"))
-        .filter(apart & _may_reach(how))
-        .select(F.col("p.node").alias("x"), F.col("q.node").alias("y"))
-        .distinct()
-        .join(tried, ["x", "y"], "left_anti")
-    )
-    rest_pairs = stage(_sift(rest, sets, how).distinct(), "rest_pairs")
-    more = _verified(rest_pairs, texts, how)
-    roots = components(links.unionByName(more))
+    rest = stage(_sift(_near(left, left, apart, how, tried), sets, how).distinct(), "rest_pairs")
+    roots = components(links.unionByName(_verified(rest, texts, how)))
 
     named = (
         sets.join(roots, sets["set"] == roots["node"], "left")
