@@ -19,27 +19,36 @@ from tidemark.llm.sketch_join import Similarity, near_duplicates
 from tidemark.llm.tree_bpe import round_trip_digests
 
 
+def _packed(docs):
+    """Id, text and, under one name that clashes with none of an operator's, the rest."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*rest).alias("row"), "doc_id", "text")
+
+
+def _unpacked(found, docs, new=()):
+    """The columns of ``docs`` again; ``new`` replaces some."""
+    columns = {c: F.col("text" if c == "text" else f"row.`{c}`") for c in docs.columns}
+    return found.select(*[c.alias(name) for name, c in (columns | dict(new)).items()])
+
+
 def quality_rules(spark, docs, sf_dir):
     """Documents that the rules keep, unchanged."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = line_crf.train(docs, labels.filter(nbsvm.fold("doc_id") != 0))
-    judged = line_crf.judge(docs, model, keep=docs.columns)
-    return judged.filter("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    judged = line_crf.judge(_packed(docs), model, keep=["row", "text"])
+    return _unpacked(judged.filter("kept"), docs)
 
 
 def line_dedup(spark, docs, sf_dir):
     """Documents without the lines that stand earlier; one left without any word goes."""
-    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
-    found = dedup_lines(docs.select(F.struct(*others).alias("row"), "doc_id", "text"), keep=["row"])
+    found = dedup_lines(_packed(docs), keep=["row"])
     emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"\S")
-    new = {"text": F.col("text")}
+    new = {}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         shortened = F.length("text").cast(kind)
         new["n_chars"] = F.when(F.col("n_removed") > 0, shortened).otherwise(F.col("row.n_chars"))
-    return found.filter(~F.coalesce(emptied, F.lit(False))).select(
-        *[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns]
-    )
+    return _unpacked(found.filter(~F.coalesce(emptied, F.lit(False))), docs, new)
 
 
 def near_copies(spark, docs, sf_dir):
@@ -60,8 +69,8 @@ def near_copies(spark, docs, sf_dir):
 def benchmark_passages(spark, docs, sf_dir):
     """Documents that benchmark passages do not contaminate, unchanged."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = find_passages(docs, benchmark, keep=docs.columns, spans=False)
-    return found.filter(~contaminated()).select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = find_passages(_packed(docs), benchmark, keep=["row", "text"], spans=False)
+    return _unpacked(found.filter(~contaminated()), docs)
 
 
 def encode(spark, docs, sf_dir):
