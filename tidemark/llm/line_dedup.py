@@ -204,8 +204,7 @@ def dedup_lines(
     ]
     rows = df.select(*keyed, F.col(text_col).alias("text"))
     lines = (
-        rows.filter(F.length("text") >= min_chars)
-        .select("id", "of", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+        rows.select("id", "of", F.posexplode(F.split("text", "\n")).alias("at", "line"))
         .filter(F.length("line") >= min_chars)
     )
     index = index_keys(F.col("line"), threshold)
@@ -288,17 +287,17 @@ def dedup_lines(
     else:
         columns, row = [F.col(f"`{c}`") for c in kept_columns], F.col("row")
         whole = df.select(*keyed, F.struct(*columns).alias("row"), F.col(text_col).alias("text"))
-    split = F.split("text", "\n")
-    compared = F.size(F.filter(split, lambda line: F.length(line) >= min_chars))
     places = F.coalesce("places", F.array().cast("array<int>"))
     left = F.filter(
-        split, lambda line, at: (F.length(line) < min_chars) | F.array_contains(places, at)
+        "lines", lambda line, at: (F.length(line) < min_chars) | F.array_contains(places, at)
     )
-    counted = F.when(F.col("text").isNull(), 0).otherwise(compared).cast("long")
+    compared = F.size(F.filter("lines", lambda line: F.length(line) >= min_chars))
+    counted = F.when(F.col("lines").isNull(), 0).otherwise(compared).cast("long")
     return (
         whole.join(staying, ["id", "of"], "left")
+        .select(row.alias("row"), "places", F.split("text", "\n").alias("lines"))
         .select(
-            row.alias("row"),
+            "row",
             counted.alias("n_lines"),
             (counted - F.size(places)).alias("n_removed"),
             F.array_join(left, "\n").alias("text"),
