@@ -580,17 +580,18 @@ def near_duplicates(
     left = _open(agreed, sets, links, roots)
     middle = left.groupBy("key").agg(F.max(F.struct("degree", "node")).getField("node").alias("m"))
     central = left.join(middle, "key").filter(F.col("node") == F.col("m")).drop("m")
-    more = _near(left, central, F.col("p.root") != F.col("q.root"), how, tried)
+    other = F.col("p.root") != F.col("q.root")
+    more = stage(_near(left, central, other, how, tried), "middle_tried")
     pairs = stage(_sift(more, sets, how).distinct(), "middle_pairs")
-    links = stage(links.unionByName(_verified(pairs, texts, how)), "middle_links")
-    roots = components(links)
+    new = stage(_verified(pairs, texts, how), "middle_links")
+    roots, links = components(new, roots), links.unionByName(new)
     tried = tried.unionByName(more)
 
     # What agrees on a segment and is still not connected, pairwise.
     left = _open(agreed, sets, links, roots)
     apart = (F.col("p.node") < F.col("q.node")) & (F.col("p.root") != F.col("q.root"))
     rest = stage(_sift(_near(left, left, apart, how, tried), sets, how).distinct(), "rest_pairs")
-    roots = components(links.unionByName(_verified(rest, texts, how)))
+    roots = components(stage(_verified(rest, texts, how), "rest_links"), roots)
 
     named = (
         sets.join(roots, sets["set"] == roots["node"], "left")
