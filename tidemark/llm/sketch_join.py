@@ -41,7 +41,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components, stage
@@ -221,7 +221,7 @@ def brief_sketch(shingles: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
 
 
-def _may_reach(how: Similarity):
+def _may_reach(how: Similarity) -> Column:
     """Whether the sizes and brief sketches of sides ``p`` and ``q`` allow the similarity."""
     sizes = F.col("p.size") + F.col("q.size")
     apart = sum(
@@ -408,18 +408,21 @@ def _sift(pairs: DataFrame, sets: DataFrame, how: Similarity) -> DataFrame:
     return sifted.filter(F.col("a") != F.col("b"))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, how: Similarity) -> DataFrame:
-    """The pairs of sets whose shingles reach the similarity."""
-    first = texts.select(F.col("set").alias("a"), F.col("text").alias("a_text"))
-    second = texts.select(F.col("set").alias("b"), F.col("text").alias("b_text"))
-    both = pairs.join(second, "b").join(first, "a")
+def _verified(pairs: DataFrame, texts: DataFrame, how: Similarity, by: str) -> DataFrame:
+    """The pairs, of sets or of nodes, whose shingles reach the similarity, as pairs of sets
+    (``u``, ``v``).  Sets that share a node are all tried."""
+    first, second = (
+        texts.select(F.col(by).alias(x), F.col("set").alias(f"{x}_set"), F.col("text").alias(f"{x}_text"))
+        for x in ("a", "b")
+    )
+    both = pairs.join(second, "b").join(first, "a").select("a_set", "b_set", "a_text", "b_text")
 
     def make():
         last: dict[bytes, np.ndarray] = {}
 
         def work(columns):
             out = {"u": [], "v": []}
-            for a, b, x, y in zip(*(columns[c] for c in ("a", "b", "a_text", "b_text"))):
+            for a, b, x, y in zip(*columns.values()):
                 if a not in last:
                     last.clear()
                     last[a] = how.shingles(x)
@@ -432,7 +435,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, how: Similarity) -> DataFrame:
 
         return work
 
-    return map_batches(both.select("a", "b", "a_text", "b_text"), make, "u binary, v binary")
+    return map_batches(both, make, "u binary, v binary").filter(F.col("u") != F.col("v"))
 
 
 def _open(agreed: DataFrame, sets: DataFrame, links: DataFrame, roots: DataFrame) -> DataFrame:
@@ -462,19 +465,18 @@ def _open(agreed: DataFrame, sets: DataFrame, links: DataFrame, roots: DataFrame
     return stage(rows.join(mixed, "key", "left_semi"), "open_agreements")
 
 
-def _near(left: DataFrame, right: DataFrame, apart, how: Similarity, tried: DataFrame):
-    """Pairs of nodes under one key that sizes and brief sketches allow, but for those tried.
-    The sketches are compared within the join: what is near but not near enough, most of a
-    family of copies of copies, never becomes a row."""
+def _near(left: DataFrame, right: DataFrame, apart: Column, how: Similarity) -> DataFrame:
+    """Pairs of nodes (``a``, ``b``) under one key that sizes and brief sketches allow.  The
+    sketches are compared within the join: what is near but not near enough, most of a family
+    of copies of copies, never becomes a row."""
     return (
         left.alias("p")
         .join(right.alias("q"), F.col("p.key") == F.col("q.key"))
         .filter(apart & _may_reach(how))
         .select(
-            F.least("p.node", "q.node").alias("x"), F.greatest("p.node", "q.node").alias("y")
+            F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")
         )
         .distinct()
-        .join(tried, ["x", "y"], "left_anti")
     )
 
 
@@ -555,25 +557,29 @@ def near_duplicates(
     # Texts of all sets that agreed with another one, each fetched once, from the row with
     # the least id; another text of that id has another digest.
     agreeing = agreed.select("node").distinct()
-    wanted = sets.join(agreeing, "node", "left_semi").select("set", F.col("least").alias("id"))
+    wanted = sets.join(agreeing, "node", "left_semi").select(
+        "set", "node", F.col("least").alias("id")
+    )
 
     def make_check():
         def work(columns):
             found = map(set_digest, how.shingle_sets(columns["text"]))
             same = [digest == own for digest, own in zip(found, columns["set"])]
             return {
-                name: [x for x, on in zip(columns[name], same) if on] for name in ("set", "text")
+                name: [x for x, on in zip(columns[name], same) if on]
+                for name in ("set", "node", "text")
             }
 
         return work
 
     texts = map_batches(
-        rows.join(wanted, "id").select("set", "text"), make_check, "set binary, text string"
+        rows.join(wanted, "id").select("set", "node", "text"),
+        make_check,
+        "set binary, node long, text string",
     )
     texts = stage(texts.dropDuplicates(["set"]), "candidate_texts")
-    links = stage(_verified(pairs, texts, how), "star_links")
+    links = stage(_verified(pairs, texts, how, "set"), "star_links")
     roots = components(links)
-    tried = stars.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
 
     # Once more with the best-linked node of every key, which in a family of copies of copies
     # is one from its middle, and only for what is not connected to it yet.
@@ -581,17 +587,14 @@ def near_duplicates(
     middle = left.groupBy("key").agg(F.max(F.struct("degree", "node")).getField("node").alias("m"))
     central = left.join(middle, "key").filter(F.col("node") == F.col("m")).drop("m")
     other = F.col("p.root") != F.col("q.root")
-    more = stage(_near(left, central, other, how, tried), "middle_tried")
-    pairs = stage(_sift(more, sets, how).distinct(), "middle_pairs")
-    new = stage(_verified(pairs, texts, how), "middle_links")
+    new = stage(_verified(_near(left, central, other, how), texts, how, "node"), "middle_links")
     roots, links = components(new, roots), links.unionByName(new)
-    tried = tried.unionByName(more)
 
     # What agrees on a segment and is still not connected, pairwise.
     left = _open(agreed, sets, links, roots)
     apart = (F.col("p.node") < F.col("q.node")) & (F.col("p.root") != F.col("q.root"))
-    rest = stage(_sift(_near(left, left, apart, how, tried), sets, how).distinct(), "rest_pairs")
-    roots = components(stage(_verified(rest, texts, how), "rest_links"), roots)
+    new = stage(_verified(_near(left, left, apart, how), texts, how, "node"), "rest_links")
+    roots = components(new, roots)
 
     named = (
         sets.join(roots, sets["set"] == roots["node"], "left")
