@@ -41,7 +41,7 @@ def quality_rules(spark, docs, sf_dir):
 
 def line_dedup(spark, docs, sf_dir):
     """Documents without the lines that stand earlier; one left without any word goes."""
-    found = dedup_lines(_packed(docs), keep=["row"])
+    found = dedup_lines(_packed(docs), keep=["row"], short_lines=True)
     emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"\S")
     new = {}
     if "n_chars" in docs.columns:

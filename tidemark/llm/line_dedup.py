@@ -1,9 +1,13 @@
 """Line dedup by a segment-partition edit join.
 
-Lines of at least ``min_chars`` characters are compared; shorter ones are never touched.  A
-line goes when an equal line, or one within ``threshold`` edits, stands earlier.  The order is
-that of the ids and then of the lines within a text; which earlier line it was, and whether
-that one stays, does not matter.
+Lines of at least ``min_chars`` characters are compared; with ``short_lines`` shorter ones are,
+too, unless they are blank.  A line goes when an equal line, or one within ``threshold`` edits,
+stands earlier.  The order is that of the ids and then of the lines within a text; which
+earlier line it was, and whether that one stays, does not matter.
+
+What an edit means depends on the length, so the shorter of two lines says how many they may be
+apart: as many that its segments keep the length they have at ``min_chars``.  With 48 characters
+and two edits that is one edit from 32 characters on, and none, equal lines only, below.
 
 Equal lines meet through a 128-bit hash, reduced before the shuffle, so a line on every page
 is one row per task.  Every distinct line is cut into threshold-plus-one segments; two lines
@@ -32,7 +36,8 @@ from tidemark.llm.components import stage
 
 #: Edits up to which two lines count as the same.
 THRESHOLD = 2
-#: Shorter lines are left alone: their segments would be too short to tell lines apart.
+#: Shorter lines are compared on demand, up to fewer edits: segments of ``threshold`` edits would
+#: be too short to tell them apart.
 MIN_CHARS = 48
 
 #: Classes of letters that are counted to tell lines apart before their texts are compared.
@@ -49,19 +54,19 @@ def _segment(length: Column, number: int, parts: int) -> tuple[Column, Column]:
     return start, base + F.when(F.lit(number) > long_from, 1).otherwise(0)
 
 
-def _key(line: Column, number: int, start: Column, size: Column) -> Column:
+def _key(line: Column, number: int, start: Column, size: Column, band: int = 0) -> Column:
     part = F.substring(line, (start + 1).cast("int"), size.cast("int"))
-    return F.xxhash64(F.lit(number), part)
+    return F.xxhash64(F.lit(1000 * band + number), part)
 
 
-def index_keys(line: Column, threshold: int) -> Column:
+def index_keys(line: Column, threshold: int, band: int = 0) -> Column:
     """Keys of the segments of a line."""
     length, parts = F.length(line), threshold + 1
     numbers = range(1, parts + 1)
-    return F.array(*[_key(line, i, *_segment(length, i, parts)) for i in numbers])
+    return F.array(*[_key(line, i, *_segment(length, i, parts), band) for i in numbers])
 
 
-def probe_keys(line: Column, threshold: int) -> Column:
+def probe_keys(line: Column, threshold: int, band: int = 0) -> Column:
     """Keys of the substrings that can be a segment of a line no longer than this one."""
     length, parts = F.length(line), threshold + 1
     keys = []
@@ -70,10 +75,43 @@ def probe_keys(line: Column, threshold: int) -> Column:
             start, size = _segment(length - shorter, i, parts)
             low = max(-(i - 1), shorter - (parts - i))
             high = min(i - 1, shorter + (parts - i))
-            keys += [_key(line, i, start + shift, size) for shift in range(low, high + 1)]
+            keys += [_key(line, i, start + shift, size, band) for shift in range(low, high + 1)]
     return F.array_distinct(F.array(*keys))
 
 
+def edit_bands(threshold: int, min_chars: int, short_lines: bool) -> list[tuple[int, int, int]]:
+    """Edits, least length and length to stop before, for the lines that allow any edit."""
+    whole = [(threshold, min_chars, 1 << 31)]
+    if not short_lines:
+        return whole
+    size = max(1, min_chars // (threshold + 1))
+    tops = {threshold - 1: min_chars}  # the band below ends where whole lines begin
+    return whole + [
+        (edits, size * (edits + 1), tops.get(edits, size * (edits + 2)))
+        for edits in range(threshold - 1, 0, -1)
+    ]
+
+
+def line_keys(
+    line: Column, bands: list[tuple[int, int, int]], short_lines: bool
+) -> tuple[Column, Column, Column]:
+    """Keys of the index, how many there are, and keys of further probes.  A line is indexed in
+    the band of its own length and probes every band that has lines it may be close to."""
+    if not short_lines:
+        edits = bands[0][0]
+        index = index_keys(line, edits)
+        return index, F.lit(edits + 1), F.array_except(probe_keys(line, edits), index)
+    none, length = F.array().cast("array<bigint>"), F.length(line)
+    index, count, probes = none, F.lit(0), []
+    for band, (edits, least, stop) in enumerate(bands):
+        inside = (length >= least) & (length < stop)
+        index = F.when(inside, index_keys(line, edits, band)).otherwise(index)
+        count = F.when(inside, edits + 1).otherwise(count)
+        near = (length >= least) & (length < stop + edits if band else F.lit(True))
+        probes.append(F.when(near, probe_keys(line, edits, band)).otherwise(none))
+    return index, count, F.array_except(F.concat(*probes), index)
+
+
 def letter_counts(line: Column) -> Column:
     """How often each class of letters stands in a line; the last number counts the rest."""
     counts = [F.length(line) - F.length(F.translate(line, c, "")) for c in LETTERS]
@@ -194,9 +232,16 @@ def dedup_lines(
     id_col: str = "doc_id",
     text_col: str = "text",
     keep: list[str] | None = None,
+    short_lines: bool = False,
 ) -> DataFrame:
     """Every row with the columns ``keep`` (default: the id), ``n_lines`` (lines that were
     compared), ``n_removed`` and ``text`` without the removed lines."""
+    bands = edit_bands(threshold, min_chars, short_lines)
+
+    def compared(line):
+        long_enough = F.length(line) >= min_chars
+        return long_enough | line.rlike(r"\S") if short_lines else long_enough
+
     kept_columns = [id_col] if keep is None else keep
     keyed = [
         F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST_ID)).alias("id"),
@@ -205,29 +250,30 @@ def dedup_lines(
     rows = df.select(*keyed, F.col(text_col).alias("text"))
     lines = (
         rows.select("id", "of", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-        .filter(F.length("line") >= min_chars)
+        .filter(compared(F.col("line")))
     )
-    index = index_keys(F.col("line"), threshold)
     first = F.struct("id", "of", "at")
     hashes = [F.xxhash64("line").alias("h"), F.xxhash64(F.lit("second"), "line").alias("g")]
     # One array holds the keys of the index and then those of further probes: the rows of this
     # shuffle are what the join costs most of.
-    probes = F.array_except(probe_keys(F.col("line"), threshold), index)
+    index, cut, probes = line_keys(F.col("line"), bands, short_lines)
     hashed = lines.select(
         *hashes,
         first.alias("first"),
         F.length("line").alias("size"),
+        cut.alias("cut"),
         F.concat(index, probes).alias("keys"),
     )
     distinct = hashed.groupBy("h", "g").agg(
         F.min("first").alias("first"),
         F.first("size").alias("size"),
+        F.first("cut").alias("cut"),
         F.first("keys").alias("keys"),
     )
 
-    cut = threshold + 1
-    own = distinct.select("h", "size", F.explode(F.slice("keys", 1, cut)).alias("key"))
-    rest = F.slice(F.col("keys"), F.lit(cut + 1), F.size("keys"))
+    index = F.slice(F.col("keys"), F.lit(1), F.col("cut"))
+    own = distinct.select("h", "size", F.explode(index).alias("key"))
+    rest = F.slice(F.col("keys"), F.col("cut") + 1, F.size("keys"))
     other = distinct.select("h", "size", F.explode(rest).alias("key"))
 
     def meeting(left: DataFrame, right: DataFrame, gap: Column) -> DataFrame:
@@ -266,11 +312,11 @@ def dedup_lines(
         & ahead.between(0, threshold)
         & may_be_close(F.col("p.letters"), F.col("s.letters"), threshold)
     )
-    linked = (
-        probing.alias("p")
-        .join(probing.alias("s"), fits)
-        .filter(edit_close(F.col("p.line"), F.col("s.line"), threshold))
-    )
+    close = F.lit(False)
+    for edits, least, stop in reversed(bands):  # by the length of the shorter line
+        inside = (F.col("s.size") >= least) & (F.col("s.size") < stop)
+        close = F.when(inside, edit_close(F.col("p.line"), F.col("s.line"), edits)).otherwise(close)
+    linked = probing.alias("p").join(probing.alias("s"), fits).filter(close)
     p_later = F.col("p.first") > F.col("s.first")
     later = linked.select(
         *[F.when(p_later, F.col(f"p.{c}")).otherwise(F.col(f"s.{c}")).alias(c) for c in ("h", "g")]
@@ -289,10 +335,10 @@ def dedup_lines(
         whole = df.select(*keyed, F.struct(*columns).alias("row"), F.col(text_col).alias("text"))
     places = F.coalesce("places", F.array().cast("array<int>"))
     left = F.filter(
-        "lines", lambda line, at: (F.length(line) < min_chars) | F.array_contains(places, at)
+        "lines", lambda line, at: ~compared(line) | F.array_contains(places, at)
     )
-    compared = F.size(F.filter("lines", lambda line: F.length(line) >= min_chars))
-    counted = F.when(F.col("lines").isNull(), 0).otherwise(compared).cast("long")
+    n_compared = F.size(F.filter("lines", compared))
+    counted = F.when(F.col("lines").isNull(), 0).otherwise(n_compared).cast("long")
     return (
         whole.join(staying, ["id", "of"], "left")
         .select(row.alias("row"), "places", F.split("text", "\n").alias("lines"))

@@ -55,6 +55,11 @@ def op3_line_dedup(spark, sf_dir):
     return dedup_lines(_table(spark, sf_dir, "documents"))
 
 
+def op3_all_lines(spark, sf_dir):
+    """The same over lines of any length, blank ones aside; short ones up to fewer edits."""
+    return dedup_lines(_table(spark, sf_dir, "documents"), short_lines=True)
+
+
 def op4_url_rules(spark, sf_dir):
     """Verdicts on every page's URL."""
     found = filter_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
@@ -122,6 +127,7 @@ def queries():
         "op1_line_crf": op1_line_crf,
         "op2_sketch_join": op2_sketch_join,
         "op3_line_dedup": op3_line_dedup,
+        "op3_all_lines": op3_all_lines,
         "op4_url_rules": op4_url_rules,
         "op5_interleave": op5_interleave,
         "op6_nbsvm": op6_nbsvm,
