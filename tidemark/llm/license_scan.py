@@ -6,7 +6,11 @@ template.  Runs of at least ``min_run`` words that cannot be extended are kept,
 templates they occur in and chained per template: runs that follow one another in the text
 and in the template, at most ``max_gap`` words apart in the text, form one span.  A template's
 label is added when one chain covers at least ``min_share`` of its words and no overlapping
-chain covers more.  Base phrases give their labels wherever they stand.
+chain covers more.  Templates of a few words share their openings, so they need
+``SHORT_SHARE``.  Where overlapping chains of different labels cover equally much, the words
+decide that one template has and the other has not: the one of which fewer are missing stays,
+and neither does when as many are missing of both.  Base phrases give their labels wherever
+they stand.
 
 Words are runs of a-z, 0-9 and characters beyond ASCII after lower-casing A-Z.  A null or
 empty text has no words, no places, empty labels and score 0.  Repeated rows are judged
@@ -26,6 +30,8 @@ from tidemark.llm.frames import map_batches, words_of
 MIN_RUN = 4
 MAX_GAP = 12
 MIN_SHARE = 0.5
+#: Templates below so many words need a larger share.
+SHORT, SHORT_SHARE = 16, 0.8
 
 # Phrases that name a licence and the label each gives.
 PHRASES = {
@@ -163,6 +169,7 @@ class LicenceScanner:
         self.labels = [label for label, _ in templates]
         texts = [words_of(text) for _, text in templates]
         self.sizes = [len(words) for words in texts]
+        self.texts, self.vocabularies = texts, [set(words) for words in texts]
         self.automaton = SuffixAutomaton(texts)
         self.min_run, self.max_gap, self.min_share = min_run, max_gap, min_share
         self.phrases = [(words_of(phrase), label) for phrase, label in phrases.items()]
@@ -181,6 +188,20 @@ class LicenceScanner:
                 pass
         return found
 
+    def _needed(self, number: int) -> float:
+        size = self.sizes[number]
+        return size * (max(self.min_share, SHORT_SHARE) if size < SHORT else self.min_share)
+
+    def _gives_way(self, span, other, words: list[bytes]) -> bool:
+        """Whether the words that tell two equal chains apart do not support the first."""
+        (covered, number, first, stop), (others, rival, start, end) = span, other
+        if covered != others or self.labels[number] == self.labels[rival]:
+            return others > covered
+        here = set(words[min(first, start) : max(stop, end) + self.max_gap])
+        own = self.vocabularies[number] - self.vocabularies[rival] - here
+        its = self.vocabularies[rival] - self.vocabularies[number] - here
+        return len(own) >= len(its) and bool(own)
+
     def spans(self, words: list[bytes]) -> list[tuple[str, int, int, float]]:
         """Chains of long matches: label, first word, past the last word, covered share."""
         chains: dict[int, list[list[int]]] = {}  # template: [first, stop, last in it, covered]
@@ -204,14 +225,24 @@ class LicenceScanner:
             (covered, number, first, stop)
             for number, own in chains.items()
             for first, stop, _, covered in own
-            if covered >= self.min_share * self.sizes[number]
+            if covered >= self._needed(number)
         ]
         kept: list[tuple[int, int, int, int]] = []
         for span in sorted(long_enough, key=lambda x: (-x[0], x[1], x[2])):
-            covered, _, first, stop = span
+            _, _, first, stop = span
             # Licences share wording: where chains overlap, the one that covers more counts.
-            if not any(o[0] > covered and o[2] < stop and first < o[3] for o in kept):
+            beaten = (o[0] > span[0] and o[2] < stop and first < o[3] for o in kept)
+            if not any(beaten):
                 kept.append(span)
+        kept = [
+            span
+            for span in kept
+            if not any(
+                o[2] < span[3] and span[2] < o[3] and self._gives_way(span, o, words)
+                for o in kept
+                if o is not span
+            )
+        ]
         return [
             (self.labels[number], first, stop, min(1.0, covered / self.sizes[number]))
             for covered, number, first, stop in sorted(kept, key=lambda x: (x[2], x[1]))
