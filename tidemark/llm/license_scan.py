@@ -1,15 +1,18 @@
 """Licence texts in documents, by a generalised suffix automaton over licence words.
 
-The templates' words form one automaton.  A document's words are streamed through it, which
+Templates are notices of a sentence and whole licence texts, the files of ``licences``, which
+the tasks read.  The templates' words form one automaton.  A document's words are streamed through it, which
 gives the matching statistics: at every word the longest run ending there that occurs in any
 template.  Runs of at least ``min_run`` words that cannot be extended are kept, placed in the
 templates they occur in and chained per template: runs that follow one another in the text
 and in the template, at most ``max_gap`` words apart in the text, form one span.  A template's
 label is added when one chain covers at least ``min_share`` of its words and no overlapping
 chain covers more.  Templates of a few words share their openings, so they need
-``SHORT_SHARE``.  Where overlapping chains of different labels cover equally much, the words
+``SHORT_SHARE``.  Of a whole text a stretch is enough: ``STRETCH`` words in one chain, and
+``min_share`` of the words from its first to its last.  Where overlapping chains of different labels cover equally much, the words
 decide that one template has and the other has not: the one of which fewer are missing stays,
-and neither does when as many are missing of both.  Base phrases give their labels wherever
+and neither does when as many are missing of both.  A stretch that stands in several whole
+texts gets the labels of all of them.  Base phrases give their labels wherever
 they stand.
 
 Words are runs of a-z, 0-9 and characters beyond ASCII after lower-casing A-Z.  A null or
@@ -21,6 +24,7 @@ whole, whatever its length.
 from __future__ import annotations
 
 import functools
+import pkgutil
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +36,8 @@ MAX_GAP = 12
 MIN_SHARE = 0.5
 #: Templates below so many words need a larger share.
 SHORT, SHORT_SHARE = 16, 0.8
+#: Words of a whole licence text that count as a part of it.
+STRETCH = 20
 
 # Phrases that name a licence and the label each gives.
 PHRASES = {
@@ -66,8 +72,22 @@ TEMPLATES = [
         " terms of the GNU General Public License as published by the Free Software"
         " Foundation",
     ),
+    (
+        "lgpl",
+        "This library is free software: you can redistribute it and/or modify it under the"
+        " terms of the GNU Lesser General Public License as published by the Free Software"
+        " Foundation",
+    ),
+    (
+        "agpl",
+        "This program is free software: you can redistribute it and/or modify it under the"
+        " terms of the GNU Affero General Public License as published by the Free Software"
+        " Foundation",
+    ),
     ("apache-2", "Licensed under the Apache License, Version 2.0."),
     ("gpl", "This work is licensed under the GNU General Public License"),
+    ("lgpl", "This work is licensed under the GNU Lesser General Public License"),
+    ("agpl", "This work is licensed under the GNU Affero General Public License"),
     (
         "mpl-2",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
@@ -86,6 +106,20 @@ TEMPLATES = [
     ("all-rights-reserved", "All rights reserved. No part of this work may be reproduced"),
 ]
 
+# Files of whole licence texts: label, and after a dot the version where one label has several.
+WHOLE_TEXTS = (
+    "apache-2 artistic bsd cc0 gfdl.1-2 gfdl.1-3 gpl.1 gpl.2 gpl.3 isc lgpl.2 lgpl.2-1 lgpl.3"
+    " mit mpl-1 mpl-2 unlicense zlib"
+).split()
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """The whole licence texts by label; read from the package, zipped or not."""
+    return [
+        (name.split(".")[0], pkgutil.get_data(__package__, f"licences/{name}.txt").decode())
+        for name in WHOLE_TEXTS
+    ]
+
 
 class SuffixAutomaton:
     """Generalised suffix automaton: the runs of words of several sequences."""
@@ -165,7 +199,9 @@ class SuffixAutomaton:
 
 
 class LicenceScanner:
-    def __init__(self, templates, phrases, min_run, max_gap, min_share):
+    def __init__(self, templates, phrases, min_run, max_gap, min_share, bodies=()):
+        self.notices = len(templates)  # whole texts have the numbers from here on
+        templates = [*templates, *bodies]
         self.labels = [label for label, _ in templates]
         texts = [words_of(text) for _, text in templates]
         self.sizes = [len(words) for words in texts]
@@ -188,15 +224,23 @@ class LicenceScanner:
                 pass
         return found
 
-    def _needed(self, number: int) -> float:
+    def _needed(self, number: int, first: int, stop: int) -> float:
         size = self.sizes[number]
+        if number >= self.notices:
+            return max(min(STRETCH, self.min_share * size), self.min_share * (stop - first))
         return size * (max(self.min_share, SHORT_SHARE) if size < SHORT else self.min_share)
 
+    def _of(self, number: int, first: int, stop: int) -> int:
+        """The words that a share is of: those of a notice, or of the stretch of a whole text."""
+        return self.sizes[number] if number < self.notices else stop - first
+
     def _gives_way(self, span, other, words: list[bytes]) -> bool:
         """Whether the words that tell two equal chains apart do not support the first."""
         (covered, number, first, stop), (others, rival, start, end) = span, other
         if covered != others or self.labels[number] == self.labels[rival]:
             return others > covered
+        if max(number, rival) >= self.notices:
+            return False
         here = set(words[min(first, start) : max(stop, end) + self.max_gap])
         own = self.vocabularies[number] - self.vocabularies[rival] - here
         its = self.vocabularies[rival] - self.vocabularies[number] - here
@@ -225,7 +269,7 @@ class LicenceScanner:
             (covered, number, first, stop)
             for number, own in chains.items()
             for first, stop, _, covered in own
-            if covered >= self._needed(number)
+            if covered >= self._needed(number, first, stop)
         ]
         kept: list[tuple[int, int, int, int]] = []
         for span in sorted(long_enough, key=lambda x: (-x[0], x[1], x[2])):
@@ -244,14 +288,15 @@ class LicenceScanner:
             )
         ]
         return [
-            (self.labels[number], first, stop, min(1.0, covered / self.sizes[number]))
+            (self.labels[number], first, stop, min(1.0, covered / self._of(number, first, stop)))
             for covered, number, first, stop in sorted(kept, key=lambda x: (x[2], x[1]))
         ]
 
 
 @functools.cache
-def _scanner(templates, phrases, min_run, max_gap, min_share) -> LicenceScanner:
-    return LicenceScanner(templates, dict(phrases), min_run, max_gap, min_share)
+def _scanner(templates, phrases, min_run, max_gap, min_share, bodies) -> LicenceScanner:
+    bodies = whole_texts() if bodies is None else bodies
+    return LicenceScanner(templates, dict(phrases), min_run, max_gap, min_share, bodies)
 
 
 def scan_licences(
@@ -263,17 +308,20 @@ def scan_licences(
     min_run: int = MIN_RUN,
     max_gap: int = MAX_GAP,
     min_share: float = MIN_SHARE,
+    bodies: list[tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Per row: ``n_words``, ``n_base`` (places of phrases), ``first_word`` and ``last_word``
     (smallest and largest start of those, else null), ``base_labels`` and ``labels`` (sorted,
     comma-joined), ``score`` (1 where a phrase stands, else the best covered share) and
-    ``spans`` (label, first word, past the last word, covered share)."""
+    ``spans`` (label, first word, past the last word, covered share: of a notice, or of the
+    stretch that is part of a whole text).  ``bodies`` are whole texts, default the package's."""
     settings = (
         tuple(TEMPLATES if templates is None else templates),
         tuple((PHRASES if phrases is None else phrases).items()),
         min_run,
         max_gap,
         min_share,
+        None if bodies is None else tuple(bodies),
     )
 
     def make():
