@@ -35,6 +35,19 @@ def carried(kept: list[str], text_col: str) -> tuple[Column, list[Column]]:
     return packed.alias("row"), back
 
 
+def drawn_texts(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Rows of ``id`` and ``text`` that a small frame draws by id, one per row of that: where an
+    id has several texts, the first by a hash of the text.  A task sends one row per draw,
+    however many rows carry its id."""
+    ranked = F.struct(F.xxhash64("text").alias("h"), "text")
+    return (
+        rows.join(F.broadcast(chosen), "id")
+        .groupBy(*chosen.columns)
+        .agg(F.min(ranked).alias("first"))
+        .select(*chosen.columns, "first.text")
+    )
+
+
 def map_batches(
     df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: str
 ) -> DataFrame:

@@ -6,7 +6,8 @@ Viterbi decoding finds the best one.  A document is retained when at least ``min
 its words stand in lines marked as content.
 
 The field is trained on a bounded sample of labelled documents: at most ``sample`` of either
-label, the first by a hash of their id, none with over ``max_lines`` lines.  Labels speak of
+label, the first by a hash of their id, none with over ``max_lines`` lines; of an id with several
+texts the first by a hash of the text.  Labels speak of
 documents, not of lines, so training starts with every line of a document labelled like the
 document, and then twice marks the lines of bad documents anew, keeping the marks wherever at
 least half of the words stay boilerplate.  Where one of the two labels is missing, the stated
@@ -25,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import carried, map_batches
+from tidemark.llm.frames import carried, drawn_texts, map_batches
 
 #: Bounds of the training sample: documents per label, lines per document.
 SAMPLE, MAX_LINES = 1000, 400
@@ -216,7 +217,8 @@ def train(
             .limit(sample)
         )
         chosen = part if chosen is None else chosen.unionByName(part)
-    # At most twice ``sample`` rows of two numbers: small however large the tables are.
+    # At most twice ``sample`` rows of two numbers, and as many texts drawn by them: small
+    # however large the tables are and however many rows carry an id.
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def make():
@@ -232,7 +234,7 @@ def train(
         return work
 
     drawn = map_batches(
-        rows.join(F.broadcast(chosen), "id"),
+        drawn_texts(rows, chosen),
         make,
         "id long, good int, masks array<int>, sizes array<int>",
     )

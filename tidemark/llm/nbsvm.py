@@ -9,7 +9,8 @@ descent.  A sigmoid fitted to the margins turns them into scores between 0 and 1
 The fit uses a bounded sample of labelled rows: at most ``sample`` of either label, the first
 by a hash of their id, so ratios, weights and sigmoid need no shuffle of texts and the model
 has a fixed size.  Ids only select and shuffle; neither they nor any column but the text enter
-a score.  Several labels of one id count as the lowest.  With only one label, or none, the
+a score.  Several labels of one id count as the lowest, of its texts the first by a hash is
+taken.  With only one label, or none, the
 score is the smoothed share of label 1 for every text.
 
 A null or empty text has no n-grams and gets the score of a zero vector.  Repeated rows are
@@ -25,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import map_batches
+from tidemark.llm.frames import drawn_texts, map_batches
 
 #: Places of the indicators: character n-grams are hashed to the first, the rest are n-grams
 #: of word shapes.
@@ -181,7 +182,8 @@ def train(
     for side in (F.col("label") == 1, F.col("label") != 1):
         part = single.filter(side).orderBy(F.xxhash64("id"), "id").limit(sample)
         chosen = part if chosen is None else chosen.unionByName(part)
-    # At most twice ``sample`` rows of two numbers: small however large the tables are.
+    # At most twice ``sample`` rows of two numbers, and as many texts drawn by them: small
+    # however large the tables are and however many rows carry an id.
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def make():
@@ -192,7 +194,7 @@ def train(
         return work
 
     drawn = map_batches(
-        rows.join(F.broadcast(chosen), "id"), make, "id long, label int, places binary"
+        drawn_texts(rows, chosen), make, "id long, label int, places binary"
     )
     found = sorted({(r.id, r.label, bytes(r.places)) for r in drawn.collect()})
     texts = [np.frombuffer(r[2], dtype="<u2").astype(np.int64) for r in found]
