@@ -1,14 +1,15 @@
 """URL filtering: stated rules first, then association rules mined from labels.
 
 A URL is described by a few tokens, at most one of each kind: scheme, top-level domain, site,
-subdomain, first path segment, extension, path depth, query keys, fragment.  Spark's FP-growth
+subdomain, host without www., m. and the like where that is longer than the site, first path
+segment, extension, path depth, query keys, fragment.  Spark's FP-growth
 mines the token combinations of labelled URLs; those that imply a block with enough confidence
 and support are kept, unless a part of the combination already implies it as surely.  The rules
 are laid out as an inverted index from token to rule.  Every distinct set of tokens is joined
 with the index, and a rule fits when all its tokens were met.
 
 A page is labelled by the label of its id: block when it is of low quality or toxic.  Ids
-are used for that alone.  Nine kinds of tokens bound the combinations of a URL, however long
+are used for that alone.  Ten kinds of tokens bound the combinations of a URL, however long
 it is, so one URL repeated over a third of the table cannot make mining explode.
 
 A null URL, or one without ``://``, has an empty host and path, no tokens, and is allowed.
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.frames import lower_ascii
 from tidemark.sources.files import scratch_path
 
-#: A combination must stand in this share of the labelled URLs, and in so many at least.
+#: A combination must stand in so many blocked URLs, however many there are.  A share of the
+#: labelled URLs can be asked for as well; MIN_SUPPORT is the one that the SQL states.
 MIN_SUPPORT, MIN_COUNT = 0.001, 20
 MIN_CONFIDENCE = 0.6
 
@@ -42,6 +44,9 @@ RULES = [
 
 _BLOCK = "label=block"
 
+#: Names in front of a host that say how it is served; two names stay.
+_FRONT = r"^(?:(?:www[0-9]*|m|mobile|amp|wap|blog)\.)+(?=[^.]+\.)"
+
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host (A-Z lower-cased) and path; both empty without ``://``."""
@@ -67,6 +72,7 @@ def stated_rule(rules: list[tuple[str, str]]) -> tuple[Column, Column]:
 def url_tokens(url: Column, host: Column, path: Column) -> Column:
     """The tokens of a URL as a sorted array; empty where there is no host."""
     labels = F.split(host, r"\.")
+    bare = F.regexp_replace(host, _FRONT, "")
     segments = F.filter(F.split(lower_ascii(path), "/"), lambda x: x != "")
     query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
     keys = F.array_sort(
@@ -79,6 +85,7 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
         "sub": F.when(
             F.size(labels) > 2, F.array_join(F.slice(labels, F.lit(1), F.size(labels) - 2), ".")
         ),
+        "host": F.when(F.size(F.split(bare, r"\.")) > 2, bare),
         "first": F.get(segments, F.lit(0)),
         "extension": F.regexp_extract(lower_ascii(path), r"\.([a-z0-9]{1,8})$", 1),
         "depth": F.size(segments).cast("string"),
@@ -93,7 +100,7 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
 
 def mine(
     labelled: DataFrame,
-    min_support: float = MIN_SUPPORT,
+    min_support: float = 0.0,
     min_count: int = MIN_COUNT,
     min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
@@ -171,7 +178,7 @@ def filter_urls(
     pages: DataFrame,
     labels: DataFrame,
     rules: list[tuple[str, str]] | None = None,
-    min_support: float = MIN_SUPPORT,
+    min_support: float = 0.0,
     min_count: int = MIN_COUNT,
     min_confidence: float = MIN_CONFIDENCE,
     id_col: str = "page_id",
