@@ -33,7 +33,7 @@ needs_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason=f"no tables
 
 def test_all_queries_are_registered():
     names = set(queries.queries())
-    assert {n.split("_")[0] for n in names} == {"pipeline", *(f"op{i}" for i in range(1, 11))}
+    assert {n.split("_")[0] for n in names} == {"pipeline", *(f"op{i}" for i in range(1, 14))}
     assert names <= set(entry.queries()) and set(queries.oracle_sql()) <= names
 
 

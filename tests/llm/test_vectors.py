@@ -1,0 +1,221 @@
+"""Whitening against an eigenvalue routine and exact integers, clustering against plain rounds."""
+
+import hashlib
+import math
+
+import numpy as np
+import pytest
+
+from tidemark.llm import centroids, whitening
+
+RNG = np.random.default_rng(5)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>, row string, x int")
+
+
+def hostile(rows):
+    """Rows beside which the others must come out as if alone."""
+    size = len(rows[0][1])
+    good = [0.5] * size
+    return [
+        (900, None, "null", 1),
+        (901, [None] + good[1:], "null inside", None),
+        (902, [math.nan] + good[1:], None, 1),
+        (903, good[1:] + [-math.inf], "", 1),
+        (904, [], "empty", 1),
+        (905, good + [1.0], "longer", 1),
+    ]
+
+
+def vectors(n=120, size=6):
+    spread = np.arange(1, size + 1) / 4
+    return [(i, (RNG.standard_normal(size) * spread).tolist(), f"r{i}", i) for i in range(n)]
+
+
+# -- eigenvectors ------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [9.0, 4.0, 1.0, 0.5],
+        [1.0, 1.0, 1.0],
+        [3.0, 1.0, 1.0, 1.0, 1.0],
+        [5.0, 5.0, 2.0, 2.0, 0.0],
+        [1.0, 1.0 + 1e-13, 1.0 - 1e-13],
+        [1e12, 1.0, 1e-3],
+        [2.0],
+        [0.0, 0.0],
+        [4.0, 0.0, -4.0],  # the mean is itself an eigenvalue
+    ],
+)
+def test_eigenvectors(values):
+    size = len(values)
+    basis, _ = np.linalg.qr(np.random.default_rng(1).standard_normal((size, size)))
+    a = (basis * values) @ basis.T
+    a = (a + a.T) / 2
+    found, vectors = whitening.eigenvectors(a, size)
+    scale = max(np.linalg.norm(a), 1e-300)
+    assert np.allclose(found, sorted(values, reverse=True), atol=1e-13 * scale, rtol=0)
+    assert np.abs(vectors.T @ vectors - np.eye(size)).max() < 1e-13
+    assert np.abs(a @ vectors - vectors * found).max() < 1e-13 * scale
+
+
+def test_eigenvectors_of_larger_matrices():
+    for size in (64, 150):
+        g = RNG.standard_normal((size, 3 * size))
+        a = g @ g.T / size
+        found, vectors = whitening.eigenvectors(a, 16)
+        want, theirs = np.linalg.eigh(a)
+        assert np.allclose(found, want[::-1][:16], rtol=1e-13)
+        assert np.abs(np.abs((vectors * theirs[:, ::-1][:, :16]).sum(axis=0)) - 1).max() < 1e-12
+
+
+def test_polar_factor():
+    a = RNG.standard_normal((20, 20))
+    a += a.T
+    sign = whitening.polar(a)
+    values, vectors = np.linalg.eigh(a)
+    assert np.abs(sign - (vectors * np.sign(values)) @ vectors.T).max() < 1e-13
+
+
+# -- whitening ---------------------------------------------------------------------------
+
+
+def plain_whitening(rows, components):
+    """n, the covariance and, per id, the integers of the usable rows."""
+    ints = {r[0]: [math.floor(64 * c) + 1_000_000 for c in r[1]] for r in rows}
+    distinct = np.array(sorted({tuple(x) for x in ints.values()}), dtype=object)
+    n, sums = len(distinct), distinct.sum(axis=0)
+    centred = ((distinct * n - sums) / n).astype(float)
+    covariance = centred.T @ centred / n
+    values, vectors = np.linalg.eigh(covariance)
+    return ints, n, sums, covariance, values[::-1][:components], vectors[:, ::-1][:, :components]
+
+
+@pytest.mark.parametrize("size", [2, 6, 24])
+def test_whitening_equals_plain(spark, size):
+    rows = vectors(150, size)
+    copies = [(500 + i, *rows[3][1:]) for i in range(70)] + [rows[4]] * 3
+    df = frame(spark, rows + copies + hostile(rows)).repartition(5)
+    model = whitening.fit_whitening(df, components=4)
+    got = whitening.described(whitening.whiten(df, model, keep=["vec_id", "row", "x"]), model)
+    assert got.columns[:3] == ["vec_id", "row", "x"]
+    ints, n, sums, covariance, values, directions = plain_whitening(rows + copies, 4)
+    k = min(4, size)
+    out = got.collect()
+    assert len(out) == k * (len(rows) + len(copies))
+    assert {r.n for r in out} == {n} and len({r.identity_error for r in out}) == 1
+    assert out[0].identity_error < 1e-12
+    sign = np.sign((model.directions * directions).sum(axis=0))
+    for r in out:
+        x, c = ints[r.vec_id], r.component - 1
+        assert r.deviation == sum((n * a - int(s)) ** 2 for a, s in zip(x, sums))
+        centred = [(n * a - int(s)) / n for a, s in zip(x, sums)]
+        want = sign[c] * np.dot(centred, directions[:, c]) / math.sqrt(values[c])
+        assert r.whitened == pytest.approx(want, abs=1e-11)
+        assert r.explained == pytest.approx(values[c] / np.trace(covariance), rel=1e-12)
+        assert r.row == (rows[r.vec_id][2] if r.vec_id < 500 else rows[3][2])
+
+
+def test_whitening_of_degenerate_tables(spark):
+    empty = frame(spark, [])
+    model = whitening.fit_whitening(empty)
+    assert model is None
+    assert whitening.described(whitening.whiten(empty, model, keep=["vec_id"]), model).count() == 0
+    one = frame(spark, [(1, [1.0, 2.0], "a", 1), (None, [1.0, 2.0], "a", 1)])
+    model = whitening.fit_whitening(one)
+    assert model.n == 1 and not len(model.values)
+    assert whitening.whiten(one, model).count() == 0
+    line = frame(spark, [(i, [i / 8, 3.0, 3.0], "a", 1) for i in range(9)] + [(None, [9.0, 3.0, 3.0], "", 1)])
+    model = whitening.fit_whitening(line)  # varies in one direction of three
+    got = whitening.described(whitening.whiten(line, model, keep=["vec_id"]), model).collect()
+    assert len(got) == 10 and {r.component for r in got} == {1} and None in {r.vec_id for r in got}
+    assert all(r.explained == 1.0 for r in got)
+
+
+def test_whitening_of_huge_entries(spark):
+    rows = [(i, [float(i) * 1e7, (-1.0) ** i * 1e300, float(i % 3)], "", 1) for i in range(40)]
+    df = frame(spark, rows)
+    model = whitening.fit_whitening(df)
+    out = whitening.whiten(df, model, keep=["vec_id"]).collect()
+    assert len(out) == 40 and all(r.deviation is None for r in out)  # beyond a long
+    assert model.identity_error < 1e-9
+
+
+# -- clusters ----------------------------------------------------------------------------
+
+
+def plain_clusters(rows, k, rounds, dimensions):
+    kept = []
+    for key, vec, *_ in rows:
+        if vec is None or len(vec) != dimensions:
+            continue
+        if any(c is None or not math.isfinite(c) for c in vec):
+            continue
+        kept.append((key, [math.floor(256 * c) for c in vec]))
+
+    def start(row):
+        digest = hashlib.sha256(f"2:{row[0]}".encode()).hexdigest()
+        return row[0] is None, digest, row[1]
+
+    centres = [x for _, x in sorted(kept, key=start)[:k]]
+
+    def near(x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, c)), i) for i, c in enumerate(centres))
+
+    for _ in range(rounds):
+        groups = {}
+        for _, x in kept:
+            groups.setdefault(near(x)[1], []).append(x)
+        for i, members in groups.items():
+            centres[i] = [sum(column) // len(members) for column in zip(*members)]
+    return sorted(((key, *near(x)[::-1]) for key, x in kept), key=str), centres
+
+
+def clustered(df, **options):
+    assigned, found = centroids.cluster(df, dimensions=6, **options)
+    rows = [(r.id, r.cluster, r.distance) for r in assigned.collect()]
+    return sorted(rows, key=str), found
+
+
+@pytest.mark.parametrize("k, rounds", [(1, 3), (7, 5), (400, 2)])
+def test_clusters_equal_plain(spark, k, rounds):
+    rows = vectors(200)
+    hot = [(700 + i, *rows[9][1:]) for i in range(120)] + [rows[5]] * 4 + [(None, *rows[8][1:])]
+    df = frame(spark, rows + hot + hostile(rows)).repartition(6)
+    got, found = clustered(df, k=k, rounds=rounds)
+    want, centres = plain_clusters(rows + hot, k, rounds, 6)
+    assert got == want and found.centroids == centres
+    assert sum(found.inertia) == sum(d for *_, d in want)
+    out = centroids.described(*centroids.cluster(df, dimensions=6, k=k, rounds=rounds, keep=["row", "x"]))
+    assert out.count() == len(want)
+    for r in out.limit(20).collect():
+        assert r.cluster_inertia == found.inertia[r.cluster]
+        text = ",".join(map(str, found.centroids[r.cluster]))
+        assert r.centroid_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert r.row.row is None or isinstance(r.row.row, str)
+
+
+def test_ties_and_empty_clusters(spark):
+    # Two equal first centroids: the second never gets a vector and stays where it is.
+    rows = [(i, [float(i < 4)] * 6, "", 0) for i in range(8)]
+    got, found = clustered(frame(spark, rows), k=8, rounds=3)
+    want, centres = plain_clusters(rows, 8, 3, 6)
+    assert got == want and found.centroids == centres
+    assert len({c for _, c, _ in got}) == 2
+
+
+def test_clusters_of_an_empty_table(spark):
+    got, found = clustered(frame(spark, []))
+    assert got == [] and found.centroids == [] and found.inertia == []
+    out = centroids.described(*centroids.cluster(frame(spark, hostile(vectors(1))), dimensions=6))
+    assert out.count() == 0 and "centroid_sha256" in out.columns
+
+
+def test_entries_beyond_the_limit(spark):
+    rows = [(1, [1e300] + [0.0] * 5, "", 0), (2, [-1e300] + [0.0] * 5, "", 0)]
+    got, _ = clustered(frame(spark, rows), k=1, rounds=0)
+    assert sorted(d for *_, d in got) == [0, 2**56]

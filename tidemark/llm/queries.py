@@ -5,11 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_crf, nbsvm
+from tidemark.llm import centroids, line_crf, nbsvm, queries_sql, whitening
 from tidemark.llm.decontaminate import contaminated, find_passages, item_digest
 from tidemark.llm.interleave import SEED, SHARDS, shard_rows
 from tidemark.llm.license_scan import scan_licences
 from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.mixture import mix
 from tidemark.llm.separator_scan import scan_token_files, write_token_files
 from tidemark.llm.sketch_join import Similarity, near_duplicates
 from tidemark.llm.tree_bpe import round_trip_digests
@@ -119,6 +120,26 @@ def op10_license_scan(spark, sf_dir):
     return scan_licences(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_qdwh_whitening(spark, sf_dir):
+    """Every vector whitened: one row per vector and component."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    model = whitening.fit_whitening(vectors)
+    return whitening.described(whitening.whiten(vectors, model, keep=["vec_id"]), model)
+
+
+def op12_centroids(spark, sf_dir):
+    """The cluster of every vector after five rounds."""
+    assigned, clusters = centroids.cluster(_table(spark, sf_dir, "embeddings"))
+    found = centroids.described(assigned, clusters)
+    return found.withColumnRenamed("id", "vec_id").drop("row")
+
+
+def op13_pivotal_mix(spark, sf_dir):
+    """How many words of every document the mix of sources takes."""
+    mixed = mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries():
     import corpus_pipeline  # imports this subpackage in turn
 
@@ -135,6 +156,9 @@ def queries():
         "op8_tree_bpe": op8_tree_bpe,
         "op9_decontaminate": op9_decontaminate,
         "op10_license_scan": op10_license_scan,
+        "op11_qdwh_whitening": op11_qdwh_whitening,
+        "op12_centroids": op12_centroids,
+        "op13_pivotal_mix": op13_pivotal_mix,
     }
 
 
@@ -341,4 +365,6 @@ def oracle_sql():
         "op4_url_rules": _URL_RULES,
         "op5_interleave": _INTERLEAVE,
         "op9_decontaminate": _DECONTAMINATE,
+        "op12_centroids": queries_sql.clustering(),
+        "op13_pivotal_mix": queries_sql.mixing(),
     }
