@@ -10,7 +10,6 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +17,12 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import tidemark as tm  # noqa: E402
-from tidemark.sources.drops import DROP_VERSION, drop_schema  # noqa: E402
-from tidemark.sources.files import scratch_path  # noqa: E402
+from tidemark.sources.drops import DROP_VERSION, drop_schema, reader_schema  # noqa: E402
+from tidemark.sources.files import delete_tree, names, scratch_path  # noqa: E402
 
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 BATCH_START = "2024-01-30 18:00:00"  # what came before is state, the rest is the batch
+RESTART = "2024-01-16 00:00:00"  # between the two runs of a stream
 BASE_TABLES = ["nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 SEED = 7
 
@@ -96,21 +96,28 @@ def drop_scan(spark, sf_dir):
     return tm.read_drops(spark, base, schema).drop("_corrupt_record")
 
 
-def _dropped(spark, sf_dir, purpose, label=None):
-    """All events as CSV drops, two files an hour; the base and the schema of the data."""
+def _in_files(events):
+    """Events with the hour and the number of the drop they go into, two files an hour."""
+    number = F.when(F.minute("ts") < 30, 1).otherwise(2)
+    return events.withColumn("time_stamp", _label()).withColumn("file_index", number)
+
+
+def _dropped(spark, sf_dir, purpose):
+    """All events as CSV drops; the base and the schema of the data."""
     base, events = scratch_path(spark, purpose), _events(spark, sf_dir)
-    drops = events.withColumn("time_stamp", _label() if label is None else label).withColumn(
-        "file_index", F.when(F.minute("ts") < 30, 1).otherwise(2)
-    )
-    tm.write_drops(drops.hint("rebalance", F.col("time_stamp"), F.col("file_index")), base)
+    tm.write_drops(_in_files(events), base)
     return base, events.schema
 
 
 def origin_file(spark, sf_dir):
-    """The file every row came from, and the number in its name, which it has not."""
+    """The drop every event came from: the name of its file and the number in that."""
+    base, schema = _dropped(spark, sf_dir, "origin_file")
     name = F.col("_metadata.file_name")
-    return _table(spark, sf_dir, "customer").select(
-        "c_custkey", name.alias("file_name"), tm.file_index(name).alias("file_index")
+    return (
+        spark.read.schema(reader_schema(schema))
+        .options(header=True, basePath=base)
+        .csv(base)
+        .select("event_id", name.alias("file_name"), tm.file_index(name).alias("file_index"))
     )
 
 
@@ -180,6 +187,23 @@ def carry_over(spark, sf_dir):
     return tm.carry_over(_newest(_before(spark, sf_dir)), _batch(spark, sf_dir), ["user_id"])
 
 
+def _null_keyed(df):
+    """A seventh of the events without a user."""
+    return df.withColumn("user_id", F.when(F.col("event_id") % 7 != 0, F.col("user_id")))
+
+
+def carry_over_null_keys(spark, sf_dir):
+    """NULL keys on both sides, treated as a key like any other."""
+    existing = _newest(_null_keyed(_before(spark, sf_dir)))
+    return tm.carry_over(existing, _null_keyed(_batch(spark, sf_dir)), ["user_id"], null_safe=True)
+
+
+def upsert_null_keys(spark, sf_dir):
+    existing = _newest(_null_keyed(_before(spark, sf_dir)))
+    incoming = _newest(_null_keyed(_batch(spark, sf_dir)))
+    return tm.upsert(existing, incoming, ["user_id"], null_keys="match")
+
+
 def union_merge(spark, sf_dir):
     return tm.union_merge(_newest(_before(spark, sf_dir)), _newest(_batch(spark, sf_dir)))
 
@@ -238,23 +262,21 @@ def state_fold(spark, sf_dir):
 
 
 def state_rejects(spark, sf_dir):
-    """What a state counts of rows without a key, without a version, of bad lines."""
+    """What a state counts of drops with rows without a key, without a version, and with
+    fields that do not parse."""
 
     def unless(name, divisor):
-        return F.when(F.col("event_id") % divisor != 0, F.col(name)).alias(name)
+        return F.when(F.col("event_id") % divisor != 0, F.col(name))
 
     events = _events(spark, sf_dir)
-    damaged = events.select(
-        "event_id",
-        unless("ts", 11),
-        unless("user_id", 7),
-        "event_type",
-        "value",
-        "props",
-        F.when(F.col("event_id") % 13 == 0, F.col("props")).alias("_corrupt_record"),
+    value = F.coalesce(unless("value", 13).cast("string"), F.lit("n/a"))
+    damaged = _in_files(events).withColumns(
+        {"ts": unless("ts", 11), "user_id": unless("user_id", 7), "value": value}
     )
+    base = scratch_path(spark, "damaged_drops")
+    tm.write_drops(damaged, base)
     state = _event_state(spark, "state_rejects", events.schema)
-    state.apply(damaged, label="damaged")
+    state.apply(tm.read_drops(spark, base, events.schema), label="damaged")
     return state.audit()
 
 
@@ -285,12 +307,21 @@ def _drop_state(spark, schema, purpose, **options):
 
 
 def streaming_upsert(spark, sf_dir):
-    """CSV drops streamed into a state in micro-batches; the result is the fold."""
-    base, schema = _dropped(spark, sf_dir, "streaming_drops")
+    """CSV drops streamed into a state in two runs over one checkpoint.  Before the second one
+    further drops arrive and the record that the last micro-batch was done is lost, so Spark
+    repeats it.  The result is the fold."""
+    base, events = scratch_path(spark, "streaming_drops"), _in_files(_events(spark, sf_dir))
+    schema = _events(spark, sf_dir).schema
     state = _drop_state(spark, schema, "streaming_state")
-    stream = tm.stream_drops(spark, base, schema, max_files=500)
-    query = tm.upsert_stream(stream, state, scratch_path(spark, "streaming_checkpoint"))
-    query.awaitTermination()
+    checkpoint = scratch_path(spark, "streaming_checkpoint")
+    early = F.col("ts") < _time(RESTART)
+    for part in (events.filter(early), events.filter(~early)):
+        tm.write_drops(part, base)
+        done = [int(n) for n in names(spark, f"{checkpoint}/commits") if n.isdigit()]
+        if done:
+            delete_tree(spark, f"{checkpoint}/commits/{max(done)}")
+        stream = tm.stream_drops(spark, base, schema, max_files=500)
+        tm.upsert_stream(stream, state, checkpoint).awaitTermination()
     return state.read()
 
 
@@ -305,17 +336,35 @@ def drop_backfill(spark, sf_dir):
     return tm.read_csv(spark, target, drop_schema(schema))
 
 
+def _hourly(spark, sf_dir, events, purpose):
+    """Drops of ``events`` merged in arrival mode, as a schedule does it: hour by hour from the
+    first to the last event of the table."""
+    ends = _events(spark, sf_dir).agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
+    base = scratch_path(spark, f"{purpose}_drops")
+    tm.write_drops(_in_files(events), base)
+    state = _drop_state(spark, events.schema, f"{purpose}_state", mode="arrival")
+    if ends.first is None:
+        return state, None
+    start = ends.first.replace(minute=0, second=0, microsecond=0)
+    return state, tm.backfill_hourly(state, base, start, ends.last, events.schema)
+
+
 def hourly_backfill(spark, sf_dir):
-    """Hour by hour into a state in arrival mode, as a schedule does it.  All events are
-    dropped into the hours of one day, by the hour of day they have."""
-    day = datetime(2024, 1, 1)
-    label = tm.partition_label(F.to_timestamp_ntz(F.lit(str(day))) + F.expr("INTERVAL '1' HOUR") * F.hour("ts"))
-    base, schema = _dropped(spark, sf_dir, "hourly_drops", label)
-    state = _drop_state(spark, schema, "hourly_state", mode="arrival")
-    tm.backfill_hourly(state, base, day, day.replace(hour=23), schema)
+    state, _ = _hourly(spark, sf_dir, _events(spark, sf_dir), "hourly_backfill")
     return state.read()
 
 
+def hourly_report(spark, sf_dir):
+    """Every hour of a back-fill over drops of one kind of event, with what it brought and
+    where there was none."""
+    signups = _events(spark, sf_dir).filter(F.col("event_type") == "signup")
+    state, report = _hourly(spark, sf_dir, signups, "hourly_report")
+    audit = state.audit().select(
+        F.col("label").alias("time_stamp"), "incoming_rows", "latest_rows", "final_rows"
+    )
+    return report.join(audit, "time_stamp", "left")
+
+
 # -- generated drops ---------------------------------------------------------------
 
 
@@ -353,6 +402,15 @@ def _through_csv(spark, table, purpose):
     return tm.read_csv(spark, target, table.schema)
 
 
+def export_in_place(spark, sf_dir):
+    """A CSV folder merged with a batch and written over itself."""
+    target, before = scratch_path(spark, "export_in_place"), _before(spark, sf_dir)
+    tm.export_csv(_newest(before), target)
+    held = tm.read_csv(spark, target, before.schema)
+    tm.export_csv(tm.upsert(held, _newest(_batch(spark, sf_dir)), ["user_id"]), target)
+    return tm.read_csv(spark, target, before.schema)
+
+
 def csv_documents(spark, sf_dir):
     """Texts with line breaks, quotes, blanks and whatever else they hold."""
     return _through_csv(spark, _table(spark, sf_dir, "documents"), "csv_documents")
@@ -398,6 +456,16 @@ def partitioned_write(spark, sf_dir):
     )
 
 
+def partitioned_rewrite(spark, sf_dir):
+    """A second write brings one year, changed: its folder is replaced, the others stay."""
+    target = scratch_path(spark, "partitioned_rewrite")
+    orders = _with_year(_table(spark, sf_dir, "orders"), "o_orderdate", "order_year")
+    tm.partitioned_write(orders, target, "order_year")
+    again = orders.filter((F.col("order_year") == 1995) & (F.col("o_totalprice") >= 100000))
+    tm.partitioned_write(again, target, "order_year")
+    return spark.read.schema(orders.schema).parquet(target)
+
+
 def _unique(name: str) -> str:
     return f"{name}_{uuid.uuid4().hex[:12]}"
 
@@ -411,6 +479,28 @@ def table_load(spark, sf_dir):
     return loaded
 
 
+def _loaded_twice(spark, first, second, purpose):
+    name, path = _unique(purpose), scratch_path(spark, purpose)
+    tm.table_load(first, name, path)
+    tm.table_load(second, name, path)
+    loaded = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return loaded
+
+
+def table_reload(spark, sf_dir):
+    """A second load under a table that exists points it at the new rows."""
+    customer = _table(spark, sf_dir, "customer")
+    return _loaded_twice(spark, customer, customer.filter("c_nationkey < 10"), "table_reload")
+
+
+def table_reshape(spark, sf_dir):
+    """A second load with another column takes the table's name."""
+    customer = _table(spark, sf_dir, "customer")
+    wider = customer.withColumn("key_text", F.col("c_custkey").cast("string"))
+    return _loaded_twice(spark, customer, wider, "table_reshape")
+
+
 def table_flow(spark, sf_dir):
     """Five tables, each with the steps its spec asks for."""
 
@@ -505,6 +595,8 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "upsert_fold": upsert_fold,
         "bootstrap_load": bootstrap_load,
         "carry_over": carry_over,
+        "carry_over_null_keys": carry_over_null_keys,
+        "upsert_null_keys": upsert_null_keys,
         "union_merge": union_merge,
         "upsert_batch": upsert_batch,
         "upsert_stale_batch": upsert_stale_batch,
@@ -516,19 +608,24 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "upsert_ties": upsert_ties,
         "arrival_batch": arrival_batch,
         "hourly_backfill": hourly_backfill,
+        "hourly_report": hourly_report,
         "streaming_upsert": streaming_upsert,
         "generate_rows": generate_rows,
         "drop_backfill": drop_backfill,
         "preview": preview,
         "schema_profile": schema_profile,
         "csv_roundtrip": csv_roundtrip,
+        "export_in_place": export_in_place,
         "csv_documents": csv_documents,
         "csv_pages": csv_pages,
         "csv_conversations": csv_conversations,
         "csv_single_file": csv_single_file,
         "validate_row_counts": validate_row_counts,
         "partitioned_write": partitioned_write,
+        "partitioned_rewrite": partitioned_rewrite,
         "table_load": table_load,
+        "table_reload": table_reload,
+        "table_reshape": table_reshape,
         "table_flow": table_flow,
     }
 
@@ -541,6 +638,11 @@ _E_AND_I = f"""
     WITH e AS (SELECT {_COLS} FROM events WHERE ts < TIMESTAMP '{BATCH_START}' {_NEWEST}),
          i AS (SELECT {_COLS} FROM events WHERE {_IN_BATCH} {_NEWEST})
 """
+_NULL_KEYED = _E_AND_I.replace(
+    "FROM events", "FROM (SELECT * REPLACE (CASE WHEN event_id % 7 != 0 THEN user_id END AS user_id)"
+    " FROM events)"
+)
+_NOT_ARRIVED = "NOT EXISTS (SELECT 1 FROM i WHERE i.user_id IS NOT DISTINCT FROM e.user_id)"
 _FOLD = f"""
     SELECT {_COLS}, {_LABEL} AS time_stamp FROM events
     QUALIFY row_number() OVER (
@@ -625,10 +727,9 @@ def library_sql() -> dict[str, str]:
             SELECT c_custkey,
                    TRY_CAST(regexp_extract(c_name, '#(\d+)$', 1) AS INTEGER) AS file_index
             FROM customer""",
-        "origin_file": """
-            SELECT c_custkey, 'customer.parquet' AS file_name,
-                   CAST(NULL AS INTEGER) AS file_index
-            FROM customer""",
+        "origin_file": f"""
+            SELECT event_id, 'data_' || {_HALF} || '.csv' AS file_name, {_HALF} AS file_index
+            FROM events""",
         "typed_state_scan": """
             SELECT CAST(CAST(event_id AS VARCHAR) AS BIGINT) AS event_id,
                    CAST(CAST(ts AS VARCHAR) AS TIMESTAMP) AS ts,
@@ -668,6 +769,9 @@ def library_sql() -> dict[str, str]:
         "carry_over": f"""
             {_E_AND_I} SELECT * FROM e
             WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.user_id = e.user_id)""",
+        "carry_over_null_keys": f"{_NULL_KEYED} SELECT * FROM e WHERE {_NOT_ARRIVED}",
+        "upsert_null_keys": f"""
+            {_NULL_KEYED} SELECT * FROM e WHERE {_NOT_ARRIVED} UNION ALL SELECT * FROM i""",
         "union_merge": f"{_E_AND_I} SELECT * FROM e UNION ALL SELECT * FROM i",
         "upsert_batch": f"""
             {_E_AND_I} SELECT * FROM e WHERE user_id NOT IN (SELECT user_id FROM i)
@@ -714,7 +818,24 @@ def library_sql() -> dict[str, str]:
         "arrival_batch": f"""
             {_E_AND_I} SELECT * FROM i WHERE user_id NOT IN (SELECT user_id FROM e)
             UNION ALL SELECT * FROM e""",
-        "hourly_backfill": _dropped_fold("'2024-01-01-' || strftime(ts, '%H')"),
+        "hourly_backfill": _dropped_fold(_LABEL),
+        "hourly_report": f"""
+            WITH hours AS (
+                SELECT strftime(h, '%Y-%m-%d-%H') AS time_stamp
+                FROM (SELECT unnest(generate_series(
+                    date_trunc('hour', min(ts)), date_trunc('hour', max(ts)),
+                    INTERVAL 1 HOUR)) AS h FROM events)),
+            signups AS (SELECT user_id, {_LABEL} AS time_stamp FROM events WHERE event_type = 'signup'),
+            per_hour AS (
+                SELECT time_stamp, count(*) AS incoming_rows, count(DISTINCT user_id) AS latest_rows
+                FROM signups GROUP BY 1),
+            fresh AS (
+                SELECT time_stamp, count(*) AS n
+                FROM (SELECT user_id, min(time_stamp) AS time_stamp FROM signups GROUP BY 1) GROUP BY 1)
+            SELECT time_stamp, incoming_rows IS NULL AS missing, incoming_rows, latest_rows,
+                   CASE WHEN incoming_rows IS NOT NULL THEN CAST(
+                       sum(coalesce(n, 0)) OVER (ORDER BY time_stamp) AS BIGINT) END AS final_rows
+            FROM hours LEFT JOIN per_hour USING (time_stamp) LEFT JOIN fresh USING (time_stamp)""",
         "streaming_upsert": _dropped_fold(_LABEL),
         "generate_rows": f"{_generated()} SELECT * FROM generated",
         "drop_backfill": _dropped_fold(_LABEL),
@@ -725,6 +846,9 @@ def library_sql() -> dict[str, str]:
             for i, (name, kind) in enumerate(zip(EVENT_COLUMNS, event_types))
         ),
         "csv_roundtrip": "SELECT * FROM customer",
+        "export_in_place": f"""
+            {_E_AND_I} SELECT * FROM e WHERE user_id NOT IN (SELECT user_id FROM i)
+            UNION ALL SELECT * FROM i""",
         "csv_documents": "SELECT * FROM documents",
         "csv_pages": "SELECT * FROM pages",
         "csv_conversations": "SELECT * FROM conversations",
@@ -737,7 +861,12 @@ def library_sql() -> dict[str, str]:
             SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, count(*) AS n_rows,
                    min(o_orderkey) AS min_key, max(o_orderkey) AS max_key
             FROM orders GROUP BY 1""",
+        "partitioned_rewrite": """
+            SELECT *, CAST(year(o_orderdate) AS INTEGER) AS order_year FROM orders
+            WHERE year(o_orderdate) != 1995 OR o_totalprice >= 100000""",
         "table_load": "SELECT * FROM customer",
+        "table_reload": "SELECT * FROM customer WHERE c_nationkey < 10",
+        "table_reshape": "SELECT *, CAST(c_custkey AS VARCHAR) AS key_text FROM customer",
         "table_flow": " UNION ALL ".join(
             f"SELECT '{source}' AS source, '{step}' AS step, {n} AS n_rows, true AS passed"
             for source, step, n in flow_steps

@@ -185,3 +185,27 @@ def test_all_original_hours(spark, tmp_path):
     query.awaitTermination()
     assert stream.versions() == [0, 1, 2, 3, 4]
     assert rows(stream.read()) == rows(state.read())
+
+
+def test_hours_in_several_portions(spark, month, tmp_path):
+    end = datetime(2026, 5, 1, 4)
+    whole, portions = make(spark, tmp_path / "w", mode="arrival"), make(spark, tmp_path / "p", mode="arrival")
+    want = rows(tm.backfill_hourly(whole, month, START, end))
+    assert rows(tm.backfill_hourly(portions, month, START, end, at_once=1)) == want
+    assert portions.versions() == whole.versions() == [0, 1, 2, 3]
+    for version in whole.versions():
+        assert rows(portions.read(version)) == rows(whole.read(version))
+    assert rows(portions.audit()) == rows(whole.audit())
+
+
+def test_an_hourly_back_fill_folds_when_it_is_due(spark, month, tmp_path, monkeypatch):
+    from tidemark.plans import state as module
+
+    monkeypatch.setattr(module, "MAX_DELTAS", 1)
+    state = make(spark, tmp_path / "s")
+    tm.backfill_hourly(state, month, START, datetime(2026, 5, 1, 4), at_once=3)
+    labels = [r.label for r in state.audit().orderBy("version").collect()]
+    assert labels == [f"2026-05-01-0{h}" for h in (0, 1, 3, 4)]
+    assert state.versions() == [0, 1, 2, 3, 4]  # a fold between the portions
+    assert sorted(rows(state.read(), *NAMES)) == fold(month, tm.hour_labels(START, datetime(2026, 5, 1, 4))[:2]
+                                                      + ["2026-05-01-03", "2026-05-01-04"])

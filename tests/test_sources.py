@@ -177,3 +177,104 @@ def test_scratch_lies_in_a_shared_folder_and_can_be_cleared(spark):
     spark.range(1).write.parquet(first)
     clear_scratch(spark)
     assert listing(spark, first) == []
+
+
+def drops_of(spark, n, hours=3, files_per_hour=2):
+    return spark.range(n).selectExpr(
+        "cast(id AS int) AS id",
+        "concat('v', id) AS v",
+        f"concat('2026-05-01-0', id % {hours}) AS time_stamp",
+        f"cast(id % {files_per_hour} + 1 AS int) AS file_index",
+    )
+
+
+def files_in(base):
+    return sorted(str(p.relative_to(base)) for p in base.rglob("data*") if p.is_file())
+
+
+DATA = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("v", T.StringType())])
+
+
+def test_drops_are_named_by_hour_and_number(spark, tmp_path):
+    base = tmp_path / "d"
+    df = drops_of(spark, 60).repartition(7)
+    tm.write_drops(df, str(base))
+    assert files_in(base) == [
+        f"time_stamp=2026-05-01-0{h}/data_{n}.csv" for h in range(3) for n in (1, 2)
+    ]
+    assert [p.name for p in tmp_path.iterdir()] == ["d"]  # nothing is left beside it
+    got = tm.read_drops(spark, str(base), DATA)
+    assert rows(got.drop("_corrupt_record")) == rows(df)
+
+
+def test_drops_are_added_and_never_overwritten(spark, tmp_path):
+    base = tmp_path / "d"
+    tm.write_drops(drops_of(spark, 20, hours=2), str(base))
+    more = drops_of(spark, 30, hours=3).filter("time_stamp LIKE '%2'")
+    tm.write_drops(more, str(base))
+    assert tm.read_drops(spark, str(base), DATA).count() == 30
+    before = files_in(base)
+    with pytest.raises(FileExistsError, match="2026-05-01-02/data_1"):
+        tm.write_drops(drops_of(spark, 40, hours=4), str(base))
+    assert files_in(base) == before and [p.name for p in tmp_path.iterdir()] == ["d"]
+    third = more.withColumn("file_index", F.lit(3))  # another number in an hour that is there
+    tm.write_drops(third, str(base))
+    assert len(files_in(base)) == len(before) + 1
+
+
+def test_a_failed_write_leaves_the_base_alone(spark, tmp_path):
+    base = tmp_path / "d"
+    bad = drops_of(spark, 9).withColumn("v", F.raise_error(F.lit("boom")).cast("string"))
+    with pytest.raises(Exception, match="boom"):
+        tm.write_drops(bad, str(base))
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_rows_without_a_number_and_no_rows(spark, tmp_path):
+    base = tmp_path / "d"
+    df = drops_of(spark, 4, hours=1).withColumn("file_index", F.lit(None).cast("int"))
+    tm.write_drops(df, str(base))
+    assert files_in(base) == ["time_stamp=2026-05-01-00/data_.csv"]
+    assert rows(tm.read_drops(spark, str(base), DATA), "id", "file_index") == [(i, None) for i in range(4)]
+    tm.write_drops(df.limit(0), str(tmp_path / "none"))
+    assert tm.read_drops(spark, str(tmp_path / "none"), DATA).count() == 0
+
+
+def test_one_large_drop_is_read_by_many_tasks(spark, tmp_path):
+    base = str(tmp_path / "d")
+    df = drops_of(spark, 60_000, hours=1, files_per_hour=1)
+    tm.write_drops(df, base)
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "100k")
+    try:
+        split = tm.read_drops(spark, base, DATA)
+        assert split.rdd.getNumPartitions() >= 5
+        assert split.agg(F.count("*"), F.sum("id"), F.count_distinct("v")).first() == (
+            60_000, sum(range(60_000)), 60_000,
+        )
+        bad = [r for r in split.select("*").collect() if r["_corrupt_record"] or r.file_index != 1]
+        assert bad == []
+        assert tm.read_drops(spark, base, DATA, multiline=True).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set(size, before)
+
+
+def test_line_breaks_are_noted_when_drops_are_written(spark, tmp_path):
+    plain, broken = str(tmp_path / "p"), str(tmp_path / "b")
+    df = drops_of(spark, 10, hours=1)
+    tm.write_drops(df, plain)
+    tm.write_drops(df, broken)
+    late = df.withColumn("file_index", F.lit(9)).withColumn("v", F.lit("a\nb"))
+    tm.write_drops(late, broken)  # the note covers drops that are added later
+    for base, multiline in ((plain, False), (broken, True)):
+        assert (tmp_path / base / "_multiline").exists() is multiline
+        assert all(r["_corrupt_record"] is None for r in tm.read_drops(spark, base, DATA).collect())
+    assert tm.read_drops(spark, broken, DATA).filter("v = 'a\nb'").count() == 10
+
+
+def test_short_and_long_lines_are_malformed(spark, drop):
+    base = drop("2026-05-01-00", 1, [person(1), [2, "Bob"], person(3) + ["more"]])
+    df = tm.read_drops(spark, base).cache()
+    assert rows(df.filter("_corrupt_record IS NULL"), "id") == [(1,)]
+    assert rows(df.filter("_corrupt_record IS NOT NULL"), "id") == [(2,), (3,)]

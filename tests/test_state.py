@@ -324,3 +324,69 @@ def test_arrival_equals_a_fold_in_python(spark, tmp_path_factory, batches):
         state.apply(batch(spark, *arriving))
         want.update({r[0]: r for r in sorted(arriving, key=lambda r: r[3])})
     assert sorted(rows(state.read())) == sorted(want.values())
+
+
+def scans_of(df):
+    return plan_of(df).count("FileScan")
+
+
+def test_large_deltas_and_folds_scan_everything_once(spark, tmp_path):
+    state = make(spark, tmp_path / "s")
+    half = spark.range(4000).selectExpr("id", "uuid() AS v", "'h0' AS hour", "1 AS n")
+    state.apply(half)
+    state.apply(half.withColumn("hour", F.lit("h1")))
+    assert scans_of(state.read()) == 1  # base and delta in one scan
+    assert rows(state.read().groupBy("hour").count()) == [("h1", 4000)]
+    assert not state.fold_due()  # it is not much in bytes
+
+
+def test_a_fold_is_due_after_many_deltas(spark, tmp_path, monkeypatch):
+    from tidemark.plans import state as module
+
+    monkeypatch.setattr(module, "MAX_DELTAS", 3)
+    state = make(spark, tmp_path / "s")
+    assert not state.fold_due()
+    for h in range(4):
+        assert not state.fold_due()
+        state.apply(batch(spark, (h, "a", f"h{h}", 1)))
+    state.apply(batch(spark, (0, "z", "h9", 1)))
+    assert state.fold_due()
+    before = rows(state.read())
+    assert scans_of(state.read()) == 1
+    state.fold()
+    assert not state.fold_due() and rows(state.read()) == before
+    monkeypatch.setattr(module, "LEAST_BYTES", 1)
+    state.apply(spark.range(5000).selectExpr("id", "uuid() AS v", "'h9' AS hour", "1 AS n"))
+    assert state.fold_due()
+
+
+@pytest.mark.parametrize("mode", ["version", "arrival"])
+def test_many_batches_at_once_equal_one_after_the_other(spark, tmp_path, mode):
+    hours = ["h2", "h0", "h3", "h1"]  # in this order, and one of them without rows
+    data = [
+        (i % 13 if i % 10 else None, f"{h}.{i}", h, i % 3 if i % 7 else None)
+        for h in ("h2", "h0", "h1")
+        for i in range(len(h), 40)
+    ]
+    df = batch(spark, *data)
+    one, many = make(spark, tmp_path / "o", mode=mode), make(spark, tmp_path / "m", mode=mode)
+    for state in (one, many):
+        state.apply(batch(spark, (5, "first", "h1", 9)))
+    for hour in hours:
+        one.apply(df.filter(F.col("hour") == hour), label=hour)
+    many.apply_each(df, "hour", hours)
+    assert one.versions() == many.versions() == [0, 1, 2, 3, 4]
+    for version in one.versions():
+        assert rows(one.read(version)) == rows(many.read(version))
+    assert rows(one.audit()) == rows(many.audit())
+    for state in (one, many):
+        state.fold()
+        state.apply(batch(spark, (5, "last", "h9", 1)))
+    assert rows(one.read()) == rows(many.read()) and rows(one.audit()) == rows(many.audit())
+    assert many.versions() == list(range(7))
+    many.expire(keep=3)
+    assert many.versions() == [4, 5, 6] and rows(many.read(4)) == rows(one.read(4))
+    with pytest.raises(ValueError, match="no version 2"):
+        many.read(2)
+    many.apply_each(df.limit(0), "hour", [])
+    assert many.versions() == [4, 5, 6]

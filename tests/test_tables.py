@@ -132,3 +132,26 @@ def test_rows_per_hour(spark):
         ("2026-05-02-00", 1),
         (None, 1),
     ]
+
+
+def test_other_columns_never_leave_the_table_without_an_entry(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tm.table_load(spark.range(5), "load_swap", path)
+    wider = spark.range(2).withColumn("more", F.lit("x"))
+    sql, seen = type(spark).sql, []
+
+    def watched(self, text, *args, **options):
+        if "RENAME TO load_swap" in text and "_new" in text and not seen:
+            seen.append(text)
+            raise RuntimeError("lost")
+        return sql(self, text, *args, **options)
+
+    monkeypatch.setattr(type(spark), "sql", watched)
+    with pytest.raises(RuntimeError, match="lost"):
+        tm.table_load(wider, "load_swap", path)
+    assert spark.table("load_swap").count() == 5
+    tm.table_load(wider, "load_swap", path)
+    assert rows(spark.table("load_swap")) == [(0, "x"), (1, "x")]
+    left = [t.name for t in spark.catalog.listTables() if t.name.startswith("load_swap")]
+    assert left == ["load_swap"]
+    spark.sql("DROP TABLE load_swap")

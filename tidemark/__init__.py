@@ -22,9 +22,9 @@ from tidemark.operators.profile import preview, schema_profile
 from tidemark.operators.tables import partitioned_write, table_load, validate_row_counts
 from tidemark.plans.backfill import apply_hour, backfill, backfill_hourly
 from tidemark.plans.flow import TableSpec, run_flow
-from tidemark.plans.generate import generate_rows, write_drops
+from tidemark.plans.generate import generate_rows
 from tidemark.plans.state import CommitConflict, StateTable
-from tidemark.sources.drops import EMPLOYEE_SCHEMA, available_hours, read_drops
+from tidemark.sources.drops import EMPLOYEE_SCHEMA, available_hours, read_drops, write_drops
 from tidemark.sources.export import export_csv
 from tidemark.sources.typed import cast_columns, read_all_strings, read_csv, read_inferred
 from tidemark.streaming.upsert import stream_drops, upsert_stream

@@ -64,10 +64,28 @@ def table_load(df: DataFrame, table: str, path: str | None = None) -> int:
     if held is not None and held.simpleString() == df.schema.simpleString():
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{target}'")
         spark.catalog.refreshTable(table)
-    else:
-        # Other columns need another table; the files of the old one stay where they are.
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    elif held is None:
         spark.catalog.createTable(table, target, "parquet", df.schema)
+    else:
+        _swap(spark, table, target, df.schema)
     for old in loads[:-1]:
         files.delete_tree(spark, f"{root}/{old}")
     return written.get["n_rows"]
+
+
+def _swap(spark, table: str, target: str, schema) -> None:
+    """Other columns need another catalog entry.  It is made under a name of its own and takes
+    the table's by two renames; the old one, whose files stay, goes last.  A job that dies in
+    between leaves one of them under ``<table>_old`` or ``<table>_new``, with all its rows."""
+    plain = table.replace("`", "")
+    old, new = f"{plain}_old", f"{plain}_new"
+    for left_over in (old, new):
+        spark.sql(f"DROP TABLE IF EXISTS {left_over}")
+    spark.catalog.createTable(new, target, "parquet", schema)
+    spark.sql(f"ALTER TABLE {plain} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {plain}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {plain}")
+        raise
+    spark.sql(f"DROP TABLE {old}")

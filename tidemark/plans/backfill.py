@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -10,7 +10,10 @@ from pyspark.sql import types as T
 from tidemark.functions.labels import DROP_FILE_PATTERN
 from tidemark.operators.calendar import hour_labels
 from tidemark.plans.state import StateTable
-from tidemark.sources.drops import EMPLOYEE_SCHEMA, available_hours, read_drops
+from tidemark.sources.drops import EMPLOYEE_SCHEMA, PARTITION, available_hours, read_drops
+
+#: Hours that are read and written together; each is a version of its own all the same.
+AT_ONCE = 24 * 31
 
 _REPORT = T.StructType(
     [T.StructField("time_stamp", T.StringType()), T.StructField("missing", T.BooleanType())]
@@ -28,13 +31,18 @@ def apply_hour(
     hour: datetime,
     schema: T.StructType = EMPLOYEE_SCHEMA,
     pattern: str = DROP_FILE_PATTERN,
+    multiline: bool | None = None,
 ) -> dict | None:
     """Merge the drops of one hour; returns its audit counts, or None when the hour has
     no folder and is skipped."""
     label = hour_labels(hour, hour)[0]
     if not available_hours(state.spark, base, [label]):
         return None
-    return state.apply(read_drops(state.spark, base, schema, [label], pattern), label=label)
+    drops = read_drops(state.spark, base, schema, [label], pattern, multiline)
+    counts = state.apply(drops, label=label)
+    if state.fold_due():
+        state.fold()
+    return counts
 
 
 def backfill(
@@ -44,6 +52,7 @@ def backfill(
     end: datetime | None = None,
     schema: T.StructType = EMPLOYEE_SCHEMA,
     pattern: str = DROP_FILE_PATTERN,
+    multiline: bool | None = None,
 ) -> DataFrame:
     """All hours from ``start`` to ``end`` in one pass: one scan, one merge, one version.
 
@@ -59,7 +68,7 @@ def backfill(
     present = available_hours(state.spark, base, wanted)
     if present:
         hours = None if wanted is None else present
-        drops = read_drops(state.spark, base, schema, hours, pattern)
+        drops = read_drops(state.spark, base, schema, hours, pattern, multiline)
         state.apply(drops, label=f"{present[0]}..{present[-1]}")
     return _report(state, present if wanted is None else wanted, present)
 
@@ -71,16 +80,25 @@ def backfill_hourly(
     end: datetime,
     schema: T.StructType = EMPLOYEE_SCHEMA,
     pattern: str = DROP_FILE_PATTERN,
+    multiline: bool | None = None,
+    at_once: int = AT_ONCE,
 ) -> DataFrame:
     """The hours one after the other, ascending, one version each.
 
     This is what an hourly schedule does, and the only way to fill a state in arrival
     mode.  Returns the same report as ``backfill``.
+
+    What an hour brings does not depend on the state, only what is published after what does.
+    So the newest rows of up to ``at_once`` hours are found by one scan and one shuffle, and
+    their versions published in order.  A fold that is due comes after these, as a version of
+    its own.  A back-fill that died is run again from any hour up to the last published one.
     """
     wanted = hour_labels(start, end)
-    present = []
-    for number, label in enumerate(wanted):
-        hour = start + timedelta(hours=number)
-        if apply_hour(state, base, hour, schema, pattern) is not None:
-            present.append(label)
+    present = available_hours(state.spark, base, wanted)
+    for first in range(0, len(present), at_once):
+        hours = present[first : first + at_once]
+        drops = read_drops(state.spark, base, schema, hours, pattern, multiline)
+        state.apply_each(drops, PARTITION, hours)
+        if state.fold_due():
+            state.fold()
     return _report(state, wanted, present)

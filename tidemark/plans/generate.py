@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.draws import draw_decimal, draw_integer, draw_item, row_digest
 from tidemark.sources.drops import FILE_INDEX, PARTITION
-from tidemark.sources.export import CSV_WRITE
 
 # What the drops may contain.
 NAMES = [
@@ -49,18 +48,3 @@ def generate_rows(hours: DataFrame, seed: int = 0) -> DataFrame:
             FILE_INDEX,
         )
     )
-
-
-def write_drops(rows: DataFrame, base: str) -> None:
-    """Write drops as CSV that ``read_drops`` reads back.
-
-    Spark names its own files, so the file number becomes a folder below the hour.
-    Every task writes its own part of a folder: give it rows that are grouped by hour
-    and file, as ``generate_rows`` makes them, or rebalanced on those columns.
-    """
-    (
-        rows.write.mode("errorifexists")
-        .options(**CSV_WRITE)
-        .partitionBy(PARTITION, FILE_INDEX)
-        .csv(base)
-    )

@@ -3,7 +3,7 @@
 Layout under ``root``::
 
     data/attempt=<version>-<id>/part-*.parquet
-    commits/<version>.json
+    commits/<version>.json          publishes this version and those up to the next commit
 
 A batch is reduced to its newest row per key and written as it is, as a *delta*: what an
 ``apply`` writes is in proportion to the batch, however large the table.  Its commit names the
@@ -29,6 +29,12 @@ from tidemark.sources.drops import CORRUPT
 
 ATTEMPT = "attempt"
 
+#: Rows of a batch that one task writes, where many batches are written together.
+ROWS_PER_FILE = 4_000_000
+#: A fold is due beyond so many deltas, or when they make up so much of the base.  A delta below
+#: a block of the file system is not worth one.
+MAX_DELTAS, MAX_SHARE, LEAST_BYTES = 64, 1 / 4, 128 * 2**20
+
 BATCH_COUNTS = (
     "incoming_rows",
     "rejected_rows",
@@ -43,13 +49,17 @@ _AUDIT_SCHEMA = T.StructType(
 )
 _COMMIT_SCHEMA = T.StructType(
     [
-        *_AUDIT_SCHEMA.fields[:7],
+        T.StructField("batches", T.ArrayType(T.StructType(_AUDIT_SCHEMA.fields[:7]))),
         T.StructField("folded", T.BooleanType()),
         T.StructField("history", T.ArrayType(_AUDIT_SCHEMA)),
     ]
 )
 
 
+#: Of the newest rows per key, those that a state takes.
+_USABLE = "__rejected = 0"
+
+
 class CommitConflict(RuntimeError):
     """Another writer published the version this one was about to publish."""
 
@@ -100,25 +110,26 @@ class StateTable:
 
     def versions(self) -> list[int]:
         """Versions that can be read, ascending: published and not expired."""
-        published = self._numbers("commits")
-        expired = self._numbers("expired")
-        return [v for v in published if not expired or v >= expired[-1]]
+        commits = self._numbers("commits")
+        if not commits:
+            return []
+        first = max(self._numbers("expired"), default=commits[0])
+        return list(range(first, self._load(commits[-1])["version"] + 1))
 
     def _numbers(self, folder: str) -> list[int]:
-        entries = files.listing(self.spark, f"{self.root}/{folder}")
-        return sorted(
-            int(e.name.removesuffix(".json")) for e in entries if e.name.endswith(".json")
-        )
+        found = files.names(self.spark, f"{self.root}/{folder}")
+        return sorted(int(n.removesuffix(".json")) for n in found if n.endswith(".json"))
 
     def exists(self) -> bool:
-        return bool(self.versions())
+        return bool(self._numbers("commits"))
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of ``version`` (default: the newest).
 
-        Rows of the base whose key is in no delta pass as they are; the others meet the
-        deltas.  How the keys of the deltas reach the base is left to Catalyst, which knows
-        their size: a few are broadcast, and the base is not shuffled.
+        Where the deltas are small beside the base, rows of the base whose key is in no delta
+        pass as they are and the others meet the deltas.  Their keys are broadcast by Catalyst,
+        so the base is not shuffled, at the price of a second scan.  Otherwise base and deltas
+        go through one grouping, with one scan and one shuffle of either.
         """
         head = self._commit(version)
         if head is None:
@@ -126,13 +137,31 @@ class StateTable:
         base, *deltas = head["parts"]
         if not deltas:
             return self._scan([base]).select(*self._columns())
+        if self._much_is_new(head):
+            return self._newest(self._scan(head["parts"]))
         old, new = self._scan([base]), self._scan(deltas)
         touched = new.select(*self._key_columns()).distinct()
         same = same_keys(self.keys, self.null_keys == "match")
         untouched = old.alias("l").join(touched.alias("r"), same, "left_anti")
         met = old.alias("l").join(touched.alias("r"), same, "left_semi")
-        newest = latest_per_key(union_merge(met, new), self.keys, self._order(), self.tiebreak)
-        return union_merge(untouched.select(*self._columns()), newest.select(*self._columns()))
+        return union_merge(untouched.select(*self._columns()), self._newest(union_merge(met, new)))
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        newest = latest_per_key(rows, self.keys, self._order(), self.tiebreak)
+        return newest.select(*self._columns())
+
+    @staticmethod
+    def _much_is_new(head: dict) -> bool:
+        base, *deltas = head["sizes"]
+        return len(deltas) > MAX_DELTAS or sum(deltas) > MAX_SHARE * base
+
+    def fold_due(self) -> bool:
+        """Whether reading merges so much that ``fold`` is worth its shuffle."""
+        head = self._commit()
+        if head is None or not self._much_is_new(head):
+            return False
+        deltas = head["sizes"][1:]
+        return len(deltas) > MAX_DELTAS or sum(deltas) >= LEAST_BYTES
 
     def _order(self) -> list[str]:
         return self.version if self.mode == "version" else [ATTEMPT]
@@ -144,18 +173,30 @@ class StateTable:
         return [F.col(f"`{name}`") for name in self.keys]
 
     def _commit(self, version: int | None = None) -> dict | None:
-        known = self.versions()
-        if version is None:
-            if not known:
-                return None
-            version = known[-1]
-        elif version not in known:
+        commits = self._numbers("commits")
+        if version is not None and version not in self.versions():
             raise ValueError(f"no version {version} in {self.root}")
-        head = json.loads(files.read_text(self.spark, self._commit_path(version)))
+        if not commits:
+            return None
+        head = self._load(max(n for n in commits if version is None or n <= version))
+        if version is not None and (later := head["version"] - version):
+            head["version"] = version
+            head["parts"], head["sizes"] = head["parts"][:-later], head["sizes"][:-later]
+        return head
+
+    def _load(self, number: int) -> dict:
+        head = json.loads(files.read_text(self.spark, self._commit_path(number)))
         if head["keys"] != self.keys:
             raise ValueError(f"{self.root} was created with keys {head['keys']}")
         return head
 
+    def _commits_of(self, parts: list[str]) -> list[str]:
+        """The commits that published them, in their order."""
+        commits = self._numbers("commits")
+        versions = [int(part.partition("-")[0]) for part in parts]
+        numbers = {max(n for n in commits if n <= version) for version in versions}
+        return [self._commit_path(n) for n in sorted(numbers)]
+
     def _commit_path(self, version: int) -> str:
         return f"{self.root}/commits/{version:010d}.json"
 
@@ -183,15 +224,57 @@ class StateTable:
         if stream is not None:
             name, number = stream
             if streams.get(name, -1) >= number:
-                return {count: head[count] for count in BATCH_COUNTS}
+                return {count: head["batches"][-1][count] for count in BATCH_COUNTS}
             streams[name] = number
         version = head["version"] + 1 if head else 0
         attempt = self._attempt(version)
         counts = self._write_latest(batch, f"{self.root}/data/{ATTEMPT}={attempt}")
         parts = [*(head["parts"] if head else []), attempt]
-        self._publish(version, label, counts, parts, streams)
+        sizes = [*(head["sizes"] if head else []), self._size(attempt)]
+        self._publish(version, label, counts, parts, streams, sizes)
         return counts
 
+    def apply_each(self, batches: DataFrame, by: str, order: Sequence[str]) -> None:
+        """Publish one version per value of column ``by``, in the order given, which holds all
+        of them: like an ``apply`` for each, but by one pass over ``batches`` and one commit.
+        Column ``by`` may be one of the schema's."""
+        if not order:
+            return
+        head = self._commit() or {"version": -1, "parts": [], "sizes": [], "streams": {}}
+        first = head["version"] + 1
+        attempts = {label: self._attempt(first + i) for i, label in enumerate(order)}
+        staged = files.scratch_path(self.spark, "batches")
+        rows = batches.withColumn("__batch", F.col(f"`{by}`"))
+        self._tallied(rows, ["__batch"]).write.parquet(staged)
+        newest = self.spark.read.parquet(staged)
+        found = newest.groupBy("__batch").agg(*self._tallies()).collect()  # a row per batch
+        counts = {row["__batch"]: {name: row[name] for name in BATCH_COUNTS} for row in found}
+        counts = {label: counts.get(label, dict.fromkeys(BATCH_COUNTS, 0)) for label in order}
+        names = self.spark.createDataFrame(list(attempts.items()), f"__batch string, {ATTEMPT} string")
+        # A batch is a file per so many rows.
+        files_each = 1 + max(count["latest_rows"] for count in counts.values()) // ROWS_PER_FILE
+        key_hash = F.xxhash64(*self._key_columns())
+        data = f"{self.root}/data"
+        before = files.total_size(self.spark, data) if head["parts"] else 0
+        (
+            newest.filter(_USABLE)
+            .join(names, "__batch")
+            .select(*self._columns(), ATTEMPT)
+            .repartition(files.writers(self.spark), ATTEMPT, F.pmod(key_hash, F.lit(files_each)))
+            .write.mode("append")
+            .partitionBy(ATTEMPT)
+            .parquet(data)
+        )
+        empty = [label for label in order if not counts[label]["latest_rows"]]
+        files.make_dirs(self.spark, [f"{data}/{ATTEMPT}={attempts[label]}" for label in empty])
+        # Each batch's bytes are its share by rows.
+        rows_in = sum(count["latest_rows"] for count in counts.values())
+        a_row = (files.total_size(self.spark, data) - before) / max(rows_in, 1)
+        sizes = [int(count["latest_rows"] * a_row) for count in counts.values()]
+        parts, sizes = [*head["parts"], *attempts.values()], [*head["sizes"], *sizes]
+        (label, count), *later = counts.items()
+        self._publish(first, label, count, parts, head["streams"], sizes, later=later)
+
     def fold(self, label: str | None = "fold") -> None:
         """Publish the rows of the newest version as a new base, so that reading need not
         merge the deltas so far.  One shuffle of the table; run it now and then."""
@@ -201,13 +284,19 @@ class StateTable:
         version = head["version"] + 1
         attempt = self._attempt(version)
         history = [row.asDict() for row in self.audit().orderBy("version").collect()]
-        self.read().write.parquet(f"{self.root}/data/{ATTEMPT}={attempt}")
+        self._newest(self._scan(head["parts"])).write.parquet(
+            f"{self.root}/data/{ATTEMPT}={attempt}"
+        )
         counts = dict.fromkeys(BATCH_COUNTS, 0)
-        self._publish(version, label, counts, [attempt], head["streams"], history)
+        sizes = [self._size(attempt)]
+        self._publish(version, label, counts, [attempt], head["streams"], sizes, history)
 
     def _attempt(self, version: int) -> str:
         return f"{version:010d}-{uuid.uuid4().hex[:12]}"
 
+    def _size(self, attempt: str) -> int:
+        return files.total_size(self.spark, f"{self.root}/data/{ATTEMPT}={attempt}")
+
     def _write_latest(self, batch: DataFrame, path: str) -> dict[str, int]:
         """Newest row per key of the batch; returns the counts of the batch.
 
@@ -215,6 +304,13 @@ class StateTable:
         the stage that writes them, the only kind of stage whose metrics Spark counts
         once however often a lost executor makes it run tasks again.
         """
+        seen = Observation()
+        newest = self._tallied(batch).observe(seen, *self._tallies())
+        newest.filter(_USABLE).select(*self._columns()).write.parquet(path)
+        return dict(seen.get)
+
+    def _tallied(self, batch: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+        """The newest row per key (and ``by``) with the counts of the rows it stands for."""
         missing, unversioned = F.lit(False), F.lit(False)
         for key in self.keys:
             missing = missing | F.col(f"`{key}`").isNull()
@@ -224,6 +320,7 @@ class StateTable:
         typed = batch.select(
             *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self.schema.fields],
             corrupt.alias("__corrupt"),
+            *by,
         )
         tally = {
             "__incoming": F.lit(True),
@@ -231,29 +328,34 @@ class StateTable:
             "__unversioned": unversioned,
             "__malformed": F.col("__corrupt"),
         }
-        newest = latest_per_key(typed, self.keys, self.version, self.tiebreak, tally=tally)
-        usable = F.col("__rejected") == 0
-        sums = (*[F.sum(name) for name in tally], F.count_if(usable))
-        seen = Observation()
-        newest.observe(
-            seen,
-            *[F.coalesce(s, F.lit(0)).cast("bigint").alias(n) for n, s in zip(BATCH_COUNTS, sums)],
-        ).filter(usable).select(*self._columns()).write.parquet(path)
-        return dict(seen.get)
-
-    def _publish(self, version, label, counts, parts, streams, history=None) -> None:
+        return latest_per_key(typed, [*by, *self.keys], self.version, self.tiebreak, tally=tally)
+
+    def _tallies(self) -> list[Column]:
+        sums = [F.sum(f"__{name.removesuffix('_rows')}") for name in BATCH_COUNTS[:-1]]
+        return [
+            F.coalesce(s, F.lit(0)).cast("bigint").alias(name)
+            for name, s in zip(BATCH_COUNTS, [*sums, F.count_if(F.expr(_USABLE))])
+        ]
+
+    def _publish(self, first, label, counts, parts, streams, sizes=(), history=None, later=()):
+        """One commit for version ``first`` and, with the labels and counts of ``later``, for
+        those that follow it."""
+        named = [
+            {"version": first + i, "label": label, **counts}
+            for i, (label, counts) in enumerate([(label, counts), *later])
+        ]
         commit = {
-            "version": version,
-            "label": label,
-            **counts,
+            "version": named[-1]["version"],
+            "batches": named,
             "folded": history is not None,
             "history": history or [],
             "keys": self.keys,
             "streams": streams,
             "parts": parts,
+            "sizes": list(sizes),
         }
-        if not files.create_text(self.spark, self._commit_path(version), json.dumps(commit)):
-            raise CommitConflict(f"version {version} of {self.root} is taken")
+        if not files.create_text(self.spark, self._commit_path(first), json.dumps(commit)):
+            raise CommitConflict(f"version {first} of {self.root} is taken")
 
     # -- looking back --------------------------------------------------------------
 
@@ -267,12 +369,10 @@ class StateTable:
         head = self._commit()
         if head is None:
             return self.spark.createDataFrame([], _AUDIT_SCHEMA)
-        commits = self.spark.read.schema(_COMMIT_SCHEMA).json(
-            [self._commit_path(int(part.partition("-")[0])) for part in head["parts"]]
-        )
+        commits = self.spark.read.schema(_COMMIT_SCHEMA).json(self._commits_of(head["parts"]))
         counted = (
             commits.filter(~F.col("folded"))
-            .select("version", "label", *BATCH_COUNTS)
+            .select(F.inline("batches"))
             .join(self._moves(head["parts"]), "version", "left")
         )
         before = Window.orderBy("version").rowsBetween(Window.unboundedPreceding, -1)
@@ -294,9 +394,7 @@ class StateTable:
 
     def _base_rows(self, parts: list[str]) -> int:
         """Rows of a base that a fold made; one that is a batch itself counts as a batch."""
-        first = json.loads(
-            files.read_text(self.spark, self._commit_path(int(parts[0].partition("-")[0])))
-        )
+        first = json.loads(files.read_text(self.spark, self._commits_of(parts[:1])[0]))
         return self._scan(parts[:1]).count() if first["folded"] else 0
 
     def _moves(self, parts: list[str]) -> DataFrame:
@@ -338,7 +436,9 @@ class StateTable:
             return
         files.create_text(self.spark, f"{self.root}/expired/{kept[0]:010d}.json", "{}")
         needed = {part for version in kept for part in self._commit(version)["parts"]}
-        for entry in files.listing(self.spark, f"{self.root}/data"):
-            attempt = entry.name.removeprefix(f"{ATTEMPT}=")
-            if attempt not in needed and int(attempt.partition("-")[0]) <= kept[0]:
-                files.delete_tree(self.spark, f"{self.root}/data/{entry.name}")
+        for name in files.names(self.spark, f"{self.root}/data"):
+            attempt = name.removeprefix(f"{ATTEMPT}=")
+            if not name.startswith(ATTEMPT) or attempt in needed:
+                continue
+            if int(attempt.partition("-")[0]) <= kept[0]:
+                files.delete_tree(self.spark, f"{self.root}/data/{name}")

@@ -29,15 +29,16 @@ def stream_drops(
     schema: T.StructType = EMPLOYEE_SCHEMA,
     pattern: str = DROP_FILE_PATTERN,
     max_files: int = 1000,
+    multiline: bool | None = None,
 ) -> DataFrame:
-    """Drops as a stream of files, with the columns of ``read_drops``.
+    """Drops as a stream of files, with the columns of ``read_drops`` and its ``multiline``.
 
     Spark leaves out files that are much older than the newest it has seen.  Late and copied
     drops may have any age, so the limit is set beyond the first day of file times.
     """
     scan = (
         spark.readStream.schema(reader_schema(schema))
-        .options(**reader_options())
+        .options(**reader_options(spark, base.rstrip("/"), multiline))
         .option("maxFilesPerTrigger", max_files)
         .option("maxFileAge", NO_AGE_LIMIT)
         .csv(base)
@@ -63,6 +64,8 @@ def upsert_stream(
         identity = json.loads(files.read_text(state.spark, metadata))["id"]
         label = f"{name or checkpoint}#{number}"
         state.apply(batch, label=label, stream=(identity, number))
+        if state.fold_due():
+            state.fold()
 
     return (
         drops.writeStream.foreachBatch(merge)
