@@ -78,3 +78,24 @@ def test_the_pipeline_removes_short_repeats(spark):
     assert got[1] == rows[0][1]
     assert got[2] == "\nsecond text"  # one edit from 32 characters on
     assert got[3] == rows[2][1]  # none below
+
+
+def test_the_greatest_id_and_missing_ones(spark):
+    text = "the very same line"
+    rows = [(LAST, text), (None, text), (None, text), (LAST - 1, "another line\n" + text)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dedup_lines(df, short_lines=True).collect()
+    left = sorted(((r.doc_id is None, r.doc_id), r.text) for r in got)
+    # Of equal rows all are decided alike: the line stands in an earlier document.
+    assert left == [
+        ((False, LAST - 1), f"another line\n{text}"), ((False, LAST), ""), ((True, None), ""), ((True, None), ""),
+    ]
+
+
+def test_very_long_and_periodic_lines(spark):
+    rows = [(i, line) for i, line in enumerate(["-" * n for n in range(1, 80)])]
+    rows += [(100, "ab" * 50_000), (101, "ab" * 50_000 + "c"), (102, "xy" + "ab" * 50_000 + "cd")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in dedup_lines(df, short_lines=True).filter("text != ''").collect()}
+    # Of 32 to 47 characters one edit removes a line, from 48 on two do.
+    assert kept == {*range(32), 100, 102}

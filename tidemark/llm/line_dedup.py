@@ -12,7 +12,7 @@ and two edits that is one edit from 32 characters on, and none, equal lines only
 Equal lines meet through a 128-bit hash, reduced before the shuffle, so a line on every page
 is one row per task.  Every distinct line is cut into threshold-plus-one segments; two lines
 within the threshold share one of them, near its place.  Segments are indexed by number and
-content.  A line probes, for every length up to ``threshold`` below its own, the substrings
+content; the last one is longer where the length asks for it.  A line probes, for every length up to ``threshold`` below its own, the substrings
 that can still be that segment when all edits before it and after it are counted
 (length-aware, multi-match-aware selection).  Lines that meet another one are fetched, once
 each; pairs of them are made where the counts of their letters allow the threshold, which is
@@ -20,9 +20,9 @@ part of the join, so the many lines that differ by a word or two from a common o
 rows.  What is left is verified by a bit-parallel edit distance over the band of
 2 * threshold + 1 diagonals.
 
-A null text stays null, an empty one empty; a null id comes after all others, and the
-greatest 64-bit number is taken for one.  Rows equal in
-id and text are decided alike, both keep the line that counts as first.  Several texts of one
+A null text stays null, an empty one empty; a null id comes after all others.  Rows equal in
+id and text are decided alike, both keep the line that counts as first.  A line of any length is
+compared whole.  Several texts of one
 id are ordered by a hash of the text.  An empty table gives an empty result.  Columns may have
 any names; those not named here are carried along only when asked for.
 """
@@ -43,40 +43,45 @@ MIN_CHARS = 48
 #: Classes of letters that are counted to tell lines apart before their texts are compared.
 LETTERS = [*"etaoinsrhldu", "cmEAO", "pgbfTSI", "vkwyjxqz", " ", ".,;:!?"]
 
-_LAST_ID = (1 << 63) - 1
+def index_places(threshold: int) -> list[tuple[int, int, int]]:
+    """The segments of a line: their number, from 1, and nothing else."""
+    return [(i, 0, 0) for i in range(1, threshold + 2)]
 
 
-def _segment(length: Column, number: int, parts: int) -> tuple[Column, Column]:
-    """Start (from 0) and size of a segment of a line of that length; the last are longer."""
-    base, rest = F.floor(length / parts), F.pmod(length, F.lit(parts))
-    long_from = parts - rest  # segments beyond so many have one character more
-    start = (number - 1) * base + F.greatest(F.lit(0), F.lit(number - 1) - long_from)
-    return start, base + F.when(F.lit(number) > long_from, 1).otherwise(0)
-
-
-def _key(line: Column, number: int, start: Column, size: Column, band: int = 0) -> Column:
-    part = F.substring(line, (start + 1).cast("int"), size.cast("int"))
-    return F.xxhash64(F.lit(1000 * band + number), part)
+def probe_places(threshold: int) -> list[tuple[int, int, int]]:
+    """The substrings that can be a segment of a line no longer than this one: the number of the
+    segment, how much shorter that line is, and how far the substring is moved from the place
+    the segment has in it."""
+    parts, places = threshold + 1, []
+    for shorter in range(threshold + 1):
+        for i in range(1, parts + 1):
+            low = max(-(i - 1), shorter - (parts - i))
+            high = min(i - 1, shorter + (parts - i))
+            places += [(i, shorter, shift) for shift in range(low, high + 1)]
+    return places
 
 
-def index_keys(line: Column, threshold: int, band: int = 0) -> Column:
-    """Keys of the segments of a line."""
-    length, parts = F.length(line), threshold + 1
-    numbers = range(1, parts + 1)
-    return F.array(*[_key(line, i, *_segment(length, i, parts), band) for i in numbers])
+def segment_sizes(length: Column, bands: list[tuple[int, int, int]]) -> dict[str, Column]:
+    """Columns that keys are made from: the size of the segments of a line so much shorter.  They
+    are worked out first, for the code of all keys has to be short enough to be compiled."""
+    return {
+        f"base_{edits}_{shorter}": F.floor((length - shorter) / (edits + 1)).cast("int")
+        for edits, *_ in bands
+        for shorter in range(edits + 1)
+    }
 
 
-def probe_keys(line: Column, threshold: int, band: int = 0) -> Column:
-    """Keys of the substrings that can be a segment of a line no longer than this one."""
-    length, parts = F.length(line), threshold + 1
+def place_keys(
+    line: Column, length: Column, places: list[tuple[int, int, int]], threshold: int, band: int
+) -> Column:
+    """A hash of the substring at every place; the last segment has what the others leave."""
     keys = []
-    for shorter in range(threshold + 1):
-        for i in range(1, parts + 1):
-            start, size = _segment(length - shorter, i, parts)
-            low = max(-(i - 1), shorter - (parts - i))
-            high = min(i - 1, shorter + (parts - i))
-            keys += [_key(line, i, start + shift, size, band) for shift in range(low, high + 1)]
-    return F.array_distinct(F.array(*keys))
+    for i, shorter, shift in places:
+        base = F.col(f"base_{threshold}_{shorter}")
+        size = length - shorter - threshold * base if i > threshold else base
+        part = F.substring(line, (i - 1) * base + (shift + 1), size)
+        keys.append(F.xxhash64(F.lit(1000 * band + i), part))
+    return F.array(*keys)
 
 
 def edit_bands(threshold: int, min_chars: int, short_lines: bool) -> list[tuple[int, int, int]]:
@@ -93,23 +98,25 @@ def edit_bands(threshold: int, min_chars: int, short_lines: bool) -> list[tuple[
 
 
 def line_keys(
-    line: Column, bands: list[tuple[int, int, int]], short_lines: bool
-) -> tuple[Column, Column, Column]:
-    """Keys of the index, how many there are, and keys of further probes.  A line is indexed in
-    the band of its own length and probes every band that has lines it may be close to."""
-    if not short_lines:
-        edits = bands[0][0]
-        index = index_keys(line, edits)
-        return index, F.lit(edits + 1), F.array_except(probe_keys(line, edits), index)
-    none, length = F.array().cast("array<bigint>"), F.length(line)
-    index, count, probes = none, F.lit(0), []
+    line: Column, length: Column, bands: list[tuple[int, int, int]]
+) -> tuple[Column, Column]:
+    """The number of index keys, and an array of those and of further probes.  A line is indexed
+    in the band of its own length and probes every band that has lines it may be close to.  A
+    line that repeats itself may have a key twice."""
+    none = F.array().cast("array<bigint>")
+    count, keys = F.lit(0), []
     for band, (edits, least, stop) in enumerate(bands):
+        index, probes = index_places(edits), probe_places(edits)
+        further = [place for place in probes if place not in index]
         inside = (length >= least) & (length < stop)
-        index = F.when(inside, index_keys(line, edits, band)).otherwise(index)
         count = F.when(inside, edits + 1).otherwise(count)
-        near = (length >= least) & (length < stop + edits if band else F.lit(True))
-        probes.append(F.when(near, probe_keys(line, edits, band)).otherwise(none))
-    return index, count, F.array_except(F.concat(*probes), index)
+        found = F.when(inside, place_keys(line, length, index + further, edits, band))
+        if band:  # lines of the band above that are longer by a few characters
+            beyond = (length >= stop) & (length < stop + edits)
+            found = found.when(beyond, place_keys(line, length, probes, edits, band))
+        # Lines beyond a band are indexed in the one above, whose keys stand first.
+        keys.append(found.otherwise(none))
+    return count, F.concat(*keys)
 
 
 def letter_counts(line: Column) -> Column:
@@ -240,29 +247,30 @@ def dedup_lines(
 
     def compared(line):
         long_enough = F.length(line) >= min_chars
-        return long_enough | line.rlike(r"\S") if short_lines else long_enough
+        return long_enough | line.rlike(r"[^ \t-\r]") if short_lines else long_enough
 
     kept_columns = [id_col] if keep is None else keep
+    # A missing id comes after all others, whatever they are.
     keyed = [
-        F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST_ID)).alias("id"),
+        F.col(id_col).isNull().alias("none"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"),
         F.xxhash64(text_col).alias("of"),
     ]
+    text_key = ["none", "id", "of"]
     rows = df.select(*keyed, F.col(text_col).alias("text"))
     lines = (
-        rows.select("id", "of", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+        rows.select(*text_key, F.posexplode(F.split("text", "\n")).alias("at", "line"))
         .filter(compared(F.col("line")))
+        .withColumn("size", F.length("line"))
+        .withColumns(segment_sizes(F.col("size"), bands))
     )
-    first = F.struct("id", "of", "at")
+    first = F.struct(*text_key, "at")
     hashes = [F.xxhash64("line").alias("h"), F.xxhash64(F.lit("second"), "line").alias("g")]
     # One array holds the keys of the index and then those of further probes: the rows of this
     # shuffle are what the join costs most of.
-    index, cut, probes = line_keys(F.col("line"), bands, short_lines)
+    cut, keys = line_keys(F.col("line"), F.col("size"), bands)
     hashed = lines.select(
-        *hashes,
-        first.alias("first"),
-        F.length("line").alias("size"),
-        cut.alias("cut"),
-        F.concat(index, probes).alias("keys"),
+        *hashes, first.alias("first"), "size", cut.alias("cut"), keys.alias("keys")
     )
     distinct = hashed.groupBy("h", "g").agg(
         F.min("first").alias("first"),
@@ -287,7 +295,7 @@ def dedup_lines(
     indexed = meeting(own, other, -ahead).unionByName(meeting(own, own, F.abs(ahead))).distinct()
     met = stage(
         indexed.withColumn("indexed", F.lit(True)).unionByName(
-            meeting(other, own, ahead).withColumn("indexed", F.lit(False))
+            meeting(other, own, ahead).distinct().withColumn("indexed", F.lit(False))
         ),
         "line_keys",
     )
@@ -298,8 +306,8 @@ def dedup_lines(
     # and the last step.
     placed = distinct.select("h", "g", "first").join(met.select("h").distinct(), "h")
     texts = (
-        placed.select("h", "g", "first", "first.id", "first.of", "first.at")
-        .join(rows, ["id", "of"])
+        placed.select("h", "g", "first", "first.*")
+        .join(rows, text_key)
         .select("h", "g", "first", F.get(F.split("text", "\n"), F.col("at")).alias("line"))
         .dropDuplicates(["h", "g"])
         .withColumn("letters", letter_counts(F.col("line")))
@@ -324,12 +332,12 @@ def dedup_lines(
     staying = (
         distinct.select("h", "g", "first")
         .join(later, ["h", "g"], "left_anti")
-        .groupBy("first.id", "first.of")
+        .groupBy("first.none", "first.id", "first.of")
         .agg(F.collect_list("first.at").alias("places"))  # of one text
     )
     if kept_columns == [id_col]:
-        # The same three columns as above, so that the texts are shuffled once for both uses.
-        whole, row = rows, F.struct(F.nullif(F.col("id"), F.lit(_LAST_ID)).alias(id_col))
+        # The same columns as above, so that the texts are shuffled once for both uses.
+        whole, row = rows, F.struct(F.when(~F.col("none"), F.col("id")).alias(id_col))
     else:
         columns, row = [F.col(f"`{c}`") for c in kept_columns], F.col("row")
         whole = df.select(*keyed, F.struct(*columns).alias("row"), F.col(text_col).alias("text"))
@@ -340,7 +348,7 @@ def dedup_lines(
     n_compared = F.size(F.filter("lines", compared))
     counted = F.when(F.col("lines").isNull(), 0).otherwise(n_compared).cast("long")
     return (
-        whole.join(staying, ["id", "of"], "left")
+        whole.join(staying, text_key, "left")
         .select(row.alias("row"), "places", F.split("text", "\n").alias("lines"))
         .select(
             "row",

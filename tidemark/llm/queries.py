@@ -52,12 +52,8 @@ def op2_sketch_join(spark, sf_dir):
 
 
 def op3_line_dedup(spark, sf_dir):
-    """Every document without the lines that stand earlier, up to two edits."""
-    return dedup_lines(_table(spark, sf_dir, "documents"))
-
-
-def op3_all_lines(spark, sf_dir):
-    """The same over lines of any length, blank ones aside; short ones up to fewer edits."""
+    """Every document without the lines that stand earlier: up to two edits from 48 characters
+    on, one from 32, and equal ones of any length, blank ones aside."""
     return dedup_lines(_table(spark, sf_dir, "documents"), short_lines=True)
 
 
@@ -148,7 +144,6 @@ def queries():
         "op1_line_crf": op1_line_crf,
         "op2_sketch_join": op2_sketch_join,
         "op3_line_dedup": op3_line_dedup,
-        "op3_all_lines": op3_all_lines,
         "op4_url_rules": op4_url_rules,
         "op5_interleave": op5_interleave,
         "op6_nbsvm": op6_nbsvm,
@@ -262,7 +257,7 @@ _LINE_DEDUP = r"""
     split AS (
         SELECT doc_id, text, unnest(range(len(s))) AS place, unnest(s) AS line
         FROM (SELECT doc_id, text, string_split(text, chr(10)) AS s FROM documents)),
-    compared AS (SELECT * FROM split WHERE length(line) >= 48),
+    compared AS (SELECT * FROM split WHERE regexp_matches(line, '[^\x09-\x0D ]')),
     first_of AS (
         SELECT line, translate(line, any_value(src), any_value(dst)) AS coded,
                min({'d': doc_id, 'p': place}) AS f, length(line) AS n
@@ -270,15 +265,18 @@ _LINE_DEDUP = r"""
     gone AS (
         SELECT DISTINCT a.line FROM first_of a JOIN first_of b
         ON b.n BETWEEN a.n - 2 AND a.n + 2 AND b.f < a.f
-        WHERE levenshtein(a.coded, b.coded) <= 2),
+        WHERE a.n >= 32 AND b.n >= 32 AND levenshtein(a.coded, b.coded)
+              <= CASE WHEN least(a.n, b.n) >= 48 THEN 2 ELSE 1 END),
     stays AS (SELECT f.d AS doc_id, f.p AS place FROM first_of ANTI JOIN gone USING (line)),
     marked AS (
-        SELECT split.*, length(line) >= 48 AS is_long, stays.place IS NOT NULL AS kept
+        SELECT split.*, regexp_matches(line, '[^\x09-\x0D ]') AS is_compared,
+               stays.place IS NOT NULL AS kept
         FROM split LEFT JOIN stays ON stays.doc_id = split.doc_id AND stays.place = split.place),
     judged AS (
-        SELECT doc_id, count(*) FILTER (is_long) AS n_lines,
-               count(*) FILTER (is_long AND NOT kept) AS n_removed,
-               string_agg(line, chr(10) ORDER BY place) FILTER (NOT is_long OR kept) AS left_over
+        SELECT doc_id, count(*) FILTER (is_compared) AS n_lines,
+               count(*) FILTER (is_compared AND NOT kept) AS n_removed,
+               string_agg(line, chr(10) ORDER BY place) FILTER (NOT is_compared OR kept)
+                   AS left_over
         FROM marked GROUP BY doc_id)
     SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
            CASE WHEN text IS NOT NULL THEN coalesce(left_over, '') END AS text
