@@ -11,8 +11,8 @@ and two edits that is one edit from 32 characters on, and none, equal lines only
 
 Equal lines meet through a 128-bit hash, reduced before the shuffle, so a line on every page
 is one row per task.  Every distinct line is cut into threshold-plus-one segments; two lines
-within the threshold share one of them, near its place.  Segments are indexed by number and
-content; the last one is longer where the length asks for it.  A line probes, for every length up to ``threshold`` below its own, the substrings
+within the threshold share one of them, near its place.  Segments are indexed by number, content
+and the length of their line; the last one is longer where the length asks for it.  A line probes, for every length up to ``threshold`` below its own, the substrings
 that can still be that segment when all edits before it and after it are counted
 (length-aware, multi-match-aware selection).  Lines that meet another one are fetched, once
 each; pairs of them are made where the counts of their letters allow the threshold, which is
@@ -74,13 +74,14 @@ def segment_sizes(length: Column, bands: list[tuple[int, int, int]]) -> dict[str
 def place_keys(
     line: Column, length: Column, places: list[tuple[int, int, int]], threshold: int, band: int
 ) -> Column:
-    """A hash of the substring at every place; the last segment has what the others leave."""
+    """A hash of the substring at every place, of the length of the line it is looked for in and
+    of the segment's number; the last segment has what the others leave."""
     keys = []
     for i, shorter, shift in places:
         base = F.col(f"base_{threshold}_{shorter}")
         size = length - shorter - threshold * base if i > threshold else base
         part = F.substring(line, (i - 1) * base + (shift + 1), size)
-        keys.append(F.xxhash64(F.lit(1000 * band + i), part))
+        keys.append(F.xxhash64(F.lit(1000 * band + i), length - shorter, part))
     return F.array(*keys)
 
 
@@ -270,32 +271,28 @@ def dedup_lines(
     # shuffle are what the join costs most of.
     cut, keys = line_keys(F.col("line"), F.col("size"), bands)
     hashed = lines.select(
-        *hashes, first.alias("first"), "size", cut.alias("cut"), keys.alias("keys")
+        *hashes, first.alias("first"), cut.alias("cut"), keys.alias("keys")
     )
     distinct = hashed.groupBy("h", "g").agg(
         F.min("first").alias("first"),
-        F.first("size").alias("size"),
         F.first("cut").alias("cut"),
         F.first("keys").alias("keys"),
     )
 
     index = F.slice(F.col("keys"), F.lit(1), F.col("cut"))
-    own = distinct.select("h", "size", F.explode(index).alias("key"))
+    own = distinct.select("h", F.explode(index).alias("key"))
     rest = F.slice(F.col("keys"), F.col("cut") + 1, F.size("keys"))
-    other = distinct.select("h", "size", F.explode(rest).alias("key"))
+    other = distinct.select("h", F.explode(rest).alias("key"))
 
-    def meeting(left: DataFrame, right: DataFrame, gap: Column) -> DataFrame:
+    def meeting(left: DataFrame, right: DataFrame) -> DataFrame:
         # Rows that meet another line under their key, each once however many it meets.
         met = (F.col("p.key") == F.col("s.key")) & (F.col("p.h") != F.col("s.h"))
-        return left.alias("p").join(
-            right.alias("s"), met & gap.between(0, threshold), "left_semi"
-        )
+        return left.alias("p").join(right.alias("s"), met, "left_semi")
 
-    ahead = F.col("p.size") - F.col("s.size")
-    indexed = meeting(own, other, -ahead).unionByName(meeting(own, own, F.abs(ahead))).distinct()
+    indexed = meeting(own, other).unionByName(meeting(own, own)).distinct()
     met = stage(
         indexed.withColumn("indexed", F.lit(True)).unionByName(
-            meeting(other, own, ahead).distinct().withColumn("indexed", F.lit(False))
+            meeting(other, own).distinct().withColumn("indexed", F.lit(False))
         ),
         "line_keys",
     )
@@ -310,25 +307,33 @@ def dedup_lines(
         .join(rows, text_key)
         .select("h", "g", "first", F.get(F.split("text", "\n"), F.col("at")).alias("line"))
         .dropDuplicates(["h", "g"])
-        .withColumn("letters", letter_counts(F.col("line")))
+        .withColumns({"size": F.length("line"), "letters": letter_counts(F.col("line"))})
     )
     probing = met.join(texts, "h")
     fits = (
         (F.col("p.key") == F.col("s.key"))
         & (F.col("p.h") != F.col("s.h"))
         & F.col("s.indexed")
-        & ahead.between(0, threshold)
+        & (F.col("p.size") - F.col("s.size")).between(0, threshold)
         & may_be_close(F.col("p.letters"), F.col("s.letters"), threshold)
     )
-    close = F.lit(False)
-    for edits, least, stop in reversed(bands):  # by the length of the shorter line
-        inside = (F.col("s.size") >= least) & (F.col("s.size") < stop)
-        close = F.when(inside, edit_close(F.col("p.line"), F.col("s.line"), edits)).otherwise(close)
-    linked = probing.alias("p").join(probing.alias("s"), fits).filter(close)
+    # A pair that meets under several keys, or either way round, is verified once.
     p_later = F.col("p.first") > F.col("s.first")
-    later = linked.select(
-        *[F.when(p_later, F.col(f"p.{c}")).otherwise(F.col(f"s.{c}")).alias(c) for c in ("h", "g")]
+    sides = {"later": ("p", "s"), "earlier": ("s", "p")}
+    pairs = probing.alias("p").join(probing.alias("s"), fits).select(
+        F.least("p.size", "s.size").alias("size"),
+        *[
+            F.when(p_later, F.col(f"{x}.{c}")).otherwise(F.col(f"{y}.{c}")).alias(f"{side}_{c}")
+            for side, (x, y) in sides.items()
+            for c in ("h", "g", "line")
+        ],
     )
+    pairs = pairs.dropDuplicates(["later_h", "later_g", "earlier_h", "earlier_g"])
+    close = F.lit(False)
+    for edits, least, stop in reversed(bands):  # by the length of the shorter line
+        inside = (F.col("size") >= least) & (F.col("size") < stop)
+        close = F.when(inside, edit_close(F.col("later_line"), F.col("earlier_line"), edits)).otherwise(close)
+    later = pairs.filter(close).select(F.col("later_h").alias("h"), F.col("later_g").alias("g"))
     staying = (
         distinct.select("h", "g", "first")
         .join(later, ["h", "g"], "left_anti")
