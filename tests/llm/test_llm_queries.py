@@ -171,7 +171,7 @@ def test_stages_equal_plain_versions(spark, tables):
     stay = {d for d, _, c in component if d is not None and c == d}
     got = near.collect()
     assert sorted(r.doc_id for r in got if r.doc_id is not None) == sorted(stay)
-    assert [r for r in got if r.doc_id is None] == [r for r in before if r.doc_id is None]
+    assert not [r for r in got if r.doc_id is None]  # it is a copy of a document with an id
 
     # Benchmark passages.
     def clean(text):

@@ -48,7 +48,7 @@ def op1_line_crf(spark, sf_dir):
 def op2_sketch_join(spark, sf_dir):
     """Groups of near copies: four-word shingles, Jaccard similarity of 85 in 100."""
     found = near_duplicates(_table(spark, sf_dir, "documents"), Similarity(4, 85, 100))
-    return found.drop("text_hash")
+    return found.drop("text_hash", "component_text")
 
 
 def op3_line_dedup(spark, sf_dir):

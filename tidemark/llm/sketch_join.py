@@ -24,8 +24,8 @@ proportion to their size, and no link between different texts is lost.
 Shingles are compared by 64-bit hashes, sets for equality by a 128-bit digest.  A null text,
 or one without words, has an empty set and is linked with nothing; with fewer words than a
 shingle has, the whole sequence is the one shingle.  Rows that repeat an id are rows of their
-own; one without an id names no component: copies of it are known by the ids of the others, and
-if no row of a set has an id, its component is null.  An empty table gives an empty result.
+own; those without an id are linked like others, and their links lead on; where no row of a
+component has one, its id is null.  Texts are compared whole, whatever their length.  An empty table gives an empty result.
 Columns other than the two named ones are not read.
 """
 
@@ -487,7 +487,9 @@ def near_duplicates(
     text_col: str = "text",
 ) -> DataFrame:
     """Per row: the id, ``n_shingles``, ``component_id``, the smallest id that links lead to,
-    and ``text_hash`` (xxhash64), which tells rows of one id apart."""
+    ``text_hash`` (xxhash64), which tells rows of one id apart, and ``component_text``, that of
+    the component's first row: with ``component_id`` it names a component even where no row of
+    it has an id."""
     spark = df.sparkSession
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     hashed = rows.select("id", F.xxhash64("text").alias("text_hash"), "text")
@@ -514,7 +516,7 @@ def near_duplicates(
     sets = stage(
         known.filter(F.col("set").isNotNull())
         .groupBy("set", "node", "size", "sketch", "brief")
-        .agg(F.min("id").alias("least")),
+        .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("least")),
         "sets",
     )
     # A set sends about 2 t' (1 / t + 1) entries per shingle, t' = (1 - t) / (1 + t).
@@ -555,10 +557,13 @@ def near_duplicates(
     pairs = stage(_sift(stars, sets, how).distinct(), "star_pairs")
 
     # Texts of all sets that agreed with another one, each fetched once, from the row with
-    # the least id; another text of that id has another digest.
+    # the least id, or where no row of a set has one, from one row per text without an id.
     agreeing = agreed.select("node").distinct()
-    wanted = sets.join(agreeing, "node", "left_semi").select(
-        "set", "node", F.col("least").alias("id")
+    wanted = sets.join(agreeing, "node", "left_semi").select("set", "node", "least.*")
+    anonymous = hashed.filter(F.col("id").isNull()).groupBy("text_hash").agg(F.first("text").alias("text"))
+    fetched = hashed.join(wanted.filter(~F.col("none")), ["id", "text_hash"]).select("set", "node", "text")
+    fetched = fetched.unionByName(
+        anonymous.join(wanted.filter("none"), "text_hash").select("set", "node", "text")
     )
 
     def make_check():
@@ -573,7 +578,7 @@ def near_duplicates(
         return work
 
     texts = map_batches(
-        rows.join(wanted, "id").select("set", "node", "text"),
+        fetched,
         make_check,
         "set binary, node long, text string",
     )
@@ -600,17 +605,18 @@ def near_duplicates(
         sets.join(roots, sets["set"] == roots["node"], "left")
         .select("set", F.coalesce("root", "set").alias("root"), "least")
     )
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    component = named.join(least, "root").select("set", "component_id")
+    least = named.groupBy("root").agg(F.min("least").alias("first"))
+    component = named.join(least, "root").select("set", "first")
+    alone = F.struct(F.lit(False).alias("none"), "id", "text_hash")
     return (
         known.select("id", "text_hash", "size", "set")
         .join(component, "set", "left")
+        .withColumn("first", F.when(F.col("set").isNull(), alone).otherwise(F.col("first")))
         .select(
             F.col("id").alias(id_col),
             F.col("size").alias("n_shingles"),
-            F.when(F.col("set").isNull(), F.col("id"))
-            .otherwise(F.col("component_id"))
-            .alias("component_id"),
+            F.col("first.id").alias("component_id"),
             "text_hash",
+            F.col("first.text_hash").alias("component_text"),
         )
     )
