@@ -1,8 +1,8 @@
 """From documents to tokens: quality, line dedup, near copies, benchmark passages, encoding.
 
 Every stage takes what its predecessor kept and returns the columns of documents; the last one
-returns tokens.  Rows without an id pass the near-copy stage, as no id can stand for them;
-rows equal in id and text are one document there.  A text that a stage shortens gets a new
+returns tokens.  Rows without an id are near copies like others; rows equal in id and text are
+one document to that stage.  A text that a stage shortens gets a new
 ``n_chars`` where that column exists.
 """
 
@@ -52,17 +52,23 @@ def line_dedup(spark, docs, sf_dir):
 
 
 def near_copies(spark, docs, sf_dir):
-    """One document of every group of near copies, that of the smallest id."""
+    """One document of every group of near copies, that of the smallest id, and of several texts
+    of that id the first by a hash of the text."""
+
+    def key(id_col, text_hash):
+        none, known = F.col(id_col).isNull(), F.coalesce(F.col(id_col), F.lit(0))
+        return [none.alias("none"), known.alias("id"), text_hash.alias("of")]
+
     found = near_duplicates(docs.select("doc_id", "text"), Similarity(5, 80, 100))
-    others = (
-        found.filter(F.col("component_id") != F.col("doc_id"))
-        .select("doc_id", F.col("text_hash").alias("hash of text"))
-        .distinct()
+    first = F.col("component_id").eqNullSafe(F.col("doc_id")) & (
+        F.col("component_text") == F.col("text_hash")
     )
-    keys = ["doc_id", "hash of text"]
-    hashed = docs.withColumn("hash of text", F.xxhash64("text"))
-    return hashed.join(others, keys, "left_anti").dropDuplicates(keys).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
+    others = found.filter(~first).select(*key("doc_id", F.col("text_hash"))).distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.select(row, *key("doc_id", F.xxhash64("text")))
+    names = ["none", "id", "of"]
+    return keyed.join(others, names, "left_anti").dropDuplicates(names).select(
+        *[F.col(f"row.`{c}`").alias(c) for c in docs.columns]
     )
 
 
