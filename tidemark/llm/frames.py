@@ -48,6 +48,10 @@ def drawn_texts(rows: DataFrame, chosen: DataFrame) -> DataFrame:
     )
 
 
+#: Rows of an Arrow batch that are Python objects at one time.
+SLICE_ROWS = 512
+
+
 def map_batches(
     df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: str
 ) -> DataFrame:
@@ -63,10 +67,13 @@ def map_batches(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            columns = {name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)}
-            out = work(columns)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[field.name], type=field.type) for field in target], schema=target
-            )
+            for start in range(0, len(batch), SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                names = enumerate(part.schema.names)
+                out = work({name: part.column(i).to_pylist() for i, name in names})
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out[field.name], type=field.type) for field in target],
+                    schema=target,
+                )
 
     return df.mapInArrow(run, schema)

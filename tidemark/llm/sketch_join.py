@@ -45,14 +45,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components, stage
-from tidemark.llm.frames import map_batches
+from tidemark.llm.frames import SLICE_ROWS, map_batches
 
 #: Entries of the segment table that one group of keys holds on average.
 GROUP_ENTRIES = 1_000_000
 #: How often a document with too many empty segments is dealt anew.
 LEVELS = 4
 #: Rows of entries that a task gathers before it sends them.
-FLUSH_ENTRIES = 2_000_000
+FLUSH_ENTRIES = 1_000_000
 #: 64-bit words of the brief sketch.
 BRIEF_WORDS = 8
 
@@ -303,7 +303,9 @@ def _entries(how: Similarity, groups: int):
         seen: set[bytes] = set()
         held, size = [], 0
         for batch in batches:
-            for shingles in how.shingle_sets(batch.column(0).to_pylist()):
+            texts = batch.column(0)
+            slices = (texts.slice(i, SLICE_ROWS).to_pylist() for i in range(0, len(texts), SLICE_ROWS))
+            for shingles in (found for part in slices for found in how.shingle_sets(part)):
                 if not len(shingles):
                     continue
                 digest = set_digest(shingles)
@@ -415,7 +417,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, how: Similarity, by: str) -> D
         texts.select(F.col(by).alias(x), F.col("set").alias(f"{x}_set"), F.col("text").alias(f"{x}_text"))
         for x in ("a", "b")
     )
-    both = pairs.join(second, "b").join(first, "a").select("a_set", "b_set", "a_text", "b_text")
+    # Never by broadcast: Catalyst would go by the size of the files, and near copies are many
+    # times smaller there than in memory.
+    both = pairs.join(second.hint("merge"), "b").join(first.hint("merge"), "a")
+    both = both.select("a_set", "b_set", "a_text", "b_text")
 
     def make():
         last: dict[bytes, np.ndarray] = {}

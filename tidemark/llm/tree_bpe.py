@@ -28,8 +28,11 @@ from tidemark.llm.frames import map_batches
 LEAF_BYTES = 12
 #: Leaves and seam windows of at most so many bytes are remembered: they come again and again.
 MEMO_BYTES = 12
-#: Encodings kept per worker; when full it starts anew, so memory stays bounded.
-CACHE_SIZE = 600_000
+#: Encodings kept per worker and kind; when full they start anew.  Workers outlive their tasks and
+#: stand beside the executor's heap, so this is some 30 MB a kind.
+CACHE_SIZE = 100_000
+#: Matches of the split pattern whose ids are kept; these save most.
+PIECES = 200_000
 
 
 class TreeBpe:
@@ -54,7 +57,7 @@ class TreeBpe:
             if found is None:
                 found = self.encode(piece.encode())
                 if len(piece) <= 64:
-                    if len(cache) >= CACHE_SIZE:
+                    if len(cache) >= PIECES:
                         cache.clear()
                     cache[piece] = found
             ids += found
