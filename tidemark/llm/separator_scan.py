@@ -12,6 +12,7 @@ Files may open every document with its id (``head`` tokens, see ``write_token_fi
 head of the document after a separator is read with that separator, past the block's end if
 need be.
 
+A text of any length is tokenised whole, one of nothing but white space as well.
 A null or empty text is a document of no tokens; a null id stays null.  Repeated rows are
 documents of their own.  An empty file has no documents; a last document without a separator
 counts if it has any token.  Files need an address that Spark and the file systems of pyarrow
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import stage
+from tidemark.llm.tree_bpe import tokenizer
 
 #: Bytes per block; a task holds one at a time.
 BLOCK_BYTES = 8 << 20
@@ -51,6 +54,26 @@ def _encoding(path: str, pattern: str):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+#: White space beyond so many characters in a row is too much for the library's regular expressions,
+#: which go down a level for each.
+LONG_SPACE = 10_000
+
+
+@functools.cache
+def _long_space():
+    return re.compile(rf"\s{{{LONG_SPACE}}}")
+
+
+def token_ids(text: str | None, vocabulary: str, pattern: str) -> list[int]:
+    """Tokens of a text as the library gives them, for white space of any length."""
+    if not text:
+        return []
+    if len(text) >= LONG_SPACE and _long_space().search(text):
+        findall, bpe = tokenizer(vocabulary, pattern)
+        return bpe.encode_text(findall(text))
+    return _encoding(vocabulary, pattern).encode_ordinary(text)
+
+
 def head_tokens(doc_id: int | None) -> list[int]:
     if doc_id is None:
         return [_NO_ID] * HEAD
@@ -80,11 +103,10 @@ def write_token_files(
     marker = int(separator).to_bytes(2, "little").decode("latin-1")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = _encoding(vocabulary, pattern)
         for batch in batches:
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encoding.encode_ordinary(text) if text else []
+                ids = token_ids(text, vocabulary, pattern)
                 out.append(np.array(head_tokens(doc_id) + ids, dtype="<u2").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(out, type=pa.binary())], names=["tokens"])
 
