@@ -12,8 +12,8 @@ chain covers more.  Templates of a few words share their openings, so they need
 ``min_share`` of the words from its first to its last.  Where overlapping chains of different labels cover equally much, the words
 decide that one template has and the other has not: the one of which fewer are missing stays,
 and neither does when as many are missing of both.  A stretch that stands in several whole
-texts gets the labels of all of them.  Base phrases give their labels wherever
-they stand.
+texts gets the labels of all of them.  A notice beside a word that only another
+licence has (``VETO``) gives no label.  Base phrases give their labels wherever they stand.
 
 Words are runs of a-z, 0-9 and characters beyond ASCII after lower-casing A-Z.  A null or
 empty text has no words, no places, empty labels and score 0.  Repeated rows are judged
@@ -23,7 +23,9 @@ whole, whatever its length.
 
 from __future__ import annotations
 
+import bisect
 import functools
+import itertools
 import pkgutil
 
 from pyspark.sql import DataFrame
@@ -102,10 +104,51 @@ TEMPLATES = [
         "This work is licensed under a Creative Commons Attribution-ShareAlike license",
     ),
     ("cc0", "To the extent possible under law, the author has waived all copyright"),
+    (
+        "cc-by-nd",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives license",
+    ),
+    (
+        "cc-by-nc-sa",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike"
+        " license",
+    ),
+    (
+        "cc-by-nc-nd",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives"
+        " license",
+    ),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
+    ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
+    ("cc-by-nd", "Licensed under CC BY-ND 4.0."),
+    ("cc-by-nc-sa", "Licensed under CC BY-NC-SA 4.0."),
+    ("cc-by-nc-nd", "Licensed under CC BY-NC-ND 4.0."),
+    ("gpl", "Licensed under the GNU General Public License v3.0"),
+    ("mit", "SPDX-License-Identifier: MIT"),
+    ("apache-2", "SPDX-License-Identifier: Apache-2.0"),
+    ("bsd", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("bsd", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("gpl", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("gpl", "SPDX-License-Identifier: GPL-2.0-only"),
+    ("lgpl", "SPDX-License-Identifier: LGPL-3.0-or-later"),
+    ("agpl", "SPDX-License-Identifier: AGPL-3.0-or-later"),
+    ("mpl-2", "SPDX-License-Identifier: MPL-2.0"),
     ("all-rights-reserved", "All rights reserved. No part of this work may be reproduced"),
 ]
 
+# Words that a notice of the licence does not have: beside it they name another one.
+_NC, _ND = {b"nc", b"noncommercial"}, {b"nd", b"noderivatives", b"noderivs"}
+_SA = {b"sa", b"sharealike"}
+VETO = {
+    "cc-by": frozenset(_NC | _ND | _SA),
+    "cc-by-nc": frozenset(_ND | _SA),
+    "cc-by-sa": frozenset(_NC | _ND),
+    "cc-by-nd": frozenset(_NC | _SA),
+    "cc-by-nc-sa": frozenset(_ND),
+    "cc-by-nc-nd": frozenset(_SA),
+    "gpl": frozenset({b"lesser", b"library", b"affero"}),
+}
+
 # Files of whole licence texts: label, and after a dot the version where one label has several.
 WHOLE_TEXTS = (
     "apache-2 artistic bsd cc0 gfdl.1-2 gfdl.1-3 gpl.1 gpl.2 gpl.3 isc lgpl.2 lgpl.2-1 lgpl.3"
@@ -198,6 +241,31 @@ class SuffixAutomaton:
         return found
 
 
+Span = tuple[int, int, int, int]  # words covered, template, first word, past the last word
+
+
+def _uncovered(spans: list[Span]) -> list[Span]:
+    """Licences share wording: where chains overlap, the one that covers more counts.  Chains are
+    taken up by what they cover, and each is looked for among the stretches kept before, which
+    are disjoint and sorted, so the time grows with the number of chains, not with its square."""
+    kept: list[Span] = []
+    starts: list[int] = []
+    stops: list[int] = []
+    for _, equal in itertools.groupby(sorted(spans, reverse=True), key=lambda x: x[0]):
+        fresh = []
+        for span in equal:
+            at = bisect.bisect_right(stops, span[2])  # the first stretch that ends beyond its start
+            if at == len(stops) or starts[at] >= span[3]:
+                fresh.append(span)
+        kept += fresh
+        for _, _, first, stop in fresh:
+            low, high = bisect.bisect_left(stops, first), bisect.bisect_right(starts, stop)
+            if low < high:
+                first, stop = min(first, starts[low]), max(stop, stops[high - 1])
+            starts[low:high], stops[low:high] = [first], [stop]
+    return kept
+
+
 class LicenceScanner:
     def __init__(self, templates, phrases, min_run, max_gap, min_share, bodies=()):
         self.notices = len(templates)  # whole texts have the numbers from here on
@@ -246,6 +314,25 @@ class LicenceScanner:
         its = self.vocabularies[rival] - self.vocabularies[number] - here
         return len(own) >= len(its) and bool(own)
 
+    def _supported(self, spans: list[Span], words: list[bytes]) -> list[Span]:
+        """Without the spans that give way to an equal one they overlap, or that stand beside a
+        word that only another licence has."""
+        loses, active = set(), []
+        ordered = sorted(spans, key=lambda x: (x[2], x[3]))
+        for span in ordered:
+            active = [o for o in active if span[2] < o[3]]
+            for other in active:  # as many as templates match here
+                loses |= {a for a, b in ((span, other), (other, span)) if self._gives_way(a, b, words)}
+            active.append(span)
+        return [s for s in ordered if s not in loses and not self._vetoed(s, words)]
+
+    def _vetoed(self, span: Span, words: list[bytes]) -> bool:
+        _, number, first, stop = span
+        if number >= self.notices:
+            return False
+        strange = VETO.get(self.labels[number], frozenset())
+        return not strange.isdisjoint(words[first : stop + 2])
+
     def spans(self, words: list[bytes]) -> list[tuple[str, int, int, float]]:
         """Chains of long matches: label, first word, past the last word, covered share."""
         chains: dict[int, list[list[int]]] = {}  # template: [first, stop, last in it, covered]
@@ -271,22 +358,7 @@ class LicenceScanner:
             for first, stop, _, covered in own
             if covered >= self._needed(number, first, stop)
         ]
-        kept: list[tuple[int, int, int, int]] = []
-        for span in sorted(long_enough, key=lambda x: (-x[0], x[1], x[2])):
-            _, _, first, stop = span
-            # Licences share wording: where chains overlap, the one that covers more counts.
-            beaten = (o[0] > span[0] and o[2] < stop and first < o[3] for o in kept)
-            if not any(beaten):
-                kept.append(span)
-        kept = [
-            span
-            for span in kept
-            if not any(
-                o[2] < span[3] and span[2] < o[3] and self._gives_way(span, o, words)
-                for o in kept
-                if o is not span
-            )
-        ]
+        kept = self._supported(_uncovered(long_enough), words)
         return [
             (self.labels[number], first, stop, min(1.0, covered / self._of(number, first, stop)))
             for covered, number, first, stop in sorted(kept, key=lambda x: (x[2], x[1]))
