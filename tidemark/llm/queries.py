@@ -14,7 +14,7 @@ from tidemark.llm.mixture import mix
 from tidemark.llm.separator_scan import scan_token_files, write_token_files
 from tidemark.llm.sketch_join import Similarity, near_duplicates
 from tidemark.llm.tree_bpe import round_trip_digests
-from tidemark.llm.url_rules import MIN_CONFIDENCE, MIN_COUNT, MIN_SUPPORT, filter_urls
+from tidemark.llm.url_rules import MIN_CONFIDENCE, MIN_COUNT, filter_urls
 from tidemark.sources.files import scratch_path
 
 #: For texts in several languages; the id after its last one is free and ends documents.
@@ -298,6 +298,9 @@ _URL_RULES = rf"""
                list_filter(string_split({_LOWER.format("path")}, '/'), lambda x: x != '') AS segs,
                regexp_extract(url, '^[^?#]*\?([^#]*)', 1) AS query
         FROM split),
+    bared AS (
+        SELECT *, regexp_replace(host,
+            '^(?:(?:www[0-9]*|m|mobile|amp|wap|blog)\.)+([^.]+\.)', '\1') AS bare FROM listed),
     described AS (
         SELECT page_id, host, path, CASE WHEN host = '' THEN [] ELSE list_filter([
                    'scheme=' || {_LOWER.format("split_part(url, '://', 1)")},
@@ -306,6 +309,7 @@ _URL_RULES = rf"""
                                    THEN array_to_string(names[-2:], '.') ELSE '' END,
                    'sub=' || CASE WHEN len(names) > 2
                                   THEN array_to_string(names[:-3], '.') ELSE '' END,
+                   'host=' || CASE WHEN len(string_split(bare, '.')) > 2 THEN bare ELSE '' END,
                    'first=' || coalesce(segs[1], ''),
                    'extension=' || regexp_extract(low, '\.([a-z0-9]{{1,8}})$', 1),
                    'depth=' || len(segs),
@@ -313,7 +317,7 @@ _URL_RULES = rf"""
                        string_split(query, '&'), lambda x: split_part(x, '=', 1)))), ','),
                    'fragment=' || CASE WHEN contains(url, '#') THEN 'yes' ELSE '' END],
                    lambda x: NOT ends_with(x, '=')) END AS tokens
-        FROM listed),
+        FROM bared),
     stated AS (
         SELECT *, CASE
             WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com'))
@@ -336,8 +340,7 @@ _URL_RULES = rf"""
         FROM (SELECT *, unnest(range(1, 1 << len(tokens))) AS mask FROM labelled)),
     mined AS (
         SELECT part FROM labelled_parts GROUP BY part
-        HAVING count(*) FILTER (bad) >= greatest(
-                   {MIN_COUNT}, ceil({MIN_SUPPORT} * (SELECT count(*) FROM labelled)))
+        HAVING count(*) FILTER (bad) >= {MIN_COUNT}
            AND count(*) FILTER (bad) >= {MIN_CONFIDENCE} * count(*)),
     sets AS (SELECT DISTINCT tokens FROM stated WHERE rule IS NULL),
     met AS (

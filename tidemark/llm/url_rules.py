@@ -29,8 +29,8 @@ from tidemark.llm.frames import lower_ascii
 from tidemark.sources.files import scratch_path
 
 #: A combination must stand in so many blocked URLs, however many there are.  A share of the
-#: labelled URLs can be asked for as well; MIN_SUPPORT is the one that the SQL states.
-MIN_SUPPORT, MIN_COUNT = 0.001, 20
+#: labelled URLs can be asked for as well.
+MIN_COUNT = 20
 MIN_CONFIDENCE = 0.6
 
 # The stated rules, host and path prefix, with their verdicts.
@@ -107,28 +107,45 @@ def mine(
     """Block rules from rows of ``tokens`` and ``blocked``: ``antecedent`` (sorted),
     ``confidence``, ``support``.  A rule is dropped when a part of it is as sure."""
     spark = labelled.sparkSession
-    items = labelled.select(
+    empty = "antecedent array<string>, confidence double, support double"
+    staged = scratch_path(spark, "url_transactions")
+    rows = labelled.select(F.monotonically_increasing_id().alias("row"), "tokens", "blocked")
+    rows.write.parquet(staged)
+    rows = spark.read.schema(rows.schema).parquet(staged)
+    total = rows.count()
+    if not total:
+        return spark.createDataFrame([], empty)
+    least = max(min_count, math.ceil(min_support * total))
+    # A rule needs each of its tokens in as many blocked URLs as itself.  The others go first, so
+    # what mining holds follows the blocked URLs and not the whole table.
+    each = rows.select("row", "blocked", F.explode("tokens").alias("token"))
+    frequent = each.groupBy("token").agg(F.count_if("blocked").alias("n")).filter(F.col("n") >= least)
+    kept = each.join(frequent.select("token"), "token", "left_semi")
+    items = kept.groupBy("row", "blocked").agg(F.collect_list("token").alias("tokens"))
+    items = items.select(
         F.when(F.col("blocked"), F.array_append("tokens", F.lit(_BLOCK)))
         .otherwise(F.col("tokens"))
         .alias("items")
     )
-    staged = scratch_path(spark, "url_transactions")
+    staged = scratch_path(spark, "url_items")
     items.write.parquet(staged)
     items = spark.read.schema(items.schema).parquet(staged)
-    total = items.count()
-    empty = "antecedent array<string>, confidence double, support double"
-    if not total:
+    mined = items.count()
+    if not mined:
         return spark.createDataFrame([], empty)
-    least = max(min_count, math.ceil(min_support * total))
     growth = FPGrowth(
         itemsCol="items",
-        minSupport=min(1.0, (least - 0.5) / total),  # so that rounding cannot move the count
+        minSupport=min(1.0, (least - 0.5) / mined),  # so that rounding cannot move the count
         minConfidence=min_confidence,
     )
     rules = (
         growth.fit(items)
         .associationRules.filter(F.array_contains("consequent", _BLOCK))
-        .select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
+        .select(
+            F.array_sort("antecedent").alias("antecedent"),
+            "confidence",
+            (F.col("support") * (mined / total)).alias("support"),
+        )
     )
     # Pruning: shorter rules reach longer ones through their first token, every rule being
     # looked up under each of its tokens.
@@ -210,7 +227,10 @@ def filter_urls(
     )
     mined = mine(rows.join(judged, "id"), min_support, min_count, min_confidence)
     matched = match(rows.filter(F.col("rule").isNull()), mined)
-    judged_rows = rows.join(matched, "tokens", "left")
+    # Only undecided pages are dealt by their tokens.
+    undecided = F.col("rule").isNull() & (F.size("tokens") > 0)
+    decided = rows.filter(~undecided).withColumn("confidence", F.lit(None).cast("double"))
+    judged_rows = rows.filter(undecided).join(matched, "tokens", "left").unionByName(decided)
     blocked = F.col("stated").isNull() & F.col("confidence").isNotNull()
     return judged_rows.select(
         F.col("id").alias(id_col),
