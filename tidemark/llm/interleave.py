@@ -12,8 +12,10 @@ moved up by what lies in the ranges before, which is a running sum over the sqrt
 A source with a third of all rows is spread over all its ranges.
 
 A null text has size 8 and checksum 0; a null source is a source of its own; a null id hashes
-like the empty text.  Rows equal in id, size and checksum are interchangeable, so the result
-is the same whatever their order.  An empty table gives an empty result.  Other columns are
+like the empty text.  Rows equal in source, id, size and checksum are interchangeable: they are
+counted in the tasks that read them and get the ranks that follow one another, so neither an id
+on a third of all rows nor a text on as many is more than one row per task until the ranks are
+there, by which such rows are then spread.  An empty table gives an empty result.  Other columns are
 not read.  Equal texts are not kept together: this law counts rows, and one group of copies
 may be larger than a shard.
 """
@@ -29,6 +31,8 @@ from tidemark.sources.files import scratch_path
 
 SHARDS = 24
 SEED = 5
+#: Rows of a group of equal ones that a task makes at a time.
+PORTION = 10_000
 
 
 def shard_rows(
@@ -43,31 +47,34 @@ def shard_rows(
     ``shard``, ``slot`` (from 0, gapless within the shard) and ``grown_shard`` (null)."""
     spark = df.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    seeded = F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    alike = ["source", "id", "size", "crc"]
     rows = df.select(
-        F.col(id_col).cast("long").alias("id"),
-        (F.octet_length(text) + 8).cast("long").alias("size"),
-        F.crc32(text).alias("crc"),
         # A null source is apart from every text, the empty one included.
         F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")).alias(
             "source"
         ),
-        F.md5(seeded).alias("key"),
+        F.col(id_col).cast("long").alias("id"),
+        (F.octet_length(text) + 8).cast("long").alias("size"),
+        F.crc32(text).alias("crc"),
+    )
+    seeded = F.concat_ws(
+        "|", F.lit(str(seed)), F.coalesce(F.col("id").cast("string"), F.lit("")), "size", "crc"
     )
     # The texts are read once; what follows works on these few bytes per row.
+    groups = rows.groupBy(*alike).agg(F.count(F.lit(1)).alias("m")).withColumn("key", F.md5(seeded))
     staged = scratch_path(spark, "interleave")
-    rows.write.parquet(staged)
-    rows = spark.read.schema(rows.schema).parquet(staged)
-    total = rows.count()
+    groups.write.parquet(staged)
+    groups = spark.read.schema(groups.schema).parquet(staged)
+    total = groups.agg(F.sum("m")).first()[0] or 0
     ranges = max(1, math.isqrt(total))
 
     hashed = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
-    rows = rows.withColumn("span", F.shiftright(hashed * F.lit(ranges).cast("long"), 32))
+    groups = groups.withColumn("span", F.shiftright(hashed * F.lit(ranges).cast("long"), 32))
     per_source = Window.partitionBy("source")
     before = per_source.orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
     spans = (
-        rows.groupBy("source", "span")
-        .agg(F.count(F.lit(1)).alias("n"))
+        groups.groupBy("source", "span")
+        .agg(F.sum("m").alias("n"))
         .select(
             "source",
             "span",
@@ -77,8 +84,21 @@ def shard_rows(
     )
     order = [F.col(name).asc_nulls_first() for name in ("key", "id", "size", "crc")]
     within = Window.partitionBy("source", "span").orderBy(*order)
-    rank = F.col("before") + F.row_number().over(within)
-    ranked = rows.join(spans, ["source", "span"]).withColumn(
+    earlier = F.sum("m").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    first = F.col("before") + earlier - F.col("m")
+    # A group's rows are made in portions of some thousands, dealt out before.
+    portions = F.sequence(F.lit(0).cast("long"), F.col("m") - 1, F.lit(PORTION).cast("long"))
+    ranked = (
+        groups.join(spans, ["source", "span"])
+        .withColumn("first", first)
+        .select(*alike, "key", "of", "m", "first", F.explode(portions).alias("from"))
+    )
+    many = ranked.filter(F.col("m") > PORTION).repartition("from", "first")
+    ranked = ranked.filter(F.col("m") <= PORTION).unionByName(many)
+    last = F.least(F.col("m"), F.col("from") + PORTION) - 1
+    ranked = ranked.withColumn("nth", F.explode(F.sequence("from", last)))
+    rank = F.col("first") + F.col("nth") + 1
+    ranked = ranked.withColumn(
         "share", (2 * rank - 1).cast("double") / (2 * F.col("of")).cast("double")
     )
 

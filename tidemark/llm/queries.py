@@ -194,14 +194,17 @@ _INTERLEAVE = f"""
         SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 8 AS size,
                list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
                               lambda h: CAST('0x' || h AS BIGINT)) AS bytes,
-               coalesce('=' || source, '') AS source,
-               md5('{SEED}|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+               coalesce('=' || source, '') AS source
         FROM documents),
-    summed AS (
-        SELECT doc_id, size, source, key,
+    checked AS (
+        SELECT doc_id, size, source,
                xor(list_reduce(bytes, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]),
                                CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT)) AS crc
         FROM rows_of, crc_table),
+    summed AS (
+        SELECT *, md5('{SEED}|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || size || '|' || crc)
+                  AS key
+        FROM checked),
     ranked AS (
         SELECT *, CAST(2 * row_number() OVER (
                    PARTITION BY source ORDER BY key, doc_id NULLS FIRST, size, crc) - 1 AS DOUBLE)
